@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,3 +70,9 @@ def range_of(key: Column, cuts: list[int]) -> Column:
         F.lit(0),
         lambda at, step: F.when((at + step < len(cuts)) & (F.get(table_, at + step) <= key), at + step).otherwise(at),
     )
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is worked out once: a lambda's variable, where a column would be put in
+    anew at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -2,10 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, simhash, tokens
+from . import fingerprints, mixing, packing, simhash, tokens
 from .common import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(table(spark, sf_dir, "documents"), tokens.tokenizer_path(), end_id=2)
 
@@ -23,7 +27,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_token_files, op8_simhash, op9_mixing, op10_packing)}
+    return {f.__name__: f for f in (op1_fingerprints, op5_token_files, op8_simhash, op9_mixing, op10_packing)}
 
 
 OP9_SQL = r"""
