@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from vistaloom.llm import queries, simhash
@@ -73,9 +74,10 @@ def test_links_join_what_brute_force_joins(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("finish", [0, 100, 10_000])
+def test_components_of_a_long_chain(spark, finish):
     links = spark.createDataFrame([(i * 7919 % 1000, (i + 1) * 7919 % 1000) for i in range(998)] + [(5000, 5001), (None, 3), (4, 4)], "a long, b long")
-    roots = connected_components(links).collect()
+    roots = connected_components(links, finish=finish).collect()
     assert len(roots) == 1001 and len({r.root for r in roots}) == 2
     assert connected_components(links.where("false")).count() == 0
 

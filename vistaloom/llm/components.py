@@ -1,12 +1,35 @@
 """Connected components of a link table, wholly in DataFrame operations."""
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remove, shared_dir
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+#: Links that one task may join in memory (32 bytes a link): beyond it, distributed rounds come first.
+FINISH = 200_000
+
+
+def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    up: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (p := up.setdefault(i, i)) != i:
+            up[i] = up[p]
+            i = p
+        return i
+
+    for pdf in batches:
+        for x, y in zip(pdf["a"].tolist(), pdf["b"].tolist()):
+            x, y = find(x), find(y)
+            up[max(x, y)] = min(x, y)
+    yield pd.DataFrame({"node": list(up), "parent": [find(i) for i in list(up)]}, dtype="int64")
+
+
+def connected_components(links: DataFrame, a: str = "a", b: str = "b", finish: int = FINISH) -> DataFrame:
     """(node, root) for every node of an undirected link table; root is a node of the component.
 
     Each round points every node at its least neighbour (or itself) and contracts the links to
@@ -23,22 +46,27 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         return spark.read.schema(df.schema).parquet(made[-1])
 
     rest = keep(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b"))
-    roots = None
-    while rest.head(1):
+    roots = rest.select(F.col("a").alias("node"), F.col("b").alias("root")).where("false")
+    first = True
+    while n := rest.count():
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("parent")))
-        left = parent.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
-        right = parent.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
-        next_ = rest.join(left, "a").join(right, "b").where("pa <> pb")
-        next_ = next_.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
-        if roots is None:
+        if n <= finish:
+            parent = keep(rest.coalesce(1).mapInPandas(_finish, "node long, parent long"))
+        else:
+            parent = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("parent")))
+        if first:
             roots = parent.select("node", F.col("parent").alias("root"))
         else:
             up = parent.select(F.col("node").alias("root"), F.col("parent").alias("up"))
-            roots = roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        roots = keep(roots)
-        rest = keep(next_)
-        for path in made[:-3]:  # older rounds are no longer read
+            roots = keep(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+        if n <= finish:
+            break
+        first = False
+        left = parent.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
+        right = parent.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
+        next_ = rest.join(left, "a").join(right, "b").where("pa <> pb")
+        rest = keep(next_.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct())
+        for path in made[:-4]:  # older rounds are no longer read
             remove(spark, path)
-        del made[:-3]
-    return roots if roots is not None else rest.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        del made[:-4]
+    return roots
