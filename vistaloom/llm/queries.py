@@ -1,8 +1,9 @@
 """The registered queries of the training-data operators and what SQL can say of them."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, packing, simhash, tokens
+from . import fingerprints, mixing, packing, pii, simhash, tokens
 from .common import table
 
 
@@ -10,6 +11,15 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+#: The queries' secret; a deployment passes its own.
+PII_KEY = "a key that only the data owner has"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, found="found")
+    return rows.select("doc_id", "text", F.size("found").alias("n_replaced"), F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(table(spark, sf_dir, "documents"), tokens.tokenizer_path(), end_id=2)
 
@@ -27,7 +37,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op5_token_files, op8_simhash, op9_mixing, op10_packing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_pii, op5_token_files, op8_simhash, op9_mixing, op10_packing)}
 
 
 OP9_SQL = r"""
