@@ -179,8 +179,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int = 1, cap: int = CAP,
         enc, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (cap + 1)
         for pdf in batches:
             rows = []
-            for i, text in zip(pdf["id"], pdf["text"]):
-                ids = np.append(np.frombuffer(enc.encode(text), enc.dtype), enc.dtype.type(end_id)).astype("<u4")
+            for i, got in zip(pdf["id"], enc.encode_all(pdf["text"])):
+                ids = np.append(np.frombuffer(got, enc.dtype), enc.dtype.type(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), cap)):
                     own = ids[start : start + cap]
                     rows.append((i, piece, start, len(own), zlib.crc32(own), part, seen[len(own)]))

@@ -9,7 +9,8 @@ are written under a new name and then renamed: a repeated task attempt replaces
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched, islice
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import LEAST, bounds, range_of, shared_dir
 
-#: Chunks whose ids an encoder remembers; beyond that it starts anew (memory only, not results).
-MEMORY = 400_000
+#: Chunks whose ids an encoder remembers; beyond that only the first quarter stays (memory only, not results).
+MEMORY = 800_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -47,46 +48,45 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
-        self.marks = {m: self._ids(m).tobytes() for m in ".,;:!?"}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
-
-    def _learn(self, chunks: list[str]) -> None:
-        new = {c for c in chunks if c not in self.known}
-        if len(self.known) + len(new) > MEMORY:
-            self.known = {"": b""}
-            new = set(chunks) - {""}
-        plain, rest = [], []
-        for c in new:
-            (plain if c.isalpha() else rest).append(c)
-        ends = {}  # a word with one mark after it: ids of both, end to end
-        for c in rest:
-            if len(c) > 1 and c[-1] in self.marks and c[:-1].isalpha():
-                ends[c] = c[:-1]
-        words = [w for w in {*plain, *ends.values()} if w not in self.known]
+        self.marks = {m: self._ids(m) for m in ".,;:!?"}
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype).tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        known, marks, wide = self.known, self.marks, self.dtype.itemsize
+        # Words of letters, and words with one mark after them: their ids are the word's, then the mark's.
+        ends = {c: c[:-1] for c in new if c[-1] in marks and c[:-1].isalpha()}
+        words = [w for w in {*filter(str.isalpha, new), *ends.values()} if w not in known]
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
             ids = self._ids(" ".join(some))
-            cut = np.flatnonzero(self.ends[ids]) + 1
+            cut = (np.flatnonzero(self.ends[np.frombuffer(ids, self.dtype)]) + 1) * wide
             if len(cut) == len(some) and cut[-1] == len(ids):
                 start = 0
                 for word, end in zip(some, cut.tolist()):
-                    self.known[word] = ids[start:end].tobytes()
+                    known[word] = ids[start:end]
                     start = end
             else:
-                for word in some:
-                    self.known[word] = self._ids(word).tobytes()
-        for c in rest:
-            self.known[c] = self.known[ends[c]] + self.marks[c[-1]] if c in ends else self._ids(c).tobytes()
+                known.update((word, self._ids(word)) for word in some)
+        known.update((c, known[w] + marks[c[-1]]) for c, w in ends.items())
+        known.update((c, self._ids(c)) for c in new if c not in known)
 
     def encode(self, text: str | None) -> bytes:
-        chunks = (text or "").replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            self._learn(chunks)
-            return b"".join(map(self.known.__getitem__, chunks))
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None], at_once: int = 50) -> Iterator[bytes]:
+        """Ids of each text as bytes of self.dtype."""
+        for some in batched(texts, at_once):
+            chunks = [(t or "").replace("\n", " ").split(" ") for t in some]
+            new = set().union(*chunks).difference(self.known)
+            if len(self.known) + 2 * len(new) > MEMORY:  # the first words seen are mostly the common ones
+                self.known = dict(islice(self.known.items(), MEMORY // 4))
+                new = set().union(*chunks).difference(self.known)
+            if new:
+                self._learn(new)
+            for c in chunks:
+                yield b"".join(map(self.known.__getitem__, c))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -134,7 +134,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         enc = encoder(tokenizer)
         tail = np.array([end_id], enc.dtype).tobytes()
         for pdf in batches:
-            yield pdf[["part", "key", "no_id"]].assign(ids=[enc.encode(t) + tail for t in pdf["text"]])
+            yield pdf[["part", "key", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(pdf["text"])])
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, lengths, keys, n_null = None, [], [], 0
