@@ -251,3 +251,11 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found: str
     if found:
         out = out.withColumn(found, F.coalesce(F.filter(hits, lambda h: h["pseudonym"].isNotNull()), F.filter(F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("value"), F.lit("").alias("pseudonym"))), lambda _: F.lit(False))))
     return out.drop(name)
+
+
+def with_length(new: DataFrame, old: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """new with its code points counted again, where it has such a column; columns as in old."""
+    if chars_col not in old.columns:
+        return new.select(*old.columns)
+    n = F.when(F.col(chars_col).isNotNull(), F.char_length(text_col).cast(old.schema[chars_col].dataType))
+    return new.withColumn(chars_col, n).select(*old.columns)
