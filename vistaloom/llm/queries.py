@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, mixing, packing, pii, simhash, tokens
+from . import fingerprints, langid, mixing, neighbours, packing, pii, simhash, tokens
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(table(spark, sf_dir, "documents"), tokens.tokenizer_path(), end_id=2)
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_pii, op5_token_files, op7_language_id, op8_simhash, op9_mixing, op10_packing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_pii, op5_token_files, op6_neighbours, op7_language_id, op8_simhash, op9_mixing, op10_packing)}
 
 
 OP9_SQL = r"""
