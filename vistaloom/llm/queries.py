@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html, langid, mixing, neighbours, packing, pii, simhash, tokens
+from . import fingerprints, html, langid, mixing, neighbours, packing, pii, repeats, simhash, tokens
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "text", F.size("found").alias("n_replaced"), F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(table(spark, sf_dir, "pages"))
 
@@ -49,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_pii, op4_main_text, op5_token_files, op6_neighbours, op7_language_id, op8_simhash, op9_mixing, op10_packing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_pii, op3_repeats, op4_main_text, op5_token_files, op6_neighbours, op7_language_id, op8_simhash, op9_mixing, op10_packing)}
 
 
 OP9_SQL = r"""
