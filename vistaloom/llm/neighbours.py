@@ -183,13 +183,15 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
                 some = q.iloc[i : i + 256]
                 score = _matrix(some["v"]) @ m.T
                 top = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]  # equal scores: smaller rep first
-                out.append(pd.DataFrame({"q": np.repeat(some["rep"].to_numpy(), top.shape[1]), "rep": reps[top].ravel(), "score": np.take_along_axis(score, top, 1).ravel()}))
-        return pd.concat(out) if out else pd.DataFrame({"q": [], "rep": [], "score": []})
+                less = 0.0 - np.take_along_axis(score, top, 1)
+                out.append(pd.DataFrame({"q": some["rep"].to_numpy(), "less": list(less), "reps": list(reps[top])}))
+        return pd.concat(out) if out else pd.DataFrame({"q": [], "less": [], "reps": []}, dtype=object)
 
     key = ["part", "block", "turn"]
-    found = asked.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(compare, "q long, rep long, score double")
-    by_score = Window.partitionBy("q").orderBy(F.desc("score"), "rep")
-    found = found.withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= k + 1).select("q", "rep", "score")
+    found = asked.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(compare, "q long, less array<double>, reps array<long>")
+    # A row a query and block, and so a list of k+1 for each block that a query visits.
+    merged = found.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("less", "reps")))), 1, k + 1).alias("near"))
+    found = merged.select("q", F.explode("near").alias("x")).select("q", F.col("x.reps").alias("rep"), (F.lit(0.0) - F.col("x.less")).alias("score"))
     by_id = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     found = found.join(members, "rep").withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= k + 1)
     # Queries of a class share its list; each leaves itself out.
