@@ -21,7 +21,7 @@ DOCUMENTS = 96
 CHARACTERS = 400
 #: Bytes that are parsed without a break, and such stretches moved at a time (memory bounds).
 STRETCH = 512
-WIDTH = 8192
+WIDTH = 4096
 UNKNOWN = "und"
 
 _GAP = re.compile(r"[\W\d_]+")
@@ -76,11 +76,11 @@ class Parser:
             go = suffix_automaton(samples[name])
             width = len(used) + 2
             # An entry is the next state's row times 2, plus 1 if a phrase begins with the symbol.
-            start = np.ones(width, np.int64)
+            start = np.ones(width, np.int32)
             for c, s in go[0].items():
                 start[self.symbol[c]] = 2 * s * width + 1
             table = np.tile(start, (len(go), 1))
-            table[:, 0] = 2 * width * np.arange(len(go))
+            table[:, 0] = 2 * width * np.arange(len(go), dtype=np.int32)
             for s, out in enumerate(go[1:], 1):
                 for c, t in out.items():
                     table[s, self.symbol[c]] = 2 * t * width
@@ -107,10 +107,10 @@ class Parser:
         symbols = self.symbol[flat]
         size = np.array(list(map(len, pieces)))
         symbols[np.arange(STRETCH) >= size[:, None]] = 0
-        steps = np.ascontiguousarray(symbols[:, : int(size.max())].T).astype(np.int64)
+        steps = np.ascontiguousarray(symbols[:, : int(size.max())].T)
         for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
             phrases = np.zeros(len(pieces), np.int64)
-            row = np.zeros(len(pieces), np.int64)
+            row = np.zeros(len(pieces), np.int32)
             for step in steps:
                 got = table.take(row + step)
                 phrases += got & 1
@@ -148,7 +148,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     start = F.pmod(h, F.greatest(F.char_length(text_col) - characters, F.lit(1))).cast("int") + 1
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), h.alias("h"), F.substring(F.col(text_col), start, F.lit(characters)).alias("piece")).distinct()
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))).where(F.col("n") <= documents)
+    for key in (("lang", F.pmod("h", F.lit(64))), ("lang",)):  # salted first: a language may hold most rows
+        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy("h", "piece"))).where(F.col("n") <= documents)
     pieces: dict[str, list[tuple[int, bytes]]] = {}
     for r in rows.collect():
         pieces.setdefault(r["lang"], []).append((r["n"], letters_of(r["piece"])))
