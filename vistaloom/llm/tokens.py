@@ -7,8 +7,10 @@ row). Ranges ascend with the part number, so a part's base is a prefix sum over
 are written under a new name and then renamed: a repeated task attempt replaces them by the same.
 """
 
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import batched, islice
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import LEAST, bounds, range_of, shared_dir
 
 #: Chunks whose ids an encoder remembers; beyond that only the first quarter stays (memory only, not results).
-MEMORY = 800_000
+MEMORY = 700_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -51,31 +53,31 @@ class Encoder:
         self.marks = {m: self._ids(m) for m in ".,;:!?"}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype).tobytes()
+        ids = array("H" if self.dtype.itemsize == 2 else "I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _learn(self, new: set[str]) -> None:
         known, marks, wide = self.known, self.marks, self.dtype.itemsize
         # Words of letters, and words with one mark after them: their ids are the word's, then the mark's.
-        ends = {c: c[:-1] for c in new if c[-1] in marks and c[:-1].isalpha()}
-        words = [w for w in {*filter(str.isalpha, new), *ends.values()} if w not in known]
+        ends = [c for c in new if c[-1] in marks and c[:-1].isalpha()]
+        words = list({c for c in new if c.isalpha()}.union([c[:-1] for c in ends]).difference(known))
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
             ids = self._ids(" ".join(some))
-            cut = (np.flatnonzero(self.ends[np.frombuffer(ids, self.dtype)]) + 1) * wide
+            cut = ((np.flatnonzero(self.ends[np.frombuffer(ids, self.dtype)]) + 1) * wide).tolist()
             if len(cut) == len(some) and cut[-1] == len(ids):
-                start = 0
-                for word, end in zip(some, cut.tolist()):
-                    known[word] = ids[start:end]
-                    start = end
+                known.update(zip(some, [ids[a:b] for a, b in zip([0, *cut], cut)]))
             else:
                 known.update((word, self._ids(word)) for word in some)
-        known.update((c, known[w] + marks[c[-1]]) for c, w in ends.items())
-        known.update((c, self._ids(c)) for c in new if c not in known)
+        known.update([(c, known[c[:-1]] + marks[c[-1]]) for c in ends])
+        known.update([(c, self._ids(c)) for c in new.difference(known)])
 
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all([text]))
 
-    def encode_all(self, texts: Iterable[str | None], at_once: int = 50) -> Iterator[bytes]:
+    def encode_all(self, texts: Iterable[str | None], at_once: int = 200) -> Iterator[bytes]:
         """Ids of each text as bytes of self.dtype."""
         for some in batched(texts, at_once):
             chunks = [(t or "").replace("\n", " ").split(" ") for t in some]
