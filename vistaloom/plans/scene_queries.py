@@ -1,9 +1,491 @@
-"""Registered queries over the scene projection of the test tables."""
+"""Registered queries: every operator applied to the scene projection of the test tables."""
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import geometry as g
+from ..functions import text as tx
+from ..operators import bev, graph, kernels, points, sampling, tables, tasks
+from . import fixtures as fx
+from .oracle import ORACLE
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _query(f: Callable) -> Callable:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded, and no negative zero, so that engines agree on them."""
+    return df.select(*[(F.round(F.col(c), digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def _scene(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx.views(s, d).drop("event_id", "n"), fx.objects(s, d), fx.appearances(s, d)
+
+
+@_query
+def camera_movement(s, d):
+    return _rounded(tasks.camera_movement(fx.views(s, d).drop("event_id", "n")))
+
+
+@_query
+def camera_pair_octant(s, d):
+    v, _, seen = _scene(s, d)
+    return _rounded(tasks.camera_pair_octant(v, seen))
+
+
+@_query
+def camera_object_self(s, d):
+    return _rounded(tasks.camera_object(*_scene(s, d), "self"))
+
+
+@_query
+def camera_object_cross(s, d):
+    return _rounded(tasks.camera_object(*_scene(s, d), "cross"))
+
+
+@_query
+def object_object_lr(s, d):
+    v, o, seen = _scene(s, d)
+    return _rounded(tasks.object_object(v.where("view_idx < 24"), o, seen.where("view_idx < 24")))
+
+
+@_query
+def camera_motion(s, d):
+    return _rounded(tasks.camera_motion(fx.views(s, d).drop("event_id", "n")), 5)
+
+
+@_query
+def clockwise(s, d):
+    return _rounded(tasks.clockwise(*_scene(s, d)), 5)
+
+
+@_query
+def view_change(s, d):
+    return _rounded(tasks.view_change(*_scene(s, d)), 5)
+
+
+@_query
+def relative_distance_centers(s, d):
+    return _rounded(tasks.relative_distance(fx.objects(s, d)))
+
+
+@_query
+def duplicate_tag_count(s, d):
+    return tasks.duplicate_tags(fx.objects(s, d))
+
+
+@_query
+def relative_size(s, d):
+    return tasks.relative_size(fx.objects(s, d))
+
+
+@_query
+def extreme_sizes(s, d):
+    return tasks.extreme_sizes(fx.objects(s, d))
+
+
+@_query
+def absolute_size(s, d):
+    return _rounded(tasks.absolute_size(fx.objects(s, d)))
+
+
+@_query
+def height_compare(s, d):
+    return _rounded(tasks.height_comparison(fx.objects(s, d)))
+
+
+@_query
+def box_world_to_camera(s, d):
+    return _rounded(tasks.box_in_view(*_scene(s, d)), 4)
+
+
+@_query
+def compass_relation(s, d):
+    return _rounded(tasks.compass_relation(fx.objects(s, d)))
+
+
+@_query
+def fov(s, d):
+    """Field of view of the pixel fixture's frames, by their width in pixels."""
+    w = fx.pixels(s, d).groupBy("frame_id").agg((F.max("u") + 1).alias("width"))
+    return _rounded(w.select("frame_id", "width", g.fov_degrees(F.col("width"), F.lit(50.0)).alias("fov")))
+
+
+@_query
+def project_objects(s, d):
+    """Seen object centres in camera coordinates and pixels."""
+    v, o, seen = _scene(s, d)
+    t = seen.join(v, ["scene_id", "view_idx"]).join(o, ["scene_id", "node_id"])
+    p = g.to_camera(g.camera(), g.vec("c"))
+    t = t.select("scene_id", "view_idx", "node_id", *[x.alias(f"p_{k}") for k, x in zip("xyz", p)]).where(F.col("p_z") > 0.01)
+    px, py = g.project(g.vec("p"), *[F.lit(x) for x in (50.0, 50.0, 32.0, 24.0)])
+    return _rounded(t.select("scene_id", "view_idx", "node_id", px.alias("px"), py.alias("py"), "p_z"), 4)
+
+
+def _orders(s, d):
+    """Orders with the list of their lines (part, quantity): the flatten and group fixture."""
+    li = fx.table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_partkey", "l_quantity"))).alias("x")).select("l_orderkey", F.col("x.l_partkey").alias("parts"), F.col("x.l_quantity").alias("quantities"), F.size("x").alias("n"))
+
+
+@_query
+def flatten(s, d):
+    return tables.flatten(_orders(s, d), "parts", ["quantities"], order="pos").select("l_orderkey", "pos", "parts", "quantities", "n")
+
+
+@_query
+def group(s, d):
+    frames = fx.views(s, d, all_views=True).select(F.col("scene_id").cast("string").alias("scene_id"), "view_idx", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_map"))
+    out = tables.group(frames, "scene_id", ["event_id", "depth_map"], "view_idx")
+    return out.select("scene_id", F.array_join(F.col("event_id").cast("array<string>"), ",").alias("events"), F.array_join(F.col("depth_map").cast("array<string>"), ",", "null").alias("depths"))
+
+
+@_query
+def merge_scenes(s, d):
+    frames = fx.views(s, d).select("scene_id", "view_idx", F.concat(F.lit("ds"), F.col("scene_id") % 3).alias("dataset"), "event_id")
+    out = tables.merge_scenes(frames)
+    return out.select("scene_id", "dataset", "num_images", F.array_join(F.col("event_id").cast("array<string>"), ",").alias("events"))
+
+
+@_query
+def flatten_qa(s, d):
+    t = fx.turns(s, d).where("value is not null")
+    rows = t.groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("x"))
+    rows = rows.select(F.col("scene_id").cast("string").alias("image"), F.col("x.value").alias("messages"), F.transform("x.pos", lambda p: F.when(p % 2 == 0, "MCQ").otherwise("open")).alias("question_types"))
+    return tables.flatten_qa(rows)
+
+
+@_query
+def tag_blacklist(s, d):
+    o = fx.objects(s, d).groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("node_id", "tag"))).alias("x"))
+    o = o.select("scene_id", F.col("x.tag").alias("obj_tags"), F.col("x.node_id").alias("ids"))
+    tags = [r["tag"] for r in fx.objects(s, d).select("tag").distinct().orderBy("tag").limit(3).collect()]
+    out = tables.without_tags(o, tuple(tags), ["ids"])
+    return out.select("scene_id", F.array_join("obj_tags", ",").alias("tags"), F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+@_query
+def tag_histogram_topk(s, d):
+    return tables.tag_histogram(fx.objects(s, d), 5)
+
+
+@_query
+def funnel(s, d):
+    part = (F.col("scene_id") % 4).alias("part")
+    o, seen = fx.objects(s, d), fx.appearances(s, d)
+    many = graph.well_connected(seen, 5)
+    stages = [("objects", o), ("seen", seen.select("scene_id", "node_id").distinct()), ("connected", many), ("few", many.where("node_id % 61 = 0"))]
+    counts = None
+    for i, (name, df) in enumerate(stages):
+        c = df.groupBy(part).agg(F.count("*").alias("n_rows")).select("part", F.lit(i).alias("stage_no"), F.lit(name).alias("stage"), "n_rows")
+        counts = c if counts is None else counts.unionByName(c)
+    return tables.funnel(counts)
+
+
+@_query
+def leak_check(s, d):
+    words = fx.table(s, d, "part").select(F.explode(F.split("p_name", " ")).alias("tag"))
+    first = fx.table(s, d, "part").select(F.lower("p_type").alias("tag"))
+    bad = [r["tag"] for r in first.distinct().orderBy("tag").limit(2).collect()]
+    return tables.leaks(words.unionByName(first), tuple(bad))
+
+
+@_query
+def view_subsample(s, d):
+    v = fx.views(s, d, all_views=True).select("scene_id", "view_idx")
+    return graph.subsample_views(v, 10)
+
+
+@_query
+def well_connected_nodes(s, d):
+    return graph.well_connected(fx.appearances(s, d))
+
+
+@_query
+def covisible_pairs(s, d):
+    """Number of nodes that two views of a scene share."""
+    v, _, seen = _scene(s, d)
+    return graph.with_covisible(graph.view_pairs(v.select("scene_id", "view_idx")), seen).groupBy("scene_id", "a_view_idx", "b_view_idx").agg(F.count("*").alias("shared"))
+
+
+@_query
+def only_in_view(s, d):
+    v, o, seen = _scene(s, d)
+    pairs = graph.view_pairs(v.select("scene_id", "view_idx")).where("b_view_idx - a_view_idx <= 6")
+    return graph.tags_only_in_first(pairs, seen, o)
+
+
+@_query
+def merge_boxes(s, d):
+    return tables.kept_boxes(fx.boxes2d(s, d))
+
+
+@_query
+def front_surface_depth(s, d):
+    return _rounded(points.front_depth(fx.pixels(s, d), ["frame_id", "obj_idx"]))
+
+
+@_query
+def depth_order(s, d):
+    depth = points.front_depth(fx.pixels(s, d), ["frame_id", "obj_idx"]).select("frame_id", "obj_idx", "depth")
+    return _rounded(points.depth_order(depth))
+
+
+@_query
+def nth_closest(s, d):
+    """The second closest object of each frame."""
+    return depth_order(s, d).where("rank = 2").drop("rank")
+
+
+@_query
+def closest20_mean(s, d):
+    return _rounded(points.closest_mean(points.back_projected(fx.pixels(s, d)), ["frame_id", "obj_idx"]))
+
+
+@_query
+def distance_obj_cam(s, d):
+    """Which of two frames is closer to an object, by the mean of its nearest points."""
+    m = points.closest_mean(points.back_projected(fx.pixels(s, d)), ["frame_id", "obj_idx"]).select("frame_id", "obj_idx", F.round("distance", 6).alias("distance"))
+    a, b = graph.prefixed(m, "a_", "obj_idx"), graph.prefixed(m, "b_", "obj_idx")
+    p = a.join(b, "obj_idx").where("b_frame_id = a_frame_id + 1")
+    return p.withColumn("answer", g.compare(F.col("a_distance"), F.col("b_distance"), 0.08, "View 1", "View 2"))
+
+
+@_query
+def backproject(s, d):
+    p = points.back_projected(fx.pixels(s, d))
+    out = p.groupBy("frame_id", "obj_idx").agg(F.count("*").alias("n"), *[F.sum(f"p_{k}").alias(f"sum_{k}") for k in "xyz"])
+    return _rounded(out, 4)
+
+
+@_query
+def cloud_extent(s, d):
+    return _rounded(points.extents(points.back_projected(fx.pixels(s, d)), ["frame_id", "obj_idx"]))
+
+
+@_query
+def mask_box(s, d):
+    return points.box_of_mask(fx.pixels(s, d), ["frame_id", "obj_idx"])
+
+
+@_query
+def obb_contains(s, d):
+    """Object centres of a scene within another object's box, scaled up."""
+    o = fx.objects(s, d)
+    p = o.select("scene_id", *[F.col(f"c_{k}").alias(f"p_{k}") for k in "xyz"])
+    return points.contained(p, o, "scene_id", 4.0)
+
+
+def _cloud(s, d):
+    return points.back_projected(fx.pixels(s, d)).select("frame_id", "obj_idx", *[F.round(f"p_{k}", 6).alias(f"p_{k}") for k in "xyz"])
+
+
+def _pair_distance(s, d):
+    """Nearest distance between neighbouring objects of a frame."""
+    c = _cloud(s, d)
+    a = c.select("frame_id", F.col("obj_idx").alias("a_obj"), (F.col("obj_idx") + 1).alias("b_obj"), "p_x", "p_y", "p_z")
+    b = c.select("frame_id", (F.col("obj_idx") - 1).alias("a_obj"), F.col("obj_idx").alias("b_obj"), "p_x", "p_y", "p_z")
+    return points.nearest_distance(a, b, ["frame_id", "a_obj", "b_obj"])
+
+
+@_query
+def nn_distance(s, d):
+    return _rounded(_pair_distance(s, d))
+
+
+@_query
+def proximity(s, d):
+    e = points.extents(_cloud(s, d), ["frame_id", "obj_idx"]).select("frame_id", "obj_idx", ((F.col("size_x") + F.col("size_y") + F.col("size_z")) / 3).alias("e"))
+    p = _pair_distance(s, d).join(e.select("frame_id", F.col("obj_idx").alias("a_obj"), F.col("e").alias("ea")), ["frame_id", "a_obj"])
+    p = p.join(e.select("frame_id", F.col("obj_idx").alias("b_obj"), F.col("e").alias("eb")), ["frame_id", "b_obj"])
+    p = p.select("frame_id", "a_obj", "b_obj", "distance", ((F.col("ea") + F.col("eb")) / 2).alias("extent"))
+    return _rounded(tasks.proximity(p, 0.05, 0.1))
+
+
+@_query
+def voxel_range_join(s, d):
+    """Points of neighbouring frames within a radius, counted."""
+    c = _cloud(s, d).select("frame_id", "p_x", "p_y", "p_z").distinct()
+    a = c.withColumn("pair", F.col("frame_id"))
+    b = c.select((F.col("frame_id") - 1).alias("pair"), "p_x", "p_y", "p_z")
+    return points.range_join(a, b, 0.05, ["pair"]).groupBy("pair").agg(F.count("*").alias("n"))
+
+
+def _map(s, d, mirror: str = ""):
+    v, o, _ = _scene(s, d)
+    e = bev.entities(v, o)
+    b = bev.bounds(e)
+    return bev.placed(bev.mirrored(e, b, mirror) if mirror else e, b)
+
+
+@_query
+def bev_cells(s, d):
+    return bev.occupancy(_map(s, d))
+
+
+@_query
+def facing_words(s, d):
+    return _map(s, d).where("kind = 'camera'").select("scene_id", "entity_id", "row", "col", "facing")
+
+
+@_query
+def bev_mirror(s, d):
+    return _map(s, d, "x").select("scene_id", "kind", "entity_id", "row", "col")
+
+
+@_query
+def pose_validation(s, d):
+    return _rounded(tables.invalid_poses(fx.views(s, d)).select("scene_id", "view_idx", "det", "valid"))
+
+
+@_query
+def resume_anti(s, d):
+    return tables.not_done(fx.table(s, d, "documents").select("doc_id", "source"), fx.table(s, d, "labels"), "doc_id")
+
+
+@_query
+def intersect_scenes(s, d):
+    """Ids that two listings share."""
+    return fx.table(s, d, "documents").select("doc_id").intersect(fx.table(s, d, "labels").select("doc_id"))
+
+
+@_query
+def failure_log(s, d):
+    log = fx.table(s, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("status"))
+    counts, first = tables.failures(log)
+    return first.join(counts, "status")
+
+
+@_query
+def messages(s, d):
+    """Question and answer turns of a prompt, cut at its first answer mark."""
+    t = fx.table(s, d, "conversations").where("text is not null")
+    prompt = F.concat(F.substring("text", 1, 40), F.when(F.col("turn") % 2 == 0, F.concat(F.lit(" Answer: "), F.col("role"), F.lit(" Answer: x"))).otherwise(""))
+    m = t.select("conv_id", "turn", tx.messages(prompt, F.col("turn") % 3).alias("m")).where("m is not null")
+    return m.select("conv_id", "turn", F.col("m")[0]["value"].alias("human"), F.col("m")[1]["value"].alias("gpt"))
+
+
+@_query
+def blink_output_type(s, d):
+    t = fx.table(s, d, "conversations").where("text is not null")
+    mark = F.when(F.col("conv_id") % 3 == 0, " A. yes").when(F.col("conv_id") % 3 == 1, " (B)").otherwise(" A:3")
+    q = F.concat(F.lit("<image>  "), F.substring("text", 1, 30), mark)
+    return t.select("conv_id", "turn", tx.output_type(q).alias("output_type"), tx.input_type(F.when(F.col("turn") % 2 == 0, "mmsi_x").otherwise("size")).alias("input_type"), F.length(tx.without_images(q)).alias("n"))
+
+
+@_query
+def path_resolve(s, d):
+    p = fx.table(s, d, "pages").select("page_id", F.regexp_extract("url", "//[^/]+(/.*)", 1).alias("p"))
+    p = p.withColumn("path", F.when(F.col("page_id") % 2 == 0, F.col("p")).otherwise(F.substring("p", 2, 1000)))
+    return p.select("page_id", tx.resolve(F.col("path"), "/data/root").alias("full"), tx.relative(tx.resolve(F.col("path"), "/data/root"), "/data/root").alias("short"))
+
+
+@_query
+def name_cleaning(s, d):
+    p = fx.table(s, d, "part").select("p_partkey", F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_12"), F.when(F.col("p_partkey") % 2 == 0, "LampABC").otherwise("chair_")).alias("n"))
+    return p.select("p_partkey", tx.clean_name(F.col("n")).alias("name"))
+
+
+@_query
+def union_tasks(s, d):
+    o = fx.objects(s, d)
+    return tables.union_tasks({"counting": tasks.duplicate_tags(o).select("scene_id", F.col("n").cast("string").alias("answer")), "camera_movement": camera_movement(s, d).select("scene_id", "answer")})
+
+
+@_query
+def page_slice(s, d):
+    return tables.page(fx.table(s, d, "documents").select("doc_id", "source", "lang"), 3, 10, "source", "doc_id")
+
+
+@_query
+def flat_index(s, d):
+    t = fx.table(s, d, "conversations").select("conv_id", "turn", "role").where("turn is not null").distinct()
+    return tables.numbered(t, "conv_id", "turn", "role").withColumn("id", F.format_string("%08d", F.col("flat_idx")))
+
+
+@_query
+def scene_validation(s, d):
+    frames = fx.views(s, d)
+    return tables.counts_agree(frames.groupBy("scene_id").agg(F.count("*").alias("num_images")), frames)
+
+
+@_query
+def skip_reasons(s, d):
+    v = fx.views(s, d).drop("event_id", "n")
+    a, b = g.camera("a_"), g.camera("b_")
+    move = b.at - a.at
+    tests = {"pose_not_diverse": ~graph.diverse(a, b, 15.0, 0.5), "horizontal_too_close": g.norm(move.x, move.y) < 0.3, "vertical_too_far": F.abs(F.round(move.z, 9)) > 0.3}
+    return tables.skip_reasons(graph.view_pairs(v), tests)
+
+
+@_query
+def lookup_labels(s, d):
+    names = fx.table(s, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("label"))
+    c = fx.table(s, d, "customer").select("c_custkey", F.col("c_nationkey").alias("key"))
+    return tables.with_lookup(c, names, "key", "label")
+
+
+# Without an SQL counterpart: hash-seeded choices and folds (tested against brute force).
+
+
+@_query
+def round_robin_sample(s, d):
+    v, _, seen = _scene(s, d)
+    pairs = tasks.camera_pair_octant(v, seen).select("scene_id", "node_id", "a_view_idx", "b_view_idx", "answer")
+    return sampling.round_robin(pairs, ["scene_id", "node_id"], 500, 7, "a_view_idx", "b_view_idx")
+
+
+@_query
+def diverse_view_triples(s, d):
+    return sampling.diverse_views(fx.views(s, d), 3, 15.0, 0.0)
+
+
+@_query
+def chain_walk(s, d):
+    return sampling.chains(fx.appearances(s, d), 3)
+
+
+@_query
+def outlier_removal(s, d):
+    return _rounded(points.inliers(_cloud(s, d).distinct(), ["frame_id", "obj_idx"], 10, 1.0))
+
+
+@_query
+def obb_hull_volume(s, d):
+    """Volume of the convex hull of each object's points."""
+    return _rounded(kernels.hull_volumes(_cloud(s, d).distinct(), ["frame_id", "obj_idx"]))
+
+
+@_query
+def visible_box_share(s, d):
+    """Share of each seen box's image area that falls within the image."""
+    v, o, seen = _scene(s, d)
+    return _rounded(kernels.box_visibility(seen, v, o, 64, 48, 50.0, 50.0, 32.0, 24.0), 4)
+
+
+@_query
+def counting_mcq(s, d):
+    c = tasks.duplicate_tags(fx.objects(s, d))
+    c = c.withColumn("options", sampling.shuffled(F.concat(F.array("n"), sampling.wrong_counts(F.col("n"))), 3, "scene_id", "tag"))
+    return c.select("scene_id", "tag", "n", F.array_join(F.col("options").cast("array<string>"), " ").alias("options"), sampling.letter(F.col("options"), F.col("n")).alias("answer"))
+
+
+@_query
+def cognitive_map(s, d):
+    """Whole maps as JSON."""
+    m = bev.grids(_map(s, d))
+    return m.select("scene_id", F.to_json(F.struct("cells", "cameras", "objects")).alias("map"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in ORACLE.items() if k in _QUERIES}
