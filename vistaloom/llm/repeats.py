@@ -1,7 +1,7 @@
 """Substring deduplication by hashing lines and the content-defined units they fall into.
 
-A line is cut after words that a hash of the word and the one before it picks, so that a passage is
-cut alike wherever it stands, in a line of its own or inside another. Units are normalised (case,
+A line is cut after words whose hash (with the word before) is the least among the words around, so
+that a passage is cut alike wherever it stands, in a line of its own or inside another. Units are normalised (case,
 punctuation), their digests grouped over all documents, and the earliest document of a digest keeps
 it. Elsewhere, and at later places of the same document, a unit is a repeat. Runs of repeats are
 removed if they are long enough or make up whole lines; the spans removed are given in the offsets
@@ -17,8 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: One word in CUT ends a unit (besides every line's last).
-CUT = 4
+from .common import written
+
+#: A unit ends with the least hash among so many words on either side (or with its line), so it has
+#: more words than this unless the line ends.
+REACH = 3
 #: Words that a run inside a line must have to go, and words that wholly repeated lines must have.
 RUN_WORDS, LINE_WORDS = 20, 5
 LAST = 2**63 - 1
@@ -61,7 +64,12 @@ class Cut:
             last[:-1] = self.line[1:] != self.line[:-1]
         mixed = h * np.uint64(31)
         mixed[1:] += h[:-1]
-        picked = (mixed * _BASE >> np.uint64(40)) % np.uint64(CUT) == 0
+        mixed = mixed * _BASE >> np.uint64(1)
+        around = np.full(n + 2 * REACH, np.uint64(2**64 - 1))
+        around[REACH : n + REACH] = mixed
+        picked = np.ones(n, bool)
+        for k in range(1, REACH + 1):
+            picked &= (mixed < around[REACH - k : n + REACH - k]) & (mixed <= around[REACH + k : n + REACH + k])
         ends = np.flatnonzero(last | picked) + 1
         self.first = np.concatenate([[0], ends[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
         self.stop = ends
@@ -124,25 +132,27 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for pdf in batches:
             some, size = [], 0
             for key, h, text in zip(pdf["__key"], pdf["__hash"], pdf["__text"]):
-                digest, first = np.unique(Cut(text).digest, return_index=True)
-                some.append((np.full(len(first), key, np.int64), np.full(len(first), h, np.int64), digest.view(np.int64), first.astype(np.int32)))
+                digest, first, count = np.unique(Cut(text).digest, return_index=True, return_counts=True)
+                some.append((np.full(len(first), key, np.int64), np.full(len(first), h, np.int64), digest.view(np.int64), first.astype(np.int32), count > 1))
                 size += len(first)
                 if size > 200_000:
-                    yield pd.DataFrame(dict(zip(("key", "hash", "digest", "unit"), map(np.concatenate, zip(*some)))))
+                    yield pd.DataFrame(dict(zip(("key", "hash", "digest", "unit", "again"), map(np.concatenate, zip(*some)))))
                     some, size = [], 0
             if some:
-                yield pd.DataFrame(dict(zip(("key", "hash", "digest", "unit"), map(np.concatenate, zip(*some)))))
+                yield pd.DataFrame(dict(zip(("key", "hash", "digest", "unit", "again"), map(np.concatenate, zip(*some)))))
 
-    units = rows.where("__text is not null").mapInPandas(cut, "key long, hash long, digest long, unit int")
-    first = units.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last")
-    foreign = units.join(first, "digest").where("first < key").groupBy("key", "hash").agg(F.collect_set("unit").alias("units"))  # of one text
+    units = written(rows.where("__text is not null").mapInPandas(cut, "key long, hash long, digest long, unit int, again boolean"))
+    first = units.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first")
+    foreign = units.join(first, "digest").where("first < key").select("key", "hash", "unit")
+    again = units.where("again").select("key", "hash", F.lit(None).cast("int").alias("unit")).distinct()
+    foreign = foreign.unionByName(again).groupBy("key", "hash").agg(F.collect_set("unit").alias("units"))  # of one text; nulls are not collected
     marked = rows.join(foreign, (rows["__key"] == foreign["key"]) & (rows["__hash"] == foreign["hash"]), "left").select("__id", "__text", "units")
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, spans = [], []
             for text, marks in zip(pdf["__text"], pdf["units"]):
-                found = [] if text is None else removed_spans(Cut(text), np.array([] if marks is None else marks, np.int64), run_words, line_words)
+                found = [] if marks is None else removed_spans(Cut(text), np.array(marks, np.int64), run_words, line_words)
                 if found:
                     at = [0, *(x for s in found for x in s), len(text)]
                     text = "".join(text[a:b] for a, b in zip(at[::2], at[1::2]))
