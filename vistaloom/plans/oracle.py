@@ -282,5 +282,19 @@ SELECT conv_id, turn, role, flat_idx, printf('%08d', flat_idx) AS id FROM n""",
     "skip_reasons": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx")}, r AS (SELECT CASE WHEN NOT {_DIVERSE} THEN 'pose_not_diverse' WHEN {_norm(*_DELTA[:2])} < {_d(0.3)} THEN 'horizontal_too_close' WHEN abs(round({_DELTA[2]}, 9)) > {_d(0.3)} THEN 'vertical_too_far' ELSE 'ok' END AS reason FROM pairs)
 SELECT reason, count(*) AS n FROM r GROUP BY reason""",
     "lookup_labels": "SELECT c_custkey, c_nationkey AS key, coalesce(n_name, 'Unknown') AS label FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0",
+    "absolute_distance": f"WITH {_RAW}, {_PTS}, {_NN}, r AS (SELECT frame_id, a_obj, b_obj, round(distance, 6) AS x FROM nn) SELECT frame_id, a_obj, b_obj, {_metric('x')} AS answer FROM r",
+    "relative_distance_points": f"""WITH {_RAW}, {_PTS}, {_NN}, r AS (SELECT frame_id, a_obj, b_obj, round(distance, 6) AS x FROM nn)
+SELECT a.frame_id, a.b_obj AS obj, a.x AS dist_a, b.x AS dist_b, CASE WHEN a.x > b.x THEN 'A' ELSE 'B' END AS answer FROM r a JOIN r b ON a.frame_id = b.frame_id AND a.b_obj = b.a_obj""",
+    "merge_masks": f"""WITH {_RAW}, p AS (SELECT DISTINCT frame_id, obj_idx, obj_idx % 2 AS tag, u % 6 AS u, v FROM fx_pixels), z AS (SELECT frame_id, obj_idx, count(*) AS n FROM p GROUP BY ALL),
+c AS (SELECT a.frame_id, a.obj_idx AS i, b.obj_idx AS j, count(*) AS k FROM p a JOIN p b ON a.frame_id = b.frame_id AND a.tag = b.tag AND a.u = b.u AND a.v = b.v AND a.obj_idx < b.obj_idx GROUP BY ALL),
+lost AS (SELECT c.frame_id, CASE WHEN x.n < y.n THEN i ELSE j END AS obj_idx FROM c JOIN z x ON x.frame_id = c.frame_id AND x.obj_idx = i JOIN z y ON y.frame_id = c.frame_id AND y.obj_idx = j
+  WHERE k/CAST(x.n AS DOUBLE) > {_d(0.8)} OR k/CAST(y.n AS DOUBLE) > {_d(0.8)})
+SELECT frame_id, obj_idx FROM z WHERE (frame_id, obj_idx) NOT IN (SELECT (frame_id, obj_idx) FROM lost)""",
+    "pixel_labels": f"WITH {_RAW} SELECT frame_id, obj_idx, arg_min(u % 5, v*64 + u) AS label FROM fx_pixels GROUP BY ALL",
+    "planar_depths": f"""WITH {_RAW}, p AS (SELECT frame_id, obj_idx, CAST(trunc(d*{_d(50)}/{_norm('u - 32', 'v - 24', _d(50))}*1000) AS INTEGER) AS z FROM fx_pixels) SELECT frame_id, obj_idx, CAST(sum(z) AS BIGINT) AS total, max(z) AS most FROM p GROUP BY ALL""",
+    "fused_objects": f"WITH {_RAW} SELECT obj_idx, count(DISTINCT frame_id) AS n_views, count(*) AS n_points FROM fx_pixels GROUP BY obj_idx HAVING count(DISTINCT frame_id) >= 2",
+    "tone_mapping": f"""WITH {_RAW}, b AS (SELECT frame_id, d/{_d(5)} AS x FROM fx_pixels), s AS (SELECT frame_id, quantile_cont(x, 0.9) AS p FROM b GROUP BY frame_id),
+t AS (SELECT frame_id, CASE WHEN p > 1e-4 THEN pow({_d(0.8)}, 1/({_d(1)}/{_d(2.2)}))/p ELSE 0 END AS scale FROM s)
+SELECT frame_id, {_r(f'avg(least(1, pow(greatest(0, scale*x), {_d(1)}/{_d(2.2)})))')} AS mean, {_r('max(scale)')} AS scale FROM b JOIN t USING (frame_id) GROUP BY frame_id""",
 }
 ORACLE["union_tasks"] = f"SELECT scene_id, CAST(n AS VARCHAR) AS answer, 'counting' AS task FROM ({ORACLE['duplicate_tag_count']}) UNION ALL SELECT scene_id, answer, 'camera_movement' FROM ({ORACLE['camera_movement']})"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import text as tx
-from ..operators import bev, graph, kernels, points, sampling, tables, tasks
+from ..operators import annotate, bev, graph, kernels, points, sampling, tables, tasks
 from . import fixtures as fx
 from .oracle import ORACLE
 
@@ -431,6 +431,54 @@ def lookup_labels(s, d):
     return tables.with_lookup(c, names, "key", "label")
 
 
+@_query
+def absolute_distance(s, d):
+    """Distance of neighbouring objects, as text."""
+    p = _pair_distance(s, d).withColumn("distance", F.round("distance", 6))
+    return p.select("frame_id", "a_obj", "b_obj", tx.metric(F.col("distance")).alias("answer"))
+
+
+@_query
+def relative_distance_points(s, d):
+    """Which neighbour is nearer to an object, by its points."""
+    p = _pair_distance(s, d).withColumn("distance", F.round("distance", 6))
+    a = p.select("frame_id", F.col("b_obj").alias("obj"), F.col("distance").alias("dist_a"))
+    b = p.select("frame_id", F.col("a_obj").alias("obj"), F.col("distance").alias("dist_b"))
+    return a.join(b, ["frame_id", "obj"]).withColumn("answer", F.when(F.col("dist_a") > F.col("dist_b"), "A").otherwise("B"))
+
+
+@_query
+def merge_masks(s, d):
+    p = fx.pixels(s, d).select("frame_id", "obj_idx", (F.col("obj_idx") % 2).cast("string").alias("tag"), (F.col("u") % 6).alias("u"), "v")
+    return annotate.kept_masks(p, 0.8, 0.8)
+
+
+@_query
+def pixel_labels(s, d):
+    """Label at each object's first pixel in row order."""
+    p = fx.pixels(s, d).withColumn("label", F.col("u") % 5)
+    return points.first_pixel_label(p, ["frame_id", "obj_idx"], "label", 64)
+
+
+@_query
+def planar_depths(s, d):
+    p = points.planar_depth(fx.pixels(s, d).withColumnRenamed("d", "dist"), 50.0, 32.0, 24.0)
+    return p.groupBy("frame_id", "obj_idx").agg(F.sum("depth").alias("total"), F.max("depth").alias("most"))
+
+
+@_query
+def fused_objects(s, d):
+    """Objects with points in several frames."""
+    return points.fused(_cloud(s, d), ["obj_idx"], "frame_id")
+
+
+@_query
+def tone_mapping(s, d):
+    p = fx.pixels(s, d).select("frame_id", "obj_idx", (F.col("d") / 5.0).alias("brightness"))
+    out = annotate.exposure(p).groupBy("frame_id").agg(F.avg("mapped").alias("mean"), F.max("scale").alias("scale"))
+    return _rounded(out)
+
+
 # Without an SQL counterpart: hash-seeded choices and folds (tested against brute force).
 
 
@@ -476,6 +524,22 @@ def counting_mcq(s, d):
     return c.select("scene_id", "tag", "n", F.array_join(F.col("options").cast("array<string>"), " ").alias("options"), sampling.letter(F.col("options"), F.col("n")).alias("answer"))
 
 
+@_query
+def camera_questions(s, d):
+    """Question records of the camera-pair task, ten a scene."""
+    v, o, seen = _scene(s, d)
+    p = tasks.camera_pair_octant(v, seen).join(o.select("scene_id", "node_id", "tag"), ["scene_id", "node_id"])
+    seed = F.concat_ws("/", "scene_id", "node_id", "a_view_idx", "b_view_idx")
+    options = sampling.shuffled(F.array(*map(F.lit, g.OCTANTS)), 5, "scene_id", "node_id", "a_view_idx", "b_view_idx")
+    q = annotate.questions(p, "camera_camera", {"T": F.col("tag"), "A": F.col("answer")}, seed, images=2, quota=10, options=options)
+    return q.select("scene_id", "node_id", "a_view_idx", "b_view_idx", F.col("messages")[0]["value"].alias("human"), F.col("messages")[1]["value"].alias("gpt"))
+
+
+@_query
+def depth_point_sample(s, d):
+    return annotate.distinct_depths(fx.pixels(s, d), ["frame_id"], 5, 0.05)
+
+
 @_query
 def cognitive_map(s, d):
     """Whole maps as JSON."""
@@ -489,3 +553,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in _QUERIES}
+
