@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import LEAST, bounds, range_of, shared_dir
 
 #: Chunks whose ids an encoder remembers; beyond that only the first quarter stays (memory only, not results).
-MEMORY = 700_000
+MEMORY = 1_000_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -77,7 +77,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all([text]))
 
-    def encode_all(self, texts: Iterable[str | None], at_once: int = 200) -> Iterator[bytes]:
+    def encode_all(self, texts: Iterable[str | None], at_once: int = 50) -> Iterator[bytes]:
         """Ids of each text as bytes of self.dtype."""
         for some in batched(texts, at_once):
             chunks = [(t or "").replace("\n", " ").split(" ") for t in some]
