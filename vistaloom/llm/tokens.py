@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import LEAST, bounds, range_of, shared_dir
 
 #: Chunks whose ids an encoder remembers; beyond that only the first quarter stays (memory only, not results).
-MEMORY = 1_000_000
+MEMORY = 700_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -136,7 +136,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         enc = encoder(tokenizer)
         tail = np.array([end_id], enc.dtype).tobytes()
         for pdf in batches:
-            yield pdf[["part", "key", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(pdf["text"])])
+            for i in range(0, len(pdf), 1000):
+                some = pdf.iloc[i : i + 1000]
+                yield some[["part", "key", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(some["text"])])
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, lengths, keys, n_null = None, [], [], 0
