@@ -169,7 +169,7 @@ def _parser(samples: dict[str, bytes]) -> Parser:
     return _parsers[key]
 
 
-def identified(docs: DataFrame, samples: dict[str, bytes], text_col: str = "text") -> Column:
+def identified(samples: dict[str, bytes], text_col: str = "text") -> Column:
     """Column struct<lang_pred, score> of a text column."""
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
@@ -188,12 +188,12 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     Only the text enters a prediction. Null and letterless texts are "und" with score 0; repeated
     rows get equal answers; without any labelled text every row is "und". Other columns are not read.
     """
-    found = identified(docs, learn(docs, id_col, text_col, lang_col), text_col)
+    found = identified(learn(docs, id_col, text_col, lang_col), text_col)
     rows = docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), found.alias("__found"))
     return rows.select(id_col, "held_out", "__found.lang_pred", "__found.score")
 
 
 def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that have a language; columns are those of docs."""
-    found = identified(docs, learn(docs, id_col, text_col, lang_col), text_col)
+    found = identified(learn(docs, id_col, text_col, lang_col), text_col)
     return docs.where(found["lang_pred"] != UNKNOWN)

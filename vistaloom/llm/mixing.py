@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, WORD
 
-SPACE_ = SPACE[:-1] + "*"
+GAP = SPACE[:-1] + "*"
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -31,7 +31,7 @@ def source_key(source: Column) -> Column:
 
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word, white space as it was."""
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"{SPACE_}{WORD}"), F.lit(0)), 1, n), "")
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"{GAP}{WORD}"), F.lit(0)), 1, n), "")
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
