@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import templates, text
 from . import sampling
+from .points import range_join
 
 #: Mark colours, in the order they are given out.
 COLOURS = ("red", "green", "blue", "yellow", "cyan", "magenta", "orange", "purple")
@@ -47,7 +48,7 @@ def aligned(df: DataFrame, prompts: str = "messages", images: str = "QA_images",
 
 def marks(nodes: DataFrame, group: list[str], order: str, seed: int = 0, share: float = 0.8) -> DataFrame:
     """Colour and wording of each object of a question: "tag-(colour)" if the question is marked, else
-    the bare tag. ValueError cannot tell here: a ninth object fails the job, as there are eight colours."""
+    the bare tag. There are eight colours: a ninth object fails the job."""
     n = nodes.withColumn("__i", F.row_number().over(Window.partitionBy(*group).orderBy(order)))
     colour = F.when(F.col("__i") > len(COLOURS), F.raise_error(F.lit("more objects than colours"))).otherwise(F.element_at(F.array(*map(F.lit, COLOURS)), F.least(F.col("__i"), F.lit(len(COLOURS)))))
     n = n.withColumn("colour", colour.cast("string")).withColumn("marked", sampling.fraction(seed, *group) < share)
@@ -98,8 +99,6 @@ def annotated_box(centroid: Column, lengths: Column, axes: Column) -> Column:
 def correspondences(a: DataFrame, b: DataFrame, keys: list[str], radius: float = 0.003, margin: int = 10, size: tuple[int, int] = (64, 48), least: int = 10) -> DataFrame:
     """Pixels of a (u, v, p_*) with their nearest point of b within a radius, both `margin` pixels from
     the image edge; keys with fewer than `least` of them go. Points are in world coordinates."""
-    from .points import range_join
-
     inside = lambda u, v: F.col(u).between(margin, size[0] - 1 - margin) & F.col(v).between(margin, size[1] - 1 - margin)
     left, right = a.where(inside("u", "v")), b.where(inside("u", "v")).withColumnsRenamed({"u": "u2", "v": "v2"})
     near = range_join(left, right, radius, keys)

@@ -3,10 +3,11 @@
 Candidate sets are whole: sampling is a separate step (sampling.py), seeded and repeatable.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions.text import metric
 from . import graph
 
 #: Gates of camera pairs: rotation in degrees or distance, then ground distance and height difference, in metres.
@@ -162,14 +163,12 @@ def duplicate_tags(nodes: DataFrame, hidden: tuple[str, ...] = ()) -> DataFrame:
     return n.groupBy("scene_id", "tag").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def volume(prefix: str = "") -> F.col:
+def volume(prefix: str = "") -> Column:
     return F.abs(F.col(f"{prefix}l_x") * F.col(f"{prefix}l_y") * F.col(f"{prefix}l_z"))
 
 
 def absolute_size(nodes: DataFrame) -> DataFrame:
     """Largest extent and height of each node, as text in centimetres below a metre, else metres."""
-    from ..functions.text import metric
-
     extent = F.greatest("l_x", "l_y", "l_z")
     return nodes.select("scene_id", "node_id", extent.alias("extent"), F.col("l_z").alias("height"), volume().alias("volume")).withColumns({"extent_text": metric(F.col("extent")), "height_text": metric(F.col("height"))})
 
