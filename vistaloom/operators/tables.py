@@ -113,10 +113,10 @@ def tag_histogram(tags: DataFrame, most: int = 15) -> DataFrame:
 
 def funnel(counts: DataFrame, warn: float = 0.02, strong: float = 0.005) -> DataFrame:
     """counts: (part, stage_no, stage, n_rows). Adds the rows of the stage before and the share that
-    survived, with a warning level. The window sees a row a stage and part."""
+    survived, with a warning level; a first stage stands beside itself. The window sees a row a stage and part."""
     w = Window.partitionBy("part").orderBy("stage_no")
-    out = counts.withColumn("prev_rows", F.lag("n_rows").over(w))
-    out = out.withColumn("survival", F.round(F.col("n_rows") / F.when(F.col("prev_rows") > 0, F.col("prev_rows")), 6))
+    out = counts.withColumn("prev_rows", F.coalesce(F.lag("n_rows").over(w), F.col("n_rows")))
+    out = out.withColumn("survival", F.round(F.when(F.col("prev_rows") > 0, F.col("n_rows") / F.col("prev_rows")).otherwise(0.0), 6))
     return out.withColumn("level", F.when(F.col("survival") < strong, "strong").when(F.col("survival") < warn, "warn").otherwise("ok"))
 
 

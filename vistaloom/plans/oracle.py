@@ -223,7 +223,7 @@ SELECT scene_id, string_agg(tag, ',' ORDER BY node_id) AS tags, string_agg(CAST(
 c AS (SELECT scene_id % 4 AS part, 0 AS stage_no, 'objects' AS stage, count(*) AS n_rows FROM fx_objects GROUP BY ALL
   UNION ALL SELECT scene_id % 4, 1, 'seen', count(*) FROM (SELECT DISTINCT scene_id, node_id FROM fx_seen) GROUP BY ALL
   UNION ALL SELECT scene_id % 4, 2, 'connected', count(*) FROM many GROUP BY ALL UNION ALL SELECT scene_id % 4, 3, 'few', count(*) FROM many WHERE node_id % 61 = 0 GROUP BY ALL),
-l AS (SELECT *, lag(n_rows) OVER (PARTITION BY part ORDER BY stage_no) AS prev_rows FROM c), s AS (SELECT *, round(n_rows/CAST(nullif(prev_rows, 0) AS DOUBLE), 6) AS survival FROM l)
+l AS (SELECT *, coalesce(lag(n_rows) OVER (PARTITION BY part ORDER BY stage_no), n_rows) AS prev_rows FROM c), s AS (SELECT *, round(CASE WHEN prev_rows > 0 THEN n_rows/CAST(prev_rows AS DOUBLE) ELSE 0 END, 6) AS survival FROM l)
 SELECT part, stage_no, stage, n_rows, prev_rows, survival, CASE WHEN survival < {_d(0.005)} THEN 'strong' WHEN survival < {_d(0.02)} THEN 'warn' ELSE 'ok' END AS level FROM s""",
     "leak_check": """WITH w AS (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part UNION ALL SELECT lower(p_type) FROM part), bad AS (SELECT DISTINCT lower(p_type) AS tag FROM part ORDER BY tag LIMIT 2)
 SELECT lower(tag) AS tag, count(*) AS n FROM w WHERE lower(tag) IN (SELECT tag FROM bad) GROUP BY lower(tag)""",
