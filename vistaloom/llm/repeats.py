@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: A unit ends with the least hash among so many words on either side (or with its line), so it has
-#: more words than this unless the line ends.
+#: more words than this unless the line ends or the words repeat.
 REACH = 3
 #: Words that a run inside a line must have to go, and words that wholly repeated lines must have.
 RUN_WORDS, LINE_WORDS = 20, 5
@@ -69,7 +69,7 @@ class Cut:
         around[REACH : n + REACH] = mixed
         picked = np.ones(n, bool)
         for k in range(1, REACH + 1):
-            picked &= (mixed < around[REACH - k : n + REACH - k]) & (mixed <= around[REACH + k : n + REACH + k])
+            picked &= (mixed <= around[REACH - k : n + REACH - k]) & (mixed <= around[REACH + k : n + REACH + k])
         ends = np.flatnonzero(last | picked) + 1
         self.first = np.concatenate([[0], ends[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
         self.stop = ends
