@@ -120,6 +120,7 @@ def test_words(spark):
     assert one(tx.metric(F.lit(0.256))) == "25.60 centimeters" and one(tx.metric(F.lit(1.5))) == "1.50 meters"
     assert one(tx.clean_name(F.lit("SM_01_LampABC"))) == "lamp" and one(tx.clean_name(F.lit("12"))) == ""
     assert one(tx.fill(F.lit("[X] and [Y]"), {"X": F.lit("a"), "Y": F.lit("b")})) == "a and b"
+    assert one(tx.is_rotated(F.lit(" ARKitScenes_v2"))) and not one(tx.is_rotated(F.lit(None).cast("string")))
     assert one(tx.is_colour(F.lit("Dark Red"), F.lit("x"))) and one(tx.is_colour(F.lit("x"), F.lit("红色"))) and not one(tx.is_colour(F.lit("chair"), F.lit("椅")))
 
 

@@ -33,6 +33,11 @@ def input_type(task: Column) -> Column:
     return F.when(task.startswith("multiview_") | task.startswith("mmsi_"), "multiview").otherwise("singleview")
 
 
+def is_rotated(dataset: Column, prefix: str = "arkitscenes") -> Column:
+    """Whether a dataset's images are stored turned; of a list of names the first counts."""
+    return F.coalesce(F.lower(F.trim(dataset)).startswith(prefix), F.lit(False))
+
+
 def messages(prompt: Column, images: Column) -> Column:
     """[human, gpt] of a prompt, cut at its first "Answer: "; null if it has none."""
     at = F.instr(prompt, ANSWER)
