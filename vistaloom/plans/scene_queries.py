@@ -51,8 +51,7 @@ def camera_object_cross(s, d):
 
 @_query
 def object_object_lr(s, d):
-    v, o, seen = _scene(s, d)
-    return _rounded(tasks.object_object(v.where("view_idx < 24"), o, seen.where("view_idx < 24")))
+    return _rounded(tasks.object_object(*_scene(s, d)))
 
 
 @_query
@@ -217,7 +216,7 @@ def covisible_pairs(s, d):
 @_query
 def only_in_view(s, d):
     v, o, seen = _scene(s, d)
-    pairs = graph.view_pairs(v.select("scene_id", "view_idx")).where("b_view_idx - a_view_idx <= 6")
+    pairs = graph.view_pairs(v.select("scene_id", "view_idx"))
     return graph.tags_only_in_first(pairs, seen, o)
 
 
