@@ -11,6 +11,7 @@ from vistaloom.plans.oracle import ORACLE
 CUTS = {
     " AND b.view_idx < 24": "",
     " AND b.view_idx - a.view_idx <= 6": "",
+    " QUALIFY row_number() OVER (PARTITION BY scene_id, a_view_idx ORDER BY b_view_idx) = 1": "",
 }
 
 
@@ -30,7 +31,7 @@ def uncut(name):
     return text
 
 
-@pytest.mark.parametrize("name", ["object_object_lr", "only_in_view"])
+@pytest.mark.parametrize("name", ["object_object_lr", "only_in_view", "camera_motion"])
 def test_whole(spark, sf_dir, sql, name):
     whole = shown(sql.execute(uncut(name)).df())
     assert shown(scene_queries.queries()[name](spark, sf_dir).toPandas()) == whole

@@ -97,11 +97,9 @@ def object_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, gates: di
 
 
 def camera_motion(views: DataFrame, still: float = 0.1, still_angle: float = 10.0) -> DataFrame:
-    """Static, pure rotation, or main and secondary direction, for successive views."""
+    """Static, pure rotation, or main and secondary direction, for all pairs of views."""
     a, b = g.camera("a_"), g.camera("b_")
     p = graph.view_pairs(views)
-    order = Window.partitionBy("scene_id", "a_view_idx").orderBy("b_view_idx")
-    p = p.withColumn("__n", F.row_number().over(order)).where("__n = 1")
     move = g.to_camera(a, b.at)
     p = p.select("scene_id", "a_view_idx", "b_view_idx", move.x.alias("x"), move.z.alias("z"), g.norm(*move).alias("distance"), g.rotation_angle(a, b).alias("angle"))
     x, z = F.col("x"), F.col("z")
