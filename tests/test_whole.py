@@ -12,6 +12,13 @@ CUTS = {
     " AND b.view_idx < 24": "",
     " AND b.view_idx - a.view_idx <= 6": "",
     " QUALIFY row_number() OVER (PARTITION BY scene_id, a_view_idx ORDER BY b_view_idx) = 1": "",
+    "b.obj_idx = a.obj_idx + 1": "b.obj_idx > a.obj_idx",
+    "b.frame_id = a.frame_id + 1": "b.frame_id > a.frame_id",
+    "SELECT a.frame_id AS pair, count(*)": "SELECT a.frame_id AS a_frame_id, b.frame_id AS b_frame_id, count(*)",
+    "GROUP BY a.frame_id": "GROUP BY a.frame_id, b.frame_id",
+    # Any two others, named: every distance stands for both of its objects.
+    "SELECT a.frame_id, a.b_obj AS obj, a.x": ", t AS (FROM r UNION ALL SELECT frame_id, b_obj, a_obj, x FROM r) SELECT a.frame_id, a.a_obj AS obj, a.b_obj AS a_obj, b.b_obj AS b_obj, a.x",
+    "FROM r a JOIN r b ON a.frame_id = b.frame_id AND a.b_obj = b.a_obj": "FROM t a JOIN t b ON a.frame_id = b.frame_id AND a.a_obj = b.a_obj AND a.b_obj < b.b_obj",
 }
 
 
@@ -31,7 +38,7 @@ def uncut(name):
     return text
 
 
-@pytest.mark.parametrize("name", ["object_object_lr", "only_in_view", "camera_motion"])
+@pytest.mark.parametrize("name", ["object_object_lr", "only_in_view", "camera_motion", "nn_distance", "proximity", "absolute_distance", "relative_distance_points", "distance_obj_cam", "voxel_range_join"])
 def test_whole(spark, sf_dir, sql, name):
     whole = shown(sql.execute(uncut(name)).df())
     assert shown(scene_queries.queries()[name](spark, sf_dir).toPandas()) == whole

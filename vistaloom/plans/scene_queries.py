@@ -252,7 +252,7 @@ def distance_obj_cam(s, d):
     """Which of two frames is closer to an object, by the mean of its nearest points."""
     m = points.closest_mean(points.back_projected(fx.pixels(s, d)), ["frame_id", "obj_idx"]).select("frame_id", "obj_idx", F.round("distance", 6).alias("distance"))
     a, b = graph.prefixed(m, "a_", "obj_idx"), graph.prefixed(m, "b_", "obj_idx")
-    p = a.join(b, "obj_idx").where("b_frame_id = a_frame_id + 1")
+    p = a.join(b, "obj_idx").where("a_frame_id < b_frame_id")
     return p.withColumn("answer", g.compare(F.col("a_distance"), F.col("b_distance"), 0.08, "View 1", "View 2"))
 
 
@@ -286,10 +286,12 @@ def _cloud(s, d):
 
 
 def _pair_distance(s, d):
-    """Nearest distance between neighbouring objects of a frame."""
-    c = _cloud(s, d)
-    a = c.select("frame_id", F.col("obj_idx").alias("a_obj"), (F.col("obj_idx") + 1).alias("b_obj"), "p_x", "p_y", "p_z")
-    b = c.select("frame_id", (F.col("obj_idx") - 1).alias("a_obj"), F.col("obj_idx").alias("b_obj"), "p_x", "p_y", "p_z")
+    """Nearest distance between any two objects of a frame."""
+    c = _cloud(s, d).distinct()
+    o = c.select("frame_id", "obj_idx").distinct()
+    a, b = (o.withColumnRenamed("obj_idx", f"{k}_obj") for k in "ab")
+    pairs = a.join(b, "frame_id").where("a_obj < b_obj")
+    a, b = (c.withColumnRenamed("obj_idx", f"{k}_obj").join(pairs, ["frame_id", f"{k}_obj"]) for k in "ab")
     return points.nearest_distance(a, b, ["frame_id", "a_obj", "b_obj"])
 
 
@@ -309,11 +311,10 @@ def proximity(s, d):
 
 @_query
 def voxel_range_join(s, d):
-    """Points of neighbouring frames within a radius, counted."""
+    """Points of any two frames within a radius, counted."""
     c = _cloud(s, d).select("frame_id", "p_x", "p_y", "p_z").distinct()
-    a = c.withColumn("pair", F.col("frame_id"))
-    b = c.select((F.col("frame_id") - 1).alias("pair"), "p_x", "p_y", "p_z")
-    return points.range_join(a, b, 0.05, ["pair"]).groupBy("pair").agg(F.count("*").alias("n"))
+    a, b = c.withColumnRenamed("frame_id", "a_frame_id"), c.withColumnRenamed("frame_id", "b_frame_id")
+    return points.range_join(a, b, 0.05).where("a_frame_id < b_frame_id").groupBy("a_frame_id", "b_frame_id").agg(F.count("*").alias("n"))
 
 
 def _map(s, d, mirror: str = ""):
@@ -432,18 +433,19 @@ def lookup_labels(s, d):
 
 @_query
 def absolute_distance(s, d):
-    """Distance of neighbouring objects, as text."""
+    """Distance of any two objects of a frame, as text."""
     p = _pair_distance(s, d).withColumn("distance", F.round("distance", 6))
     return p.select("frame_id", "a_obj", "b_obj", tx.metric(F.col("distance")).alias("answer"))
 
 
 @_query
 def relative_distance_points(s, d):
-    """Which neighbour is nearer to an object, by its points."""
+    """Which of any two others is nearer to an object, by its points."""
     p = _pair_distance(s, d).withColumn("distance", F.round("distance", 6))
-    a = p.select("frame_id", F.col("b_obj").alias("obj"), F.col("distance").alias("dist_a"))
-    b = p.select("frame_id", F.col("a_obj").alias("obj"), F.col("distance").alias("dist_b"))
-    return a.join(b, ["frame_id", "obj"]).withColumn("answer", F.when(F.col("dist_a") > F.col("dist_b"), "A").otherwise("B"))
+    both = F.array(F.struct(F.col("a_obj").alias("obj"), F.col("b_obj").alias("other")), F.struct(F.col("b_obj").alias("obj"), F.col("a_obj").alias("other")))
+    p = p.select("frame_id", F.explode(both).alias("o"), "distance").select("frame_id", "o.obj", "o.other", "distance")
+    a, b = (p.select("frame_id", "obj", F.col("other").alias(f"{k}_obj"), F.col("distance").alias(f"dist_{k}")) for k in "ab")
+    return a.join(b, ["frame_id", "obj"]).where("a_obj < b_obj").withColumn("answer", F.when(F.col("dist_a") > F.col("dist_b"), "A").otherwise("B"))
 
 
 @_query
