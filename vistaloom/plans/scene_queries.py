@@ -366,7 +366,7 @@ def failure_log(s, d):
 def messages(s, d):
     """Question and answer turns of a prompt, cut at its first answer mark."""
     t = fx.table(s, d, "conversations").where("text is not null")
-    prompt = F.concat(F.substring("text", 1, 40), F.when(F.col("turn") % 2 == 0, F.concat(F.lit(" Answer: "), F.col("role"), F.lit(" Answer: x"))).otherwise(""))
+    prompt = F.concat("text", F.when(F.col("turn") % 2 == 0, F.concat(F.lit(" Answer: "), F.col("role"), F.lit(" Answer: x"))).otherwise(""))
     m = t.select("conv_id", "turn", tx.messages(prompt, F.col("turn") % 3).alias("m")).where("m is not null")
     return m.select("conv_id", "turn", F.col("m")[0]["value"].alias("human"), F.col("m")[1]["value"].alias("gpt"))
 
@@ -375,14 +375,14 @@ def messages(s, d):
 def blink_output_type(s, d):
     t = fx.table(s, d, "conversations").where("text is not null")
     mark = F.when(F.col("conv_id") % 3 == 0, " A. yes").when(F.col("conv_id") % 3 == 1, " (B)").otherwise(" A:3")
-    q = F.concat(F.lit("<image>  "), F.substring("text", 1, 30), mark)
+    q = F.concat(F.lit("<image>  "), "text", mark)
     return t.select("conv_id", "turn", tx.output_type(q).alias("output_type"), tx.input_type(F.when(F.col("turn") % 2 == 0, "mmsi_x").otherwise("size")).alias("input_type"), F.length(tx.without_images(q)).alias("n"))
 
 
 @_query
 def path_resolve(s, d):
     p = fx.table(s, d, "pages").select("page_id", F.regexp_extract("url", "//[^/]+(/.*)", 1).alias("p"))
-    p = p.withColumn("path", F.when(F.col("page_id") % 2 == 0, F.col("p")).otherwise(F.substring("p", 2, 1000)))
+    p = p.withColumn("path", F.when(F.col("page_id") % 2 == 0, F.col("p")).otherwise(F.substring("p", F.lit(2), F.length("p"))))
     return p.select("page_id", tx.resolve(F.col("path"), "/data/root").alias("full"), tx.relative(tx.resolve(F.col("path"), "/data/root"), "/data/root").alias("short"))
 
 
