@@ -15,13 +15,11 @@ def _tenth(c: Column, factor: int, mod: int, less: float) -> Column:
     return ((c * factor) % mod) / F.lit(10.0) - F.lit(less)
 
 
-def views(spark: SparkSession, sf_dir: str, all_views: bool = False) -> DataFrame:
-    """Posed cameras of a scene (a user) in time order, thinned to about 16 unless all_views."""
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posed cameras of a scene (a user) in time order, all of them."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("scene_id"))
     scene = Window.partitionBy("scene_id")
     v = e.select("scene_id", "event_id", (F.row_number().over(scene.orderBy("ts", "event_id")) - 1).cast("long").alias("view_idx"), F.count("*").over(scene).alias("n"))
-    if not all_views:
-        v = v.where((F.col("n") <= 16) | ((F.col("view_idx") * 16) % F.col("n") < 16))
     i = F.col("event_id")
     v = v.select("scene_id", "view_idx", "event_id", "n", _tenth(i, 31, 211, 10.5).alias("pos_x"), _tenth(i, 47, 223, 11.1).alias("pos_y"), (F.lit(1.2) + ((i * 13) % 9) / F.lit(10.0)).alias("pos_z"), F.radians(((i * 37) % 360).cast("double")).alias("yaw"), F.radians(((i * 11) % 41 - 20).cast("double")).alias("pitch"))
     v = v.select("*", F.sin("yaw").alias("sy"), F.cos("yaw").alias("cy"), F.sin("pitch").alias("sp"), F.cos("pitch").alias("cp"))

@@ -140,7 +140,7 @@ def flatten(s, d):
 
 @_query
 def group(s, d):
-    frames = fx.views(s, d, all_views=True).select(F.col("scene_id").cast("string").alias("scene_id"), "view_idx", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_map"))
+    frames = fx.views(s, d).select(F.col("scene_id").cast("string").alias("scene_id"), "view_idx", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("depth_map"))
     out = tables.group(frames, "scene_id", ["event_id", "depth_map"], "view_idx")
     return out.select("scene_id", F.array_join(F.col("event_id").cast("array<string>"), ",").alias("events"), F.array_join(F.col("depth_map").cast("array<string>"), ",", "null").alias("depths"))
 
@@ -197,7 +197,7 @@ def leak_check(s, d):
 
 @_query
 def view_subsample(s, d):
-    v = fx.views(s, d, all_views=True).select("scene_id", "view_idx")
+    v = fx.views(s, d).select("scene_id", "view_idx")
     return graph.subsample_views(v, 10)
 
 
