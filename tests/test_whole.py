@@ -1,9 +1,13 @@
 """Queries that do more than their registered SQL: against that SQL with its cuts taken out, or brute force."""
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_queries import TABLES, shown
+from vistaloom.operators import sampling
+from vistaloom.plans import fixtures as fx
 from vistaloom.plans import scene_queries
 from vistaloom.plans.oracle import ORACLE
 
@@ -61,3 +65,25 @@ def test_texts_are_read_to_their_end(spark, tmp_path):
     assert kinds[1][1] == len(far + " (B)") and kinds[4][1] == len(far + "A. one (B)")
     spark.createDataFrame([(1, "http://h/" + "x" * 3000)], "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
     assert scene_queries.queries()["path_resolve"](spark, str(tmp_path)).first().full == "/data/root/" + "x" * 3000
+
+
+def test_the_only_chain_of_a_scene_is_found(spark):
+    rows = [(s, v, n) for s in range(5) for v, n in [("v0", "A"), ("v0", "B"), ("W", "B"), ("W", "C"), ("Z", "C"), *[(f"b{i}", "B") for i in range(1000)]]]
+    seen = spark.createDataFrame(rows, "scene_id int, view_idx string, node_id string")
+    got = sampling.chains(seen.where("view_idx <> 'Z'"), 3).collect() + sampling.chains(seen.where("node_id <> 'C'"), 3).collect()
+    assert got == []
+    got = sampling.chains(seen, 3).orderBy("scene_id").collect()
+    assert [tuple(r) for r in got] == [(s, "A", "v0", "B", "W", "C", "Z") for s in range(5)]
+
+
+def test_views_of_a_chain_differ_in_pose(spark, sf_dir):
+    v, seen = fx.views(spark, sf_dir), fx.appearances(spark, sf_dir)
+    at = {(r.scene_id, r.view_idx): [np.array([r[f"{a}_{c}"] for c in "xyz"]) for a in ("right", "down", "fwd")] for r in v.collect()}
+    got = sampling.chains(seen, 3, views=v, min_rotation=60.0).collect()
+    assert got
+    for r in got:
+        for a, b in ((r.view_0, r.view_1), (r.view_0, r.view_2), (r.view_1, r.view_2)):
+            cos = (sum(x @ y for x, y in zip(at[r.scene_id, a], at[r.scene_id, b])) - 1) / 2
+            assert np.degrees(np.arccos(np.clip(cos, -1, 1))) >= 60.0
+    same = v.select("scene_id", "view_idx", *[F.lit(x).alias(f"{a}_{c}") for a, e in (("pos", (0.0, 0.0, 0.0)), ("right", (1.0, 0.0, 0.0)), ("down", (0.0, 1.0, 0.0)), ("fwd", (0.0, 0.0, 1.0))) for c, x in zip("xyz", e)])
+    assert sampling.chains(seen, 3, views=same).count() == 0

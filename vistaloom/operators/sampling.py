@@ -1,5 +1,7 @@
 """Seeded, repeatable choices: no engine randomness, so retries and reruns agree."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,19 +76,53 @@ def diverse_views(views: DataFrame, n: int, min_rotation: float, min_translation
     return out.select("scene_id", F.posexplode(F.transform("chosen", lambda s: s["view_idx"])).alias("place", "view_idx"))
 
 
-def chains(seen: DataFrame, length: int, seed: int = 0) -> DataFrame:
-    """Walks node, view, node, view, ... without reuse, one for each scene that has one: a bounded
-    number of joins, each keeping the step of least hash. Columns node_0, view_0, ..., view_{length-1}."""
-    start = seen.select("scene_id", F.col("node_id").alias("node_0"), F.col("view_idx").alias("view_0"))
-    walk = start
-    for i in range(1, length):
-        used_nodes, used_views = [f"node_{k}" for k in range(i)], [f"view_{k}" for k in range(i)]
-        hop = seen.select("scene_id", F.col("view_idx").alias(f"view_{i - 1}"), F.col("node_id").alias(f"node_{i}"))
-        walk = walk.join(hop, ["scene_id", f"view_{i - 1}"]).where(~F.col(f"node_{i}").isin(*[F.col(c) for c in used_nodes]))
-        nxt = seen.select("scene_id", F.col("node_id").alias(f"node_{i}"), F.col("view_idx").alias(f"view_{i}"))
-        walk = walk.join(nxt, ["scene_id", f"node_{i}"]).where(~F.col(f"view_{i}").isin(*[F.col(c) for c in used_views]))
-        # A few walks of each scene and start go on, by hash.
-        order = Window.partitionBy("scene_id", "node_0").orderBy(key(seed, *used_nodes, *used_views, f"node_{i}", f"view_{i}"))
-        walk = walk.withColumn("__n", F.row_number().over(order)).where("__n <= 4").drop("__n")
-    cols = [f"{a}_{i}" for i in range(length) for a in ("node", "view")]
-    return sample(walk.select("scene_id", *cols), ["scene_id"], 1, seed, *cols)
+def chains(seen: DataFrame, length: int, seed: int = 0, views: DataFrame | None = None, min_rotation: float = 15.0, min_translation: float = 0.0) -> DataFrame:
+    """Walks node, view, node, view, ... without reuse, one for each scene that has one. Columns
+    scene_id, node_0, view_0, ..., view_{length-1}.
+
+    Given views, the pose of each view differs from all earlier ones as in diverse_views; views without
+    a pose pass. A search in hash order that turns back at dead ends, over one scene at a time.
+    """
+    rows = seen.select("scene_id", "view_idx", "node_id").dropna().withColumn("k", key(seed, "scene_id", "view_idx", "node_id"))
+    names = [f"{a}_{c}" for a in ("pos", "right", "down", "fwd") for c in "xyz"]
+    gated = views is not None and (min_rotation > 0 or min_translation > 0)
+    if gated:
+        rows = rows.join(views.select("scene_id", "view_idx", *names), ["scene_id", "view_idx"], "left")
+    kind = {f.name: f.dataType.simpleString() for f in seen.schema}
+    schema = ", ".join([f"scene_id {kind['scene_id']}", *[f"node_{i} {kind['node_id']}, view_{i} {kind['view_idx']}" for i in range(length)]])
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["k", "view_idx", "node_id"])
+        views_of, nodes_of, poses, known = {}, {}, {}, {}
+        for v, n in zip(pdf["view_idx"], pdf["node_id"]):
+            views_of.setdefault(n, []).append(v)
+            nodes_of.setdefault(v, []).append(n)
+        if gated:
+            posed = pdf.dropna(subset=names).drop_duplicates("view_idx")
+            poses = dict(zip(posed["view_idx"], posed[names].to_numpy(np.float64)))
+
+        def far(a, b) -> bool:
+            if a not in poses or b not in poses:
+                return True
+            if (a, b) not in known:
+                p, q = poses[a], poses[b]
+                turned = np.degrees(np.arccos(np.clip((p[3:] @ q[3:] - 1) / 2, -1, 1))) >= min_rotation
+                known[a, b] = bool(turned or (min_translation > 0 and np.linalg.norm(p[:3] - q[:3]) >= min_translation))
+            return known[a, b]
+
+        def go(nodes: list, used: list) -> list | None:
+            for v in views_of[nodes[-1]]:
+                if v in used or not all(far(v, u) for u in used):
+                    continue
+                if len(nodes) == length:
+                    return [x for pair in zip(nodes, [*used, v]) for x in pair]
+                for n in nodes_of[v]:
+                    if n not in nodes and (got := go([*nodes, n], [*used, v])):
+                        return got
+            return None
+
+        cols = ["scene_id", *[f"{a}_{i}" for i in range(length) for a in ("node", "view")]]
+        found = next((got for n in views_of if (got := go([n], []))), None)
+        return pd.DataFrame([[pdf["scene_id"].iloc[0], *found]] if found else [], columns=cols)
+
+    return rows.groupBy("scene_id").applyInPandas(walk, schema)

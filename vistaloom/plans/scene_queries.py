@@ -497,7 +497,7 @@ def diverse_view_triples(s, d):
 
 @_query
 def chain_walk(s, d):
-    return sampling.chains(fx.appearances(s, d), 3)
+    return sampling.chains(fx.appearances(s, d), 3, views=fx.views(s, d))
 
 
 @_query
