@@ -84,3 +84,16 @@ def test_query(spark, sf_dir):
 def test_odd_rows(odd, none):
     assert sorted(map(str, pii.pseudonymised(odd, "k").collect())) == sorted(map(str, odd.collect()))
     assert pii.pseudonymised(none, "k").count() == 0 and pii.pseudonymised(none, "k").columns == odd.columns
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ("4111 1111 1111 1111 12/25", "4111 1111 1111 1111"), ("4111 1111 1111 1111 123", "4111 1111 1111 1111"), ("no 12345 4111 1111 1111 1111.", "4111 1111 1111 1111"),
+        ("12345 555-123-4567", "555-123-4567"), ("ES91 2100 0418 4502 0005 1332 THE", "ES91 2100 0418 4502 0005 1332"), ("GB82 WEST 1234 5698 7654 32 AND", "GB82 WEST 1234 5698 7654 32"),
+    ],
+)
+def test_neighbours_of_a_value_do_not_hide_it(spark, text, value):
+    (new, found), = run(spark, [text])
+    assert [f[1] for f in found] == [value] and found[0][2] != value
+    assert new == text.replace(value, found[0][2])

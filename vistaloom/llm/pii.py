@@ -34,6 +34,9 @@ NANP = r"(?<![0-9A-Za-z+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}
 PHONE = r"(?<![0-9A-Za-z+])\+(?!1[ .(-])[0-9]{2,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-][0-9]{2,8}){1,5}(?![0-9A-Za-z])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 CANDIDATE = "|".join((EMAIL, IBAN, IPV4, DATE, SSN, NANP, PHONE, CARD))
+#: Ends that a card or IBAN may have, from the longest: its match may go on into what stands behind it.
+CARD_ENDS = [f"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)]
+IBAN_ENDS = ["[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"] + [f"[A-Z]{{2}}[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{k}}}{tail}" for k in range(7, 1, -1) for tail in (" [A-Z0-9]{1,3}", "")]
 
 
 def _prf(key: str, kind: str, turn: Column, other: Column) -> Column:
@@ -139,11 +142,19 @@ def _email(m: Column, key: str) -> Column:
     return F.concat(permuted_chars(F.substring_index(m, "@", 1), key, "email", tweak=F.lower(at)), F.lit("@"), at)
 
 
+def _is_card(d: Column) -> Column:
+    return (luhn_total(d) % 10 == 0) & ~d.rlike("^(.)\\1*$")
+
+
+def _is_iban(s: Column) -> Column:
+    return F.length(s).between(15, 34) & (mod97(F.concat(F.substring(s, F.lit(5), F.length(s)), F.left(s, F.lit(4)))) == 1)
+
+
 def _card(m: Column, key: str) -> Column:
     def go(d: Column) -> Column:
         body = F.concat(F.left(d, F.lit(1)), permuted_chars(F.substring(d, F.lit(2), F.length(d) - 2), key, "card", tweak=F.left(d, F.lit(1))))
         check = bound(body, lambda b: F.concat(b, ((10 - luhn_total(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
-        return F.when((luhn_total(d) % 10 == 0) & ~d.rlike("^(.)\\1*$"), _reformat(m, check))
+        return F.when(_is_card(d), _reformat(m, check))
 
     return bound(_only(m, "[^0-9]"), go)
 
@@ -152,8 +163,7 @@ def _iban(m: Column, key: str) -> Column:
     def go(s: Column) -> Column:
         land = F.left(s, F.lit(2))
         new = bound(permuted_chars(F.substring(s, F.lit(5), F.length(s)), key, "iban", tweak=land), lambda b: F.concat(land, F.lpad((98 - mod97(F.concat(b, land, F.lit("00")))).cast("string"), 2, "0"), b))
-        valid = F.length(s).between(15, 34) & (mod97(F.concat(F.substring(s, F.lit(5), F.length(s)), F.left(s, F.lit(4)))) == 1)
-        return F.when(valid, _reformat(m, new, "0-9A-Z"))
+        return F.when(_is_iban(s), _reformat(m, new, "0-9A-Z"))
 
     return bound(_only(m, " "), go)
 
@@ -233,6 +243,22 @@ def pseudonym(m: Column, key: str) -> Column:
     return bound(kind_of(m), go)
 
 
+def _valid(text: Column, pattern: str, ends: list[str], valid: Callable[[Column], Column]) -> Column:
+    """Regular expression of the valid values of a pattern in a text, at any start and with any end,
+    longer ones first; null if there are none."""
+    at = [F.regexp_extract_all(text, F.lit(f"(?<![0-9A-Za-z])(?=({e})(?![0-9A-Za-z]))"), F.lit(1)) for e in ends]
+    values = F.filter(F.array_distinct(F.concat(*at)), valid)
+    return F.when(text.rlike(pattern), bound(values, lambda v: F.when(F.size(v) > 0, F.concat(F.lit("(?<![0-9A-Za-z])(?:"), F.array_join(v, "|"), F.lit(")(?![0-9A-Za-z])")))))
+
+
+def candidates(text: Column) -> Column:
+    """CANDIDATE with the text's own valid cards and IBANs in place of their patterns, so that one that
+    is not valid keeps no other value from being found."""
+    card = _valid(text, CARD, CARD_ENDS, lambda m: _is_card(_only(m, "[^0-9]")))
+    iban = _valid(text, IBAN, IBAN_ENDS, lambda m: _is_iban(_only(m, " ")))
+    return F.concat_ws("|", F.lit(EMAIL), iban, F.lit("|".join((IPV4, DATE, SSN, NANP, PHONE))), card)
+
+
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found: str | None = None) -> DataFrame:
     """docs with text_col pseudonymised; rows and other columns stay, null stays null.
 
@@ -240,17 +266,17 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found: str
     pseudonym>> of what was replaced, in order (empty if nothing was).
     """
     text = F.col(f"`{text_col}`")
-    each = F.transform(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))
-    name = "__found"
-    while name in docs.columns:
-        name += "_"
-    out = docs.withColumn(name, F.when(text.rlike("[0-9@]"), each))
+    name, pattern = "__found", "__pattern"
+    while name in docs.columns or pattern in docs.columns:
+        name, pattern = name + "_", pattern + "_"
+    each = F.transform(F.regexp_extract_all(text, F.col(pattern), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))
+    out = docs.withColumn(pattern, F.when(text.rlike("[0-9@]"), candidates(text))).withColumn(name, F.when(text.rlike("[0-9@]"), each))
     hits = F.col(name)
-    joined = bound(F.split(text, CANDIDATE, -1), lambda parts: F.concat(F.array_join(F.transform(hits, lambda h, i: F.concat(F.get(parts, i), F.coalesce(h["pseudonym"], h["value"]))), ""), F.element_at(parts, -1)))
+    joined = bound(F.split(text, F.col(pattern), -1), lambda parts: F.concat(F.array_join(F.transform(hits, lambda h, i: F.concat(F.get(parts, i), F.coalesce(h["pseudonym"], h["value"]))), ""), F.element_at(parts, -1)))
     out = out.withColumn(text_col, F.when(F.size(hits) > 0, joined).otherwise(text))
     if found:
         out = out.withColumn(found, F.coalesce(F.filter(hits, lambda h: h["pseudonym"].isNotNull()), F.filter(F.array(F.struct(F.lit("").alias("kind"), F.lit("").alias("value"), F.lit("").alias("pseudonym"))), lambda _: F.lit(False))))
-    return out.drop(name)
+    return out.drop(name, pattern)
 
 
 def with_length(new: DataFrame, old: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
