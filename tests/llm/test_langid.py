@@ -49,3 +49,8 @@ def test_odd_rows(odd, none):
     assert langid.languages(odd.withColumn("lang", odd.lang.substr(9, 1).cast("string")).where("doc_id = 1").selectExpr("doc_id", "text", "cast(null as string) lang")).first().lang_pred == "und"
     kept = langid.with_language(odd)
     assert kept.columns == odd.columns and kept.count() == sum(any(c.isalpha() for c in t.text or "") for t in texts)
+
+
+def test_without_labels_only_letterless_texts_go(spark):
+    docs = spark.createDataFrame([(1, "plain words", None), (2, None, None), (3, "12 34", None), (4, "\u6f22\u5b57", None)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.with_language(docs).collect()) == [1, 4]

@@ -194,6 +194,10 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that have a language; columns are those of docs."""
-    found = identified(learn(docs, id_col, text_col, lang_col), text_col)
+    """The documents that have a language; columns are those of docs. Without any labelled text those
+    with letters."""
+    samples = learn(docs, id_col, text_col, lang_col)
+    if not samples:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    found = identified(samples, text_col)
     return docs.where(found["lang_pred"] != UNKNOWN)
