@@ -18,16 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only where the setting is absent (local tests) a temporary folder takes its place.
-    """
+def _top(spark: SparkSession) -> str:
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = f"file://{tempfile.gettempdir()}/vistaloom-{os.getpid()}"
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/vistaloom-{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
+
+    Only where the setting is absent and all runs in one process (local tests) a temporary folder
+    takes its place. cleared() removes all such paths of an application.
+    """
+    return f"{_top(spark)}/{uuid.uuid4().hex}"
+
+
+def cleared(spark: SparkSession) -> None:
+    """Removes every intermediate table of this application: call it when results are written."""
+    remove(spark, _top(spark))
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,27 +57,45 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def bounds(df: DataFrame, key: str, rows_each: int = 4000, most: int = 10_000) -> list[int]:
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, of any type."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`").alias("x"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema], F.lit(0))
+
+
+def bounds(df: DataFrame, key: str, rows_each: int = 4000, most: int = 100_000) -> list[int]:
     """Lower bounds of ranges of a long column with about rows_each rows: values of it, ascending.
 
-    An aggregation with partial sketches; what reaches the driver is at most `most` numbers.
-    Empty input: no bounds.
+    An aggregation with partial sketches; what reaches the driver is at most `most` numbers. The
+    sketch is ten times as fine as the ranges. Empty input: no bounds.
     """
     n = df.count()
     if not n:
         return []
     parts = max(1, min(most, n // rows_each))
     at = [i / parts for i in range(parts)]
-    row = df.agg(F.min(key).alias("least"), F.percentile_approx(key, at, 20_000).alias("cuts")).first()
+    row = df.agg(F.min(key).alias("least"), F.percentile_approx(key, at, max(20_000, 10 * parts)).alias("cuts")).first()
     return sorted({row["least"], *row["cuts"][1:]})
 
 
+def numbers(values: list[int]) -> Column:
+    """array<bigint> literal from one string: a list of many literals takes long to build."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def range_of(key: Column, cuts: list[int]) -> Column:
     """Number of the range that holds key (at least cuts[0]): a binary search in JVM expressions."""
     if len(cuts) < 2:
         return F.lit(0)
     steps = [2**i for i in reversed(range(len(cuts).bit_length()))]
-    table_ = F.lit(cuts)
+    table_ = numbers(cuts)
     return F.aggregate(
         F.lit(steps),
         F.lit(0),

@@ -29,13 +29,16 @@ def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"node": list(up), "parent": [find(i) for i in list(up)]}, dtype="int64")
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b", finish: int = FINISH) -> DataFrame:
+def connected_components(links: DataFrame, a: str = "a", b: str = "b", finish: int = FINISH, left_each: list[int] | None = None) -> DataFrame:
     """(node, root) for every node of an undirected link table; root is a node of the component.
 
-    Each round points every node at its least neighbour (or itself) and contracts the links to
-    those parents, so the number of nodes falls geometrically, whatever the diameter. Tables of
-    a round are written to the shared folder; nothing but a count reaches the driver. Nulls and
-    self-links count for nothing; an empty table gives an empty table.
+    Each round ranks the nodes by a hash of their own and of the round, points every node at its
+    least ranked neighbour (or itself) and contracts the links to those parents. A node that ranks
+    highest among its neighbours goes in that round, and ranks are drawn anew each time, so the number
+    of nodes falls geometrically (in expectation) whatever the labels and the diameter: a path of n
+    nodes in any order takes O(log n) rounds. Tables of a round are written to the shared folder;
+    nothing but a count reaches the driver (left_each, if given, gets the links of every round).
+    Nulls and self-links count for nothing; an empty table gives an empty table.
     """
     spark = links.sparkSession
     made: list[str] = []
@@ -47,21 +50,25 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", finish: i
 
     rest = keep(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null and a <> b"))
     roots = rest.select(F.col("a").alias("node"), F.col("b").alias("root")).where("false")
-    first = True
+    turn = 0
     while n := rest.count():
-        both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if left_each is not None:
+            left_each.append(n)
         if n <= finish:
             parent = keep(rest.coalesce(1).mapInPandas(_finish, "node long, parent long"))
         else:
-            parent = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("parent")))
-        if first:
+            both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            ranked = lambda node: F.struct(F.xxhash64(F.lit(turn), F.col(node)), F.col(node).alias("node"))  # noqa: B023, E731
+            least = both.groupBy(F.col("a").alias("node")).agg(F.min(ranked("b")).alias("least"))
+            parent = keep(least.select("node", F.least(ranked("node"), "least")["node"].alias("parent")))
+        if not turn:
             roots = parent.select("node", F.col("parent").alias("root"))
         else:
             up = parent.select(F.col("node").alias("root"), F.col("parent").alias("up"))
             roots = keep(roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
         if n <= finish:
             break
-        first = False
+        turn += 1
         left = parent.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
         right = parent.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
         next_ = rest.join(left, "a").join(right, "b").where("pa <> pb")

@@ -10,7 +10,7 @@ and estimates between two such are exact.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LEAST, SPACE, bound, bounds, range_of
+from .common import LEAST, SPACE, bound, bounds, numbers, range_of
 
 K = 256
 WORDS = 5
@@ -84,7 +84,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, columns: dict[str, Co
     if not cuts:
         cuts = [LEAST]
     own = range_of(F.col("key"), cuts)
-    first = F.col("key") == F.get(F.lit(cuts), own)
+    first = F.col("key") == F.get(numbers(cuts), own)
     places = F.concat(
         F.array(F.struct(own.alias("range"), F.lit(0).alias("guest"))),
         F.when(first & (own > 0), F.array(F.struct((own - 1).alias("range"), F.lit(1).alias("guest")))).otherwise(F.expr("array()").cast("array<struct<range:int,guest:int>>")),

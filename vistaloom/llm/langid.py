@@ -3,28 +3,35 @@
 For every language a suffix automaton of a bounded sample of labelled text recognises all of its
 substrings. A text is parsed left to right into the longest phrases that occur in the sample; the
 fewer phrases it needs, weighed by the bits that name one (log2 of the sample's length), the closer
-it is to the language. Texts are parsed many at a time: the automaton is one table by state and
-symbol, and a step moves all of them by one symbol.
+it is to the language. A text is one parse from its first byte to its last. Texts are parsed many
+at a time, longest first: a step moves all of them by one byte; the last few, longer than the rest,
+go on one by one. An automaton is a double array: the transition of a state by a byte stands at the
+state's number plus the byte, beside the state that owns it, so a language takes memory by its
+transitions (about 50 bytes a byte of its sample) and not by states times symbols.
 """
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The bounded sample: so many labelled documents of each language, so many characters of each.
+#: The bounded sample: so many whole labelled texts of each language, of at most so many characters.
+#: Where a language has too few of these, its shortest ones, DOCUMENTS x CHARACTERS in all (one at least).
 DOCUMENTS = 96
-CHARACTERS = 400
-#: Bytes that are parsed without a break, and such stretches moved at a time (memory bounds).
-STRETCH = 512
+CHARACTERS = 800
+#: Texts moved at a time and bytes of each laid out at once (memory bounds), and below how many texts
+#: each goes on by itself.
 WIDTH = 4096
+STRETCH = 512
+FEW = 64
 UNKNOWN = "und"
 
-_GAP = re.compile(r"[\W\d_]+")
+#: A word is letters with their combining marks.
+_GAP = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters_of(text: str | None) -> bytes:
@@ -63,59 +70,99 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return go
 
 
+class Automaton:
+    """A suffix automaton as a double array. A state is its place: its transition by byte c stands at
+    place + c if `owner` there is the place. Places are drawn at random until nothing collides."""
+
+    def __init__(self, sample: bytes):
+        go = suffix_automaton(sample)
+        state = np.repeat(np.arange(1, len(go)), [len(out) for out in go[1:]])
+        byte = np.array([c for out in go[1:] for c in out], np.int64)
+        target = np.array([t for out in go[1:] for t in out.values()], np.int64)
+        size = 2 * len(state) + len(go) + 1024
+        rng, many = np.random.default_rng(1), np.bincount(state, minlength=len(go))
+        place, used, taken = np.zeros(len(go), np.int64), np.zeros(size + 256, bool), np.zeros(size, bool)
+        taken[0] = True  # place 0 is the start, which has no transitions of its own
+        for low, high in ((8, 257), (4, 8), (2, 4), (1, 2), (0, 1)):
+            left = np.flatnonzero((many >= low) & (many < high) & (np.arange(len(go)) > 0))
+            while len(left):
+                at = np.zeros(len(go), np.int64)
+                at[left] = rng.integers(1, size, len(left))
+                good = np.zeros(len(go), bool)
+                good[left[np.unique(at[left], return_index=True)[1]]] = True
+                good &= ~taken[at]
+                own = np.flatnonzero(good[state])
+                slot = at[state[own]] + byte[own]
+                bad = np.ones(len(own), bool)
+                bad[np.unique(slot, return_index=True)[1]] = False
+                good[state[own[bad | used[slot]]]] = False
+                own = own[good[state[own]]]
+                used[at[state[own]] + byte[own]] = True
+                placed = left[good[left]]
+                place[placed], taken[at[placed]] = at[placed], True
+                left = left[~good[left]]
+        self.owner, self.next = np.full(size + 256, -1, np.int32), np.zeros(size + 256, np.int32)
+        self.owner[place[state] + byte], self.next[place[state] + byte] = place[state], place[target]
+        self.start = np.zeros(256, np.int32)
+        for c, t in go[0].items():
+            self.start[c] = place[t]
+        self.bits = math.log2(max(2, len(sample)))
+
+    def move(self, steps: np.ndarray, active: np.ndarray, row: np.ndarray, phrases: np.ndarray) -> None:
+        """Moves the first active[t] texts by steps[t], for every t; row and phrases are theirs."""
+        for step, n in zip(steps, active.tolist()):
+            at, now = step[:n], row[:n]
+            slot = now + at
+            on = self.owner.take(slot) == now
+            phrases[:n] += ~on
+            row[:n] = np.where(on, self.next.take(slot), self.start.take(at))
+
+    def finish(self, rest: bytes, row: int) -> int:
+        """Phrases that begin in the rest of a text whose parse has come to row."""
+        owner, next_, start, n = memoryview(self.owner), memoryview(self.next), memoryview(self.start), 0
+        for c in rest:
+            if owner[row + c] == row:
+                row = next_[row + c]
+            else:
+                n += 1
+                row = start[c]
+        return n
+
+
 class Parser:
     """Counts phrases of many texts against one automaton per language."""
 
     def __init__(self, samples: dict[str, bytes]):
         self.languages = sorted(samples)
-        used = sorted(set().union(*samples.values())) if samples else []
-        self.symbol = np.ones(256, np.int32)  # 1: in no sample; 0: past the end
-        self.symbol[used] = np.arange(2, len(used) + 2)
-        self.tables, self.bits = [], []
-        for name in self.languages:
-            go = suffix_automaton(samples[name])
-            width = len(used) + 2
-            # An entry is the next state's row times 2, plus 1 if a phrase begins with the symbol.
-            start = np.ones(width, np.int32)
-            for c, s in go[0].items():
-                start[self.symbol[c]] = 2 * s * width + 1
-            table = np.tile(start, (len(go), 1))
-            table[:, 0] = 2 * width * np.arange(len(go), dtype=np.int32)
-            for s, out in enumerate(go[1:], 1):
-                for c, t in out.items():
-                    table[s, self.symbol[c]] = 2 * t * width
-            self.tables.append(table.ravel())
-            self.bits.append(math.log2(max(2, len(samples[name]))))
+        self.automata = [Automaton(samples[name]) for name in self.languages]
 
     def costs(self, texts: list[bytes]) -> np.ndarray:
         """Bits of every text (row) in every language (column)."""
         out = np.zeros((len(texts), len(self.languages)))
-        pieces, owner = [], []
-        for i, t in enumerate(texts):
-            for k in range(0, len(t), STRETCH):
-                pieces.append(t[k : k + STRETCH])
-                owner.append(i)
-                if len(pieces) == WIDTH:
-                    self._add(out, pieces, owner)
-                    pieces, owner = [], []
-        if pieces:
-            self._add(out, pieces, owner)
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        for k in range(0, len(order), WIDTH):
+            some = order[k : k + WIDTH]
+            out[some] = self._costs([texts[i] for i in some])
         return out
 
-    def _add(self, out: np.ndarray, pieces: list[bytes], owner: list[int]) -> None:
-        flat = np.frombuffer(b"".join(p.ljust(STRETCH, b"\0") for p in pieces), np.uint8).reshape(len(pieces), STRETCH)
-        symbols = self.symbol[flat]
-        size = np.array(list(map(len, pieces)))
-        symbols[np.arange(STRETCH) >= size[:, None]] = 0
-        steps = np.ascontiguousarray(symbols[:, : int(size.max())].T)
-        for k, (table, bits) in enumerate(zip(self.tables, self.bits)):
-            phrases = np.zeros(len(pieces), np.int64)
-            row = np.zeros(len(pieces), np.int32)
-            for step in steps:
-                got = table.take(row + step)
-                phrases += got & 1
-                row = got >> 1
-            out[:, k] += np.bincount(owner, phrases * bits, len(out))
+    def _costs(self, texts: list[bytes]) -> np.ndarray:
+        """Of at most WIDTH texts, longest first."""
+        size = np.array([len(t) for t in texts])
+        rows = [np.zeros(len(texts), np.int32) for _ in self.automata]
+        phrases = [np.zeros(len(texts), np.int64) for _ in self.automata]
+        at = 0
+        while (n := int((size > at).sum())) >= FEW:
+            flat = np.frombuffer(b"".join(t[at : at + STRETCH].ljust(STRETCH, b"\0") for t in texts[:n]), np.uint8).reshape(n, STRETCH)
+            width = min(STRETCH, int(size[0]) - at)
+            steps = np.ascontiguousarray(flat[:, :width].T).astype(np.int32)
+            active = n - np.searchsorted(size[:n][::-1], np.arange(at, at + width), "right")
+            for automaton, row, count in zip(self.automata, rows, phrases):
+                automaton.move(steps, active, row, count)
+            at += STRETCH
+        for i in range(n):
+            for automaton, row, count in zip(self.automata, rows, phrases):
+                count[i] += automaton.finish(texts[i][at:], int(row[i]))
+        return np.stack([count * automaton.bits for automaton, count in zip(self.automata, phrases)], axis=1) if self.automata else np.zeros((len(texts), 0))
 
 
 def predict(parser: Parser, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -139,22 +186,30 @@ def held_out(id_: Column) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", documents: int = DOCUMENTS, characters: int = CHARACTERS) -> dict[str, bytes]:
-    """A bounded sample of labelled text by language: at most documents x characters of each.
+    """A bounded sample of labelled text by language: at most `documents` different texts of each, whole.
 
-    Documents come in the order of a hash of their text, one piece of each from a hashed place;
-    held-out ones, null labels and texts without letters are not taken.
+    Texts of at most `characters` come first, by a hash of the text, then longer ones, shortest first,
+    as long as those before have under documents x characters. So a language's sample is bounded by
+    that, or is one text. Held-out rows, null labels and texts without letters are not taken. Choice is
+    by language, hash and length alone; then the chosen texts are fetched.
     """
-    h = F.xxhash64(F.lit("sample"), F.col(text_col))
-    rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    start = F.pmod(h, F.greatest(F.char_length(text_col) - characters, F.lit(1))).cast("int") + 1
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), h.alias("h"), F.substring(F.col(text_col), start, F.lit(characters)).alias("piece")).distinct()
-    for key in (("lang", F.pmod("h", F.lit(64))), ("lang",)):  # salted first: a language may hold most rows
-        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*key).orderBy("h", "piece"))).where(F.col("n") <= documents)
-    pieces: dict[str, list[tuple[int, bytes]]] = {}
-    for r in rows.collect():
-        pieces.setdefault(r["lang"], []).append((r["n"], letters_of(r["piece"])))
-    texts = {lang: b"".join(p for _, p in sorted(some)) for lang, some in pieces.items()}
-    return {lang: t for lang, t in texts.items() if t}
+    text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
+    rows = docs.where(~held_out(F.col(f"`{id_col}`")) & lang.isNotNull() & text.rlike(r"\p{L}"))
+    rows = rows.select(lang.cast("string").alias("lang"), F.xxhash64(F.lit("sample"), text).alias("h"), text.alias("text"))
+    size = F.char_length("text")
+    least = rows.select("lang", "h", size.alias("size"), F.when(size <= characters, 0).otherwise(size).alias("over"))
+    for key in (("lang", F.pmod("h", F.lit(8))), ("lang",)):  # salted first: a language may hold most rows
+        # Equal texts have equal rank: dense_rank counts different ones.
+        least = least.withColumn("n", F.dense_rank().over(Window.partitionBy(*key).orderBy("over", "h"))).where(F.col("n") <= documents)
+        least = least.dropDuplicates(["lang", "h"])
+    before = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    least = least.where(F.coalesce(F.sum("size").over(before), F.lit(0)) < documents * characters).select("lang", "h", "n")
+    chosen = F.broadcast(least)  # documents rows a language at most
+    pieces: dict[str, dict[int, bytes]] = {}
+    for r in rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "n", "text").collect():
+        pieces.setdefault(r["lang"], {})[r["n"]] = letters_of(r["text"])
+    texts = {name: b"".join(p for _, p in sorted(some.items())) for name, some in pieces.items()}
+    return {name: t for name, t in texts.items() if t}
 
 
 _parsers: dict[int, Parser] = {}
@@ -194,8 +249,10 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents that have a language; columns are those of docs. Without any labelled text those
-    with letters."""
+    """The documents that have a language; columns are those of docs, whatever their names.
+
+    Without any labelled text those with letters. Null, empty and letterless texts go; long texts are
+    parsed whole; repeated rows stay or go together; an empty table stays empty."""
     samples = learn(docs, id_col, text_col, lang_col)
     if not samples:
         return docs.where(F.col(text_col).rlike(r"\p{L}"))

@@ -16,16 +16,38 @@ Kinds and domains:
            dd-mm-yyyy, and mm/dd/yyyy (dd/mm/yyyy where only that is a date)
 """
 
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bound
+from .common import bound, fresh
 
 ROUNDS = 10
-
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}"
+#: Where a session keeps the secret of the permutations.
+SECRET = "spark.vistaloom.pii.key"
+
+
+def secret(spark: SparkSession) -> str:
+    """The session's secret. Where none is set, one is drawn that holds for this session only: values
+    are then linked within it, and nobody can map them back later."""
+    key = spark.conf.get(SECRET, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(SECRET, key)
+    return key
+
+
+#: Every part of an e-mail pattern is possessive and begins where its run of characters does (or the match
+#: before ended), so a text is passed once and nothing stacks up, however long its runs are.
+_LOCAL = "A-Za-z0-9._%+-"
+_LABEL = "[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+"
+_NAMED, _OTHER = rf"\.(?=[A-Za-z]{{2}}){_LABEL}", rf"\.(?![A-Za-z]{{2}}){_LABEL}"
+EMAIL = (
+    rf"(?:(?<![{_LOCAL}])|\G)[._%+-]*+[A-Za-z0-9][{_LOCAL}]*+@{_LABEL}"
+    rf"(?:(?:{_OTHER})*+{_NAMED}(?=(?:{_OTHER})*+\.[A-Za-z]{{2}}))*+(?:{_OTHER})*+\.[A-Za-z]{{2,}}+"
+)
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}-[0-9]{2}-[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])"
@@ -101,16 +123,14 @@ def permuted_chars(s: Column, key: str, kind: str, leading: tuple[int, ...] = ()
         return F.when(_is(c, "a-zA-Z"), 26).when(lead(i) & _is(c, "2-9"), 8).when(lead(i) & _is(c, "01"), 2).when(_is(c, "0-9"), 10)
 
     def go(cs: Column) -> Column:
+        every = F.transform(cs, lambda c, i: F.struct(c.alias("c"), low(c, i).alias("low"), F.coalesce(size(c, i), F.lit(1)).cast("long").alias("radix")))
+
         def placed(free: Column) -> Column:
-            # free: struct(char, low, radix) of the places that move
-            moved = permuted_digits(F.transform(free, lambda x: F.ascii(x["c"]) - x["low"]), F.transform(free, lambda x: x["radix"].cast("long")), key, kind, tweak)
-            return bound(
-                F.struct(moved.alias("new"), F.transform(free, lambda x: x["at"]).alias("at")),
-                lambda m: F.array_join(F.transform(cs, lambda c, i: F.when(low(c, i).isNull(), c).otherwise(F.char(F.get(m["new"], F.array_position(m["at"], i).cast("int") - 1) + low(c, i)))), ""),
-            )
+            # Characters that stay are digits of radix 1.
+            moved = permuted_digits(F.transform(free, lambda x: F.coalesce(F.ascii(x["c"]) - x["low"], F.lit(0))), F.transform(free, lambda x: x["radix"]), key, kind, tweak)
+            return bound(moved, lambda new: F.array_join(F.transform(free, lambda x, i: F.when(x["low"].isNull(), x["c"]).otherwise(F.char(F.get(new, i) + x["low"]))), ""))
 
-        every = F.transform(cs, lambda c, i: F.struct(c.alias("c"), low(c, i).alias("low"), size(c, i).alias("radix"), i.alias("at")))
-        return bound(F.filter(every, lambda x: x["low"].isNotNull()), placed)
+        return bound(every, placed)
 
     return bound(_chars(s), go)
 
@@ -139,7 +159,9 @@ def mod97(s: Column) -> Column:
 
 def _email(m: Column, key: str) -> Column:
     at = F.substring_index(m, "@", -1)
-    return F.concat(permuted_chars(F.substring_index(m, "@", 1), key, "email", tweak=F.lower(at)), F.lit("@"), at)
+    local = F.substring_index(m, "@", 1)
+    marks = F.regexp_extract(local, "^[._%+-]*+", 0)
+    return F.concat(marks, permuted_chars(F.substring(local, F.length(marks) + 1, F.length(local)), key, "email", tweak=F.lower(at)), F.lit("@"), at)
 
 
 def _is_card(d: Column) -> Column:
@@ -263,12 +285,13 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", found: str
     """docs with text_col pseudonymised; rows and other columns stay, null stays null.
 
     key is the secret of the permutations. found: a column to add, array<struct<kind, value,
-    pseudonym>> of what was replaced, in order (empty if nothing was).
+    pseudonym>> of what was replaced, in order (empty if nothing was); a column of docs of that name
+    gives way to it. Empty texts stay empty and whole texts are read, in time proportional to their
+    length whatever they hold. Equal texts become equal texts, repeated rows stay repeated, and an
+    empty table stays empty.
     """
     text = F.col(f"`{text_col}`")
-    name, pattern = "__found", "__pattern"
-    while name in docs.columns or pattern in docs.columns:
-        name, pattern = name + "_", pattern + "_"
+    name, pattern = fresh(docs, "__found"), fresh(docs, "__pattern")
     each = F.transform(F.regexp_extract_all(text, F.col(pattern), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), pseudonym(m, key).alias("pseudonym")))
     out = docs.withColumn(pattern, F.when(text.rlike("[0-9@]"), candidates(text))).withColumn(name, F.when(text.rlike("[0-9@]"), each))
     hits = F.col(name)

@@ -11,12 +11,8 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
-#: The queries' secret; a deployment passes its own.
-PII_KEY = "a key that only the data owner has"
-
-
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, found="found")
+    rows = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.secret(spark), found="found")
     return rows.select("doc_id", "text", F.size("found").alias("n_replaced"), F.array_join(F.array_sort(F.array_distinct("found.kind")), ",").alias("kinds"))
 
 

@@ -5,11 +5,13 @@ least one of four 16-bit blocks, so each distinct fingerprint is sent, rotated,
 subtries named by its blocks, and every link lies within one subtrie. In a subtrie the trie is
 the sorted array itself: pairs of nodes (ranges of the array) descend together bit by bit, carry
 the differing bits so far, and are dropped once these exceed the budget. Subtries of many
-fingerprints are first divided again by four 12-bit blocks of the rest, by the same argument.
+fingerprints are first divided again, by four blocks of the bits that are left, and those of many
+once more, by the same argument.
 Equal fingerprints are one class from the start; a task gives a spanning forest of its links, not
 all pairs, which leaves every component as it is.
 """
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import row_hash, written
 from .components import connected_components
 
 BUDGET = 3
-#: Subtries of more distinct fingerprints than this are divided by a second block.
+#: Subtries of more distinct fingerprints than this are divided by a block of the bits that are left.
 DENSE = 1024
+#: Bits that the divisions one after another quarter, and the number of the first group of each.
+FREE, FIRST = (64, 48, 36), (0, 4, 20)
 #: Node pairs that descend at a time, and pairs of fingerprints compared at a time: memory bounds.
 FRONT = 100_000
 LEAF = 64
@@ -63,26 +67,34 @@ def _rotated(fp: Column, bits: int) -> Column:
     return fp if bits == 0 else F.shiftleft(fp, bits).bitwiseOR(F.shiftrightunsigned(fp, 64 - bits))
 
 
-def _low_rotated(key: Column, bits: int) -> Column:
-    """The upper 16 bits stay, the lower 48 turn left."""
-    low = key.bitwiseAND(F.lit(2**48 - 1))
+def _low_rotated(key: Column, low: int, bits: int) -> Column:
+    """The upper bits stay, the lower `low` bits turn left."""
     if bits == 0:
         return key
-    turned = F.shiftleft(low, bits).bitwiseAND(F.lit(2**48 - 1)).bitwiseOR(F.shiftrightunsigned(low, 48 - bits))
-    return key.bitwiseAND(F.lit(-(2**48))).bitwiseOR(turned)
+    rest = key.bitwiseAND(F.lit(2**low - 1))
+    turned = F.shiftleft(rest, bits).bitwiseAND(F.lit(2**low - 1)).bitwiseOR(F.shiftrightunsigned(rest, low - bits))
+    return key.bitwiseAND(F.lit(-(2**low))).bitwiseOR(turned)
 
 
 def _unrotate(key: np.ndarray, grp: np.ndarray) -> np.ndarray:
-    """Fingerprints (uint64) from keys of group 0..3 (one block) or 4..19 (two blocks)."""
-    key, two = key.copy(), grp >= 4
-    block = np.where(two, (grp - 4) // 4, grp).astype(np.uint64)
-    turn = np.where(two, (grp - 4) % 4, 0).astype(np.uint64) * np.uint64(12)
-    low48 = np.uint64(2**48 - 1)
-    low = key & low48
-    low = ((low >> turn) | (low << (np.uint64(48) - turn))) & low48
-    key = (key & ~low48) | low
-    r = block * np.uint64(16)
-    return np.where(r == 0, key, (key >> r) | (key << ((np.uint64(64) - r) % np.uint64(64))))
+    """Fingerprints (uint64) from keys: grp names the block of every division, LEVELS from the first."""
+    key = key.copy()
+    for level in range(len(FREE) - 1, -1, -1):
+        low, deep = np.uint64(FREE[level]), grp >= FIRST[level]
+        block = grp - FIRST[level]
+        for deeper in range(level + 1, len(FREE)):  # the digit of this division
+            block = np.where(grp >= FIRST[deeper], (grp - FIRST[deeper]) // 4 ** (deeper - level), block)
+        turn = np.where(deep, block % 4, 0).astype(np.uint64) * np.uint64(FREE[level] // 4)
+        mask = np.uint64(2 ** FREE[level] - 1)
+        rest = key & mask
+        key = (key & ~mask) | (np.where(turn == 0, rest, (rest >> turn) | (rest << ((low - turn) % np.uint64(64)))) & mask)
+    return key
+
+
+def _prefix(grp: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """What names a key's subtrie within its group: the bits that all its divisions hold equal."""
+    free = np.select([grp >= f for f in FIRST[::-1]], [3 * x // 4 for x in FREE[::-1]]).astype(np.uint64)
+    return key >> free
 
 
 def _compare(keys: np.ndarray, l1, h1, l2, h2) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -188,7 +200,7 @@ def _links(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by (grp, key); a subtrie that a batch may have cut waits for the next."""
 
     def solve(grp: np.ndarray, key: np.ndarray) -> pd.DataFrame:
-        prefix = key >> np.where(grp >= 4, 36, 48).astype(np.uint64)
+        prefix = _prefix(grp, key)
         cut = np.flatnonzero((grp[1:] != grp[:-1]) | (prefix[1:] != prefix[:-1])) + 1
         lo, hi = np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])
         forest, a, b = _Forest(len(key)), [], []
@@ -199,33 +211,40 @@ def _links(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fp = _unrotate(key, grp).view("<i8")
         return pd.DataFrame({"a": fp[a], "b": fp[b]})
 
-    held: tuple[np.ndarray, np.ndarray] | None = None
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # of one subtrie, the last one so far
     for pdf in rows:
         grp, key = pdf["grp"].to_numpy(np.int64), pdf["key"].to_numpy(np.int64).view(np.uint64)
-        if held is not None:
-            grp, key = np.concatenate([held[0], grp]), np.concatenate([held[1], key])
         if not len(key):
             continue
-        prefix = key >> np.where(grp >= 4, 36, 48).astype(np.uint64)
-        last = int(np.flatnonzero((grp != grp[-1]) | (prefix != prefix[-1]))[-1]) + 1 if (grp[0], prefix[0]) != (grp[-1], prefix[-1]) else 0
-        if last:
+        prefix = _prefix(grp, key)
+        other = np.flatnonzero((grp != grp[-1]) | (prefix != prefix[-1]))
+        last = int(other[-1]) + 1 if len(other) else 0
+        if held and (last or held[0][0][0] != grp[0] or _prefix(*held[0])[0] != prefix[0]):
+            held.append((grp[:last], key[:last]))
+            yield solve(*map(np.concatenate, zip(*held)))
+            held = []
+        elif last:
             yield solve(grp[:last], key[:last])
-        held = grp[last:], key[last:]
-    if held is not None:
-        yield solve(*held)
+        held.append((grp[last:], key[last:]))
+    if held:
+        yield solve(*map(np.concatenate, zip(*held)))
 
 
 def near_links(fps: DataFrame, column: str = "fp") -> DataFrame:
     """(a, b): links that join the distinct long fingerprints of a table into their components."""
-    fp = F.col(column)
-    blocks = fps.select(F.explode(F.array(*[F.struct(F.lit(b).alias("grp"), _rotated(fp, 16 * b).alias("key")) for b in range(4)])).alias("x"))
-    blocks = blocks.select("x.grp", "x.key", F.shiftrightunsigned("x.key", 48).alias("top"))
-    dense = blocks.groupBy("grp", "top").count().where(F.col("count") > DENSE).select("grp", "top")
-    light = blocks.join(dense, ["grp", "top"], "left_anti")
-    heavy = blocks.join(dense, ["grp", "top"], "left_semi")
-    heavy = heavy.select(F.explode(F.array(*[F.struct((4 + F.col("grp") * 4 + t).alias("grp"), _low_rotated(F.col("key"), 12 * t).alias("key")) for t in range(4)])).alias("x"))
-    heavy = heavy.select("x.grp", "x.key", F.shiftrightunsigned("x.key", 36).alias("top"))
-    tries = light.unionByName(heavy).repartition("grp", "top")
+    rows, done = fps.select(F.lit(0).alias("grp"), F.col(column).alias("key")), []
+    for level, (low, first) in enumerate(zip(FREE, FIRST)):
+        turned = lambda t: _low_rotated(F.col("key"), low, t * low // 4) if level else _rotated(F.col("key"), t * low // 4)  # noqa: B023, E731
+        own = F.col("grp") - (FIRST[level - 1] if level else 0)
+        rows = rows.select(F.explode(F.array(*[F.struct((first + own * 4 + t).cast("int").alias("grp"), turned(t).alias("key")) for t in range(4)])).alias("x"))
+        rows = rows.select("x.grp", "x.key", F.shiftrightunsigned("x.key", 3 * low // 4).alias("top"))
+        if level + 1 == len(FREE):
+            done.append(rows)
+            break
+        dense = rows.groupBy("grp", "top").count().where(F.col("count") > DENSE).select("grp", "top")
+        done.append(rows.join(dense, ["grp", "top"], "left_anti"))
+        rows = rows.join(dense, ["grp", "top"], "left_semi").select("grp", "key")
+    tries = functools.reduce(DataFrame.unionByName, done).repartition("grp", "top")
     unsigned = F.col("key").bitwiseXOR(F.lit(-(2**63)))
     return tries.sortWithinPartitions("grp", unsigned).select("grp", "key").mapInPandas(_links, "a long, b long").distinct()
 
@@ -255,13 +274,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each near-duplicate class: of smallest id, null ids last, then by text hash.
+    """One document of each near-duplicate class: of smallest id, null ids last, then by the hash of
+    the text, then by that of the whole row.
 
-    Repeated rows (equal id and text) leave one of them. Columns are those of docs.
+    So rows that differ in any column leave one in a defined way, and wholly equal rows leave one of
+    them. Null, empty and wordless texts are one class, long texts are read whole, an empty table
+    stays empty. Columns are those of docs, whatever their names.
     """
-    key = [F.col(id_col).isNull().alias("__no"), F.coalesce(F.col(id_col), F.lit(0)).alias("__id"), F.xxhash64(text_col).alias("__text")]
-    prints = written(docs.select(*key, fingerprint(F.col(text_col)).alias("fp")))
-    rows = prints.groupBy("fp").agg(F.min(F.struct("__no", "__id", "__text")).alias("first"))
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    names = ["no_id", "id", "text_hash", "row_hash"]
+    rank = [id_.isNull().alias("no_id"), F.coalesce(id_.cast("long"), F.lit(0)).alias("id"), F.xxhash64(text).alias("text_hash"), row_hash(docs).alias("row_hash")]
+    prints = written(docs.select(*rank, fingerprint(text).alias("fp")))
+    rows = prints.groupBy("fp").agg(F.min(F.struct(*names)).alias("first"))
     kept = rows.join(_members(rows), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    names = [k for k in ("__no", "__id", "__text")]
-    return docs.select("*", *key).join(kept, names, "left_semi").dropDuplicates(names).drop(*names)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *rank)
+    return whole.join(kept, names, "left_semi").dropDuplicates(names).select("row.*")

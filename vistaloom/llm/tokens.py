@@ -12,7 +12,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import batched, islice
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -22,8 +22,11 @@ from pyspark.sql import functions as F
 
 from .common import LEAST, bounds, range_of, shared_dir
 
-#: Chunks whose ids an encoder remembers; beyond that only the first quarter stays (memory only, not results).
-MEMORY = 700_000
+#: Bytes of chunks and ids that an encoder remembers; beyond that only the first quarter stays (memory
+#: only, not results). ENTRY: what a chunk takes besides its characters and ids.
+MEMORY, ENTRY = 160_000_000, 210
+#: What shows whether a tokenizer's ids are those of its chunks end to end.
+PROBES = ("a b", " a", "a ", "a  b", "a\nb", "a \n b.", "It's 1,234.5 (x) done", "Été 漢字 ñ", "x\t y\r\nz", "don't 'll !? ... <a b>", "e\u0301 \u0301 a", "\U0001f600 \U0001f600\u200d b", "")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -35,9 +38,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class Encoder:
     """Ids of whole texts by the tokenizers library, without special tokens of its own.
 
-    The vocabulary's splitter ends every token at white space, so a text's ids are those of its
-    chunks between plain spaces and line ends, end to end; ids of chunks seen before are remembered. Chunks of letters only
-    are encoded many at a time and cut at word-end tokens.
+    A vocabulary with word-end tokens whose splitter ends every token at white space gives a text the
+    ids of its chunks between plain spaces and line ends, end to end; ids of chunks seen before are
+    remembered. Chunks of letters only are encoded many at a time and cut at word-end tokens. Whether
+    a vocabulary is so is tried on PROBES when it is loaded; others encode every text by itself.
     """
 
     def __init__(self, path: str):
@@ -50,7 +54,13 @@ class Encoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
+        self.held = 0
         self.marks = {m: self._ids(m) for m in ".,;:!?"}
+        self.by_chunk = bool(self.ends.any()) and all(self._ids(p) == b"".join(map(self._ids, self._chunks(p))) for p in PROBES)
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
 
     def _ids(self, text: str) -> bytes:
         ids = array("H" if self.dtype.itemsize == 2 else "I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
@@ -80,16 +90,30 @@ class Encoder:
     def encode_all(self, texts: Iterable[str | None], at_once: int = 50) -> Iterator[bytes]:
         """Ids of each text as bytes of self.dtype."""
         for some in batched(texts, at_once):
-            chunks = [(t or "").replace("\n", " ").split(" ") for t in some]
+            if not self.by_chunk:
+                yield from (self._ids(t or "") for t in some)
+                continue
+            chunks = [self._chunks(t or "") for t in some]
             new = set().union(*chunks).difference(self.known)
-            if len(self.known) + 2 * len(new) > MEMORY:  # the first words seen are mostly the common ones
-                self.known = dict(islice(self.known.items(), MEMORY // 4))
-                new = set().union(*chunks).difference(self.known)
             if new:
+                size = sum(map(len, new))
+                if self.held + ENTRY * len(new) + 3 * size > MEMORY:  # the first words seen are mostly the common ones
+                    self._forget()
+                    new = set().union(*chunks).difference(self.known)
                 self._learn(new)
+                self.held += ENTRY * len(new) + sum(len(c) + len(self.known[c]) for c in new)
             for c in chunks:
                 yield b"".join(map(self.known.__getitem__, c))
 
+    def _forget(self) -> None:
+        kept, self.held = {"": b""}, 0
+        for c, ids in self.known.items():
+            self.held += ENTRY + len(c) + len(ids)
+            if self.held > MEMORY // 4:
+                break
+            kept[c] = ids
+        self.known = kept
+
 
 _encoders: dict[str, Encoder] = {}
 
