@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, a stage at a time.
 
 Every stage reads what the one before it wrote (Parquet in the shared folder) and works on all of
-it. All but the last return the columns of documents.
+it. All but the last return the columns of documents, extra ones too, whatever their names. An empty
+table passes through every stage; very long texts are worked on whole.
 """
 
 from collections.abc import Callable
@@ -10,31 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vistaloom.llm import langid, mixing, packing, pii, simhash, tokens
 from vistaloom.llm.common import table, written
-from vistaloom.llm.queries import PII_KEY
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are in some language: null and letterless texts go."""
+    """Documents that are in some language: null, empty and letterless texts go, repeated rows alike."""
     return langid.with_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class, that of the smallest id."""
+    """One document of each SimHash class, that of the smallest id (null ids last; ties: simhash.keep_one)."""
     return simhash.keep_one(docs)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal numbers, dates and e-mail names replaced in the text; n_chars follows."""
-    return pii.with_length(pii.pseudonymised(docs, PII_KEY), docs)
+    """Personal numbers, dates and e-mail names replaced in the text; n_chars follows.
+
+    Rows stay as many as they were; null and empty texts stay. The secret is the session's (pii.secret).
+    """
+    return pii.with_length(pii.pseudonymised(docs, pii.secret(spark)), docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of its source takes it, cut at the budget."""
+    """Every document as often as the mix of its source takes it, cut at the budget.
+
+    A null source is a source of its own; wordless documents stay once; repeated rows count each.
+    """
     return mixing.mixed(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in the packed sequences."""
+    """Where each piece of each document stands in the packed sequences; repeated rows are packed each."""
     return packing.packed(docs, tokens.tokenizer_path())
 
 
