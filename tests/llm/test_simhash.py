@@ -91,3 +91,32 @@ def test_keep_one(odd, none):
     assert classes(rows) == list(range(len(out)))  # no two of one class
     assert {r.doc_id for r in out} >= {1, 2, 9, 12, -5}
     assert simhash.keep_one(none).count() == 0
+
+
+def test_keep_one_of_rows_that_differ_elsewhere(spark):
+    rows = [(7, "same text here", f"v{k}") for k in range(8)] * 2 + [(9, "other words there now", "x")] * 3
+    frame = spark.createDataFrame(rows, "__id long, `__text` string, __no string")
+    got = {tuple(map(tuple, simhash.keep_one(frame.repartition(n), "__id", "__text").orderBy("__id").collect())) for n in (1, 3, 5)}
+    assert len(got) == 1 and [r[0] for r in got.pop()] == [7, 9]
+
+
+@pytest.mark.parametrize("labels", [range(300), [i * 7919 % 300 for i in range(300)]])
+def test_a_path_takes_few_rounds(spark, labels):
+    path = [labels[i] for i in range(300)]
+    links, left = spark.createDataFrame(list(zip(path, path[1:])), "a long, b long"), []
+    roots = connected_components(links, finish=0, left_each=left).collect()
+    assert len(roots) == 300 and len({r.root for r in roots}) == 1
+    assert len(left) <= 16  # twice the logarithm
+
+
+def test_very_dense_subtries(spark):
+    rng = np.random.default_rng(5)
+    many = np.full(9000, np.uint64(0x0123456789ABCDEF))
+    for _ in range(4):
+        many = many ^ (np.uint64(1) << rng.integers(0, 64, len(many)).astype(np.uint64))
+    many = np.unique(many)
+    frame = spark.createDataFrame([(int(x),) for x in many.view(np.int64)], "fp long")
+    roots = {r.node: r.root for r in connected_components(simhash.near_links(frame)).collect()}
+    want = classes([(i, x) for i, x in enumerate(many)])
+    got = [roots.get(x, x) for x in many.view(np.int64).tolist()]
+    assert len(set(got)) == len(set(want)) and len(set(zip(got, want))) == len(set(want))

@@ -86,14 +86,17 @@ def permuted_digits(values: Column, radix: Column, key: str, kind: str, tweak: C
     """
     tweak = F.lit("") if tweak is None else tweak
 
-    def turn(s: Column, t: Column) -> Column:
-        other = F.concat(tweak, F.lit("|"), F.array_join(F.filter(s, lambda _, i: i % 2 != t % 2).cast("array<string>"), ","))
-        return bound(
-            _prf(key, kind, t, other),
-            lambda bits: F.transform(s, lambda v, i: F.when(i % 2 == t % 2, F.pmod(v + F.pmod(F.xxhash64(bits, i), F.get(radix, i)), F.get(radix, i))).otherwise(v)),
-        )
+    def go(b: Column) -> Column:
+        def turn(s: Column, t: Column) -> Column:
+            other = F.concat(b["tweak"], F.lit("|"), F.array_join(F.filter(s, lambda _, i: i % 2 != t % 2).cast("array<string>"), ","))
+            return bound(
+                _prf(key, kind, t, other),
+                lambda bits: F.transform(s, lambda v, i: F.when(i % 2 == t % 2, F.pmod(v + F.pmod(F.xxhash64(bits, i), F.get(b["radix"], i)), F.get(b["radix"], i))).otherwise(v)),
+            )
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), b["values"], turn)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values.cast("array<bigint>"), turn)
+    return bound(F.struct(values.cast("array<bigint>").alias("values"), radix.alias("radix"), tweak.alias("tweak")), go)
 
 
 def _chars(s: Column) -> Column:
