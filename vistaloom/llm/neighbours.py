@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by learned partitions.
 
-On a bounded sample: the neighbour graph is cut into parts of equal size (greedy moves of highest
-gain under a capacity), and a small network learns to name a vector's part. Every vector is then
-indexed in its most probable part; a query goes to its several most probable parts, as many as a
-held-out piece of the sample needs for RECALL, and is compared there with every vector, exactly.
-Equal vectors are indexed once: of each, only the k+1 smallest ids can be among k nearest.
+On a sample of SAMPLE_EACH vectors a part: the neighbour graph is cut into parts of equal size (greedy
+moves of highest gain under a capacity), and a small network learns to name a vector's part. There are
+about sqrt(n) / 2 parts, however many vectors there are. Every vector is then indexed in its most
+probable part; a query goes to its several most probable parts, as many as a held-out piece of the
+sample needs for RECALL, and is compared there with every vector, exactly. Small parts share a shelf,
+large ones are cut into several; a task is a shelf and a bounded number of queries, and gives each of
+them one list of at most k+1. Equal vectors are indexed once: of each, only the k+1 smallest ids can be
+among k nearest.
 """
 
 import math
@@ -15,16 +18,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import numbers, written
 
-#: Bounded sample that the parts are learned from, and the held-out queries that set the probes.
-SAMPLE, HELD_OUT = 8192, 512
-#: Vectors a part, most parts, graph degree, and recall to reach on the held-out queries.
-PART, MOST_PARTS, DEGREE, RECALL = 2048, 256, 10, 0.96
-#: Vectors and queries that one comparison holds; larger parts are cut into such blocks.
+#: The sample that the parts are learned from (so many vectors a part, at least SAMPLE), and the held-out
+#: queries that set the probes. It grows as the square root of the table: 253,000 of 1e9 vectors.
+SAMPLE, SAMPLE_EACH, HELD_OUT = 8192, 16, 512
+#: Graph degree, and recall to reach on the held-out queries.
+DEGREE, RECALL = 10, 0.96
+#: Vectors of a shelf and queries that meet it at a time: what a task holds.
 BLOCK = 8192
 
 
+def parts_for(n: int) -> int:
+    """Number of parts of n vectors."""
+    return max(1, round(math.sqrt(n) / 2))
+
+
 def usable(vector: Column) -> Column:
     """Not null, not zero, every component there and finite."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
@@ -33,8 +42,9 @@ def usable(vector: Column) -> Column:
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     out = np.empty((len(x), min(degree, len(x) - 1)), np.int64)
-    for i in range(0, len(x), 512):
-        score = x[i : i + 512] @ x.T
+    step = max(16, min(512, 40_000_000 // max(1, len(x))))
+    for i in range(0, len(x), step):
+        score = x[i : i + step] @ x.T
         score[np.arange(len(score)), np.arange(i, i + len(score))] = -np.inf
         out[i : i + 512] = np.argpartition(-score, out.shape[1] - 1, axis=1)[:, : out.shape[1]]
     return out
@@ -47,7 +57,7 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 1
     todo = [(np.arange(n), 0, parts)]
     while todo:
         own, first, many = todo.pop()
-        if many == 1:
+        if many == 1 or len(own) < 2:
             label[own] = first
             continue
         direction = np.linalg.svd(x[own] - x[own].mean(axis=0), full_matrices=False)[2][0]
@@ -57,11 +67,16 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 1
     room = math.ceil(1.05 * n / parts)
     a, b = np.repeat(np.arange(n), graph.shape[1]), graph.ravel()
     for _ in range(rounds):
-        links = np.zeros((n, parts))
-        np.add.at(links, (a, label[b]), 1)
-        np.add.at(links, (b, label[a]), 1)
-        best = links.argmax(axis=1)
-        gain = links[np.arange(n), best] - links[np.arange(n), label]
+        # Links of every vector with every part that it has any with, and the best of these.
+        pair, links = np.unique(np.concatenate([a * parts + label[b], b * parts + label[a]]), return_counts=True)
+        of = pair // parts
+        order = np.lexsort((pair, -links, of))
+        first = order[np.unique(of[order], return_index=True)[1]]
+        best, most, own = label.copy(), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        best[of[first]], most[of[first]] = pair[first] % parts, links[first]
+        same = pair % parts == label[of]
+        own[of[same]] = links[same]
+        gain = most - own
         size, moved = np.bincount(label, minlength=parts), 0
         for i in np.argsort(-gain, kind="stable"):
             if gain[i] <= 0:
@@ -116,7 +131,7 @@ def learn(sample: np.ndarray, parts: int, k: int, held_out: int, recall: float)
     rank = np.argsort(np.argsort(-router.scores(queries), axis=1), axis=1)
     near = np.argsort(-(queries @ x.T), axis=1)[:, :k]
     at = rank[np.arange(held)[:, None], own[near]]  # probes that a neighbour needs
-    for probes in range(1, parts):
+    for probes in range(1, parts if held else 1):
         if (at < probes).mean() >= recall:
             return router, probes
     return router, parts
@@ -126,77 +141,117 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.tolist(), np.float64).reshape(len(vectors), -1)
 
 
+def _shelves(counts: dict[int, int], parts: int, block: int) -> tuple[list[int], list[int], int]:
+    """First shelf and number of shelves of every part, and how many shelves there are: parts of over
+    block / 2 vectors have shelves of their own, small ones share one in order of their numbers."""
+    first, many, shelf, room = [0] * parts, [1] * parts, -1, 0
+    for p in range(parts):
+        n = counts.get(p, 0)
+        if 2 * n > block:
+            many[p] = -(-n // block)
+            first[p], shelf, room = shelf + 1, shelf + many[p], 0
+        else:
+            if n > room or shelf < 0:
+                shelf, room = shelf + 1, block
+            first[p], room = shelf, room - n
+    return first, many, shelf + 1
+
+
+def _nearest_of(q: pd.DataFrame, x: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest of every query among the vectors of its parts; equal scores: smaller rep first."""
+    x = x.sort_values(["part", "rep"])
+    reps, vectors, part = x["rep"].to_numpy(), _matrix(x["v"]), x["part"].to_numpy()
+    asks = _matrix(q["v"])
+    who = np.repeat(np.arange(len(q)), q["parts"].map(len))
+    where = np.concatenate(q["parts"].tolist())
+    out = []
+    for p in np.unique(part).tolist():
+        own = who[where == p]
+        lo, hi = np.searchsorted(part, [p, p + 1])
+        for i in range(0, len(own), 512):
+            some = own[i : i + 512]
+            score = asks[some] @ vectors[lo:hi].T
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            out.append((np.repeat(some, top.shape[1]), np.take_along_axis(score, top, 1).ravel(), reps[lo:hi][top].ravel()))
+    if not out:
+        return pd.DataFrame({"q": [], "rep": [], "score": []})
+    of, score, rep = map(np.concatenate, zip(*out))
+    order = np.lexsort((rep, -score, of))
+    of, score, rep = of[order], score[order], rep[order]
+    rank = np.arange(len(of)) - np.searchsorted(of, of)
+    best = rank < k
+    return pd.DataFrame({"q": q["rep"].to_numpy()[of[best]], "rep": rep[best], "score": score[best]})
+
+
 def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id_col, score): the k nearest found of every query, by inner product.
 
     Rows where is_query holds are queries; candidates are all rows of another id. Scores are in
     double precision on the vectors as they are; ranks follow score, then the smaller id. Null ids
     and vectors that are not usable, or not of the table's most frequent length (the shorter of
-    equally frequent ones), take no part; repeated rows count once. Other columns are not read
-    but by is_query.
+    equally frequent ones), take no part; repeated rows count once. An empty table gives an empty
+    result; other columns are not read but by is_query.
+
+    Equal vectors are told by 96 bits of two hashes. Vectors travel once to their class, once to their
+    shelf (as often as the shelf's queries fill blocks) and, of queries, to each shelf that holds one of
+    their parts; everything else is ids and scores.
     """
-    rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
+    spark, kind = table.sparkSession, table.schema[vector_col].dataType.simpleString()
+    v = F.col(f"`{vector_col}`")
+    # -0.0 is 0.0 to a hash of doubles, as it is to an inner product.
+    rows = table.select(F.col(f"`{id_col}`").cast("long").alias("id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).where(F.col("id").isNotNull() & usable(F.col("v")))
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    none = table.sparkSession.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
     if not lengths:
-        return none
-    rows = rows.where(F.size("v") == lengths[0]["d"])
+        return spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
+    rows = rows.where(F.size("v") == lengths[0]["d"]).withColumn("h", F.struct(F.xxhash64("v").alias("a"), F.hash("v").alias("b")))
     # Classes of equal vectors, named by their smallest id, and their k+1 smallest ids.
-    classes = written(rows.groupBy("v").agg(F.min("id").alias("rep"), F.max("asks").alias("asks")))
-    first = Window.partitionBy("v").orderBy("id")
-    ids = rows.withColumn("n", F.dense_rank().over(first)).where(F.col("n") <= k + 1).select("v", "id").distinct()
-    members = ids.join(classes.select("v", "rep"), "v").select("rep", "id")
+    ids = rows.select("h", "id").distinct().withColumn("n", F.row_number().over(Window.partitionBy("h").orderBy("id"))).where(F.col("n") <= k + 1)
+    members = ids.groupBy("h").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"))  # k+1 at most
+    classes = written(rows.groupBy("h").agg(F.min_by("v", "id").alias("v"), F.min("id").alias("rep"), F.max("asks").alias("asks")).select("rep", "v", "asks"))
     n = classes.count()
-    sample = classes.select("v").orderBy(F.xxhash64("rep")).limit(SAMPLE + HELD_OUT).toPandas()["v"]
-    parts = max(1, min(MOST_PARTS, n // PART))
+    parts = parts_for(n)
+    sample = classes.select("v").orderBy(F.xxhash64("rep")).limit(max(SAMPLE, SAMPLE_EACH * parts) + HELD_OUT).toPandas()["v"]
     router, probes = learn(_matrix(sample), parts, k, HELD_OUT, RECALL)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf[["rep", "v"]].assign(part=router.scores(_matrix(pdf["v"])).argmax(axis=1))
+                score = router.scores(_matrix(pdf["v"]))
+                top = np.argsort(-score, axis=1, kind="stable")[:, :probes].astype(np.int32)
+                asks = pdf["asks"].to_numpy(bool)
+                yield pdf.assign(part=score.argmax(axis=1), probed=[t if a else None for t, a in zip(top, asks)])
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                top = np.argsort(-router.scores(_matrix(pdf["v"])), axis=1, kind="stable")[:, :probes]
-                out = pdf[["rep", "v"]].loc[np.repeat(pdf.index, top.shape[1])]
-                yield out.assign(part=top.ravel())
-
-    indexed = written(classes.mapInPandas(index, "rep long, v array<double>, part int"))
-    asked = written(classes.where("asks").mapInPandas(route, "rep long, v array<double>, part int"))
-    blocks = {r["part"]: -(-r["count"] // BLOCK) for r in indexed.groupBy("part").count().collect()}  # a number a part
-    turns = {r["part"]: -(-r["count"] // BLOCK) for r in asked.groupBy("part").count().collect()}
-    per = lambda many: F.get(F.lit([many.get(p, 1) for p in range(parts)]), F.col("part"))
-    mine = lambda many: F.pmod(F.xxhash64("rep"), per(many)).cast("int")
-    each = lambda many: F.explode(F.sequence(F.lit(0), per(many).cast("int") - 1))
-    stored = indexed.withColumn("block", mine(blocks)).withColumn("turn", each(turns))
-    asked = asked.withColumn("turn", mine(turns)).withColumn("block", each(blocks))
+    placed = written(classes.mapInPandas(index, f"rep long, v {kind}, asks boolean, part int, probed array<int>"))
+    counts = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}  # a number a part
+    first, many, shelves = _shelves(counts, parts, BLOCK)
+    at = lambda values, p: F.get(numbers(values), p.cast("int"))
+    piece = lambda p: F.pmod(F.xxhash64("rep"), at(many, p))
+    # A query goes once to each shelf that has any of its parts.
+    shelves_of = F.array_distinct(F.flatten(F.transform("probed", lambda p: F.sequence(at(first, p), at(first, p) + at(many, p) - 1))))
+    asked = placed.where("asks").select("rep", "v", "probed", F.explode(shelves_of).alias("shelf"))
+    there = F.filter("probed", lambda p: (at(first, p) <= F.col("shelf")) & (F.col("shelf") < at(first, p) + at(many, p)))
+    asked = asked.select("rep", "v", "shelf", there.alias("parts"))
+    loads = {r["shelf"]: r["count"] for r in asked.groupBy("shelf").count().collect()}  # a number a shelf
+    turns = [max(1, -(-loads.get(s, 0) // BLOCK)) for s in range(shelves)]
+    asked = asked.withColumn("turn", F.pmod(F.xxhash64("rep"), at(turns, F.col("shelf"))))
+    stored = placed.select("rep", "v", "part", (at(first, F.col("part")) + piece(F.col("part"))).alias("shelf"))
+    stored = stored.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), at(turns, F.col("shelf")) - 1)))
 
     def compare(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(x):
-            x = x.sort_values("rep")
-            reps, m = x["rep"].to_numpy(), _matrix(x["v"])
-            for i in range(0, len(q), 256):
-                some = q.iloc[i : i + 256]
-                score = _matrix(some["v"]) @ m.T
-                top = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]  # equal scores: smaller rep first
-                less = 0.0 - np.take_along_axis(score, top, 1)
-                out.append(pd.DataFrame({"q": some["rep"].to_numpy(), "less": list(less), "reps": list(reps[top])}))
-        return pd.concat(out) if out else pd.DataFrame({"q": [], "less": [], "reps": []}, dtype=object)
-
-    key = ["part", "block", "turn"]
-    found = asked.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(compare, "q long, less array<double>, reps array<long>")
-    # A row a query and block, and so a list of k+1 for each block that a query visits.
-    merged = found.groupBy("q").agg(F.slice(F.sort_array(F.flatten(F.collect_list(F.arrays_zip("less", "reps")))), 1, k + 1).alias("near"))
-    found = merged.select("q", F.explode("near").alias("x")).select("q", F.col("x.reps").alias("rep"), (F.lit(0.0) - F.col("x.less")).alias("score"))
+        if not len(q) or not len(x):
+            return pd.DataFrame({"q": [], "rep": [], "score": []})
+        return _nearest_of(q, x, k + 1)
+
+    key = ["shelf", "turn"]
+    found = asked.groupBy(*key).cogroup(stored.groupBy(*key)).applyInPandas(compare, "q long, rep long, score double")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "rep")
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("q", "rep", "score")
+    found = found.join(members.select("rep", "ids"), "rep").select("q", "score", F.explode("ids").alias("id"))
     by_id = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    found = found.join(members, "rep").withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= k + 1)
+    found = found.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= k + 1)
     # Queries of a class share its list; each leaves itself out.
     lists = found.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n", "id", "score"))).alias("near"))  # k+1 at most
-    queries = rows.where("asks").select("v", "id").join(classes.select("v", F.col("rep").alias("q")), "v").select("q", "id").distinct()
+    queries = rows.where("asks").select("h", "id").distinct().join(members.select("h", F.col("rep").alias("q")), "h").select("q", "id")
     near = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
     out = queries.join(lists, "q").select(F.col("id").alias("query_id"), F.posexplode(near).alias("rank", "x"))
     return out.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.id").alias(id_col), F.col("x.score").alias("score"))
