@@ -21,12 +21,36 @@ def test_phrases_equal_brute_force():
     rng = random.Random(5)
     samples = {"x": bytes(rng.choices(b"abc ", k=300)), "y": bytes(rng.choices(b"abcdef ", k=200))}
     parser = langid.Parser(samples)
-    texts = [bytes(rng.choices(b"abcdefgz ", k=n)) for n in (1, 2, 30, 511, 512, 513, 2000)] + [b""]
+    texts = [bytes(rng.choices(b"abcdefgz ", k=n)) for n in (1, 2, 30, 511, 512, 513, 2000, 50_000, *[40] * 90, *[700] * 70)] + [b""]
     costs = parser.costs(texts)
     for row, t in zip(costs, texts):
-        parts = [t[k : k + langid.STRETCH] for k in range(0, len(t), langid.STRETCH)]
-        for cost, bits, name in zip(row, parser.bits, parser.languages):
-            assert cost == pytest.approx(bits * sum(longest_phrases(p, samples[name]) for p in parts))
+        for cost, automaton, name in zip(row, parser.automata, parser.languages):
+            assert cost == pytest.approx(automaton.bits * longest_phrases(t, samples[name]))
+
+
+def test_marks_stay_with_their_letters():
+    assert langid.letters_of("हिन्दी, 12 भाषा! ภาษาไทย_x") == " हिन्दी भाषा ภาษาไทย x ".encode()
+    assert langid.letters_of("\u0301 12 _ \u093f") == b"" == langid.letters_of(None)
+
+
+def test_memory_of_an_automaton():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("漢字語文中国日本人大小上下左右", k=rng.randint(1, 4))) for _ in range(2000)]
+    sample = langid.letters_of(" ".join(rng.choices(words, k=6000)))
+    automaton = langid.Automaton(sample)
+    assert automaton.owner.nbytes + automaton.next.nbytes < 60 * len(sample)
+
+
+def test_the_sample_is_of_whole_texts_and_bounded(spark):
+    rows = [(i, f"wort{i} " + "katze " * (i % 30), "de") for i in range(3, 2000)] + [(5000, "lang " * 5000, "fr"), (5001, "plus long " * 5000, "fr"), (5002, "mot", None)]
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string, lang string")
+    got = langid.learn(docs, documents=20, characters=100)
+    assert set(got) == {"de", "fr"}
+    whole = {langid.letters_of(t): i for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    parts = [f" wort{p}".encode() for p in got["de"].decode().split("wort")[1:]]
+    assert len(got["de"].split(b" wort")) - 1 == 20 and len(got["de"]) <= 20 * 103
+    assert all(langid.letters_of(p.decode()) in {langid.letters_of(t) for _, t, _ in rows} for p in parts)
+    assert got["fr"] in whole  # the shortest long text that is not held out, alone
 
 
 def test_held_out_accuracy(spark):

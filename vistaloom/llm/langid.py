@@ -203,7 +203,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         least = least.withColumn("n", F.dense_rank().over(Window.partitionBy(*key).orderBy("over", "h"))).where(F.col("n") <= documents)
         least = least.dropDuplicates(["lang", "h"])
     before = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    least = least.where(F.coalesce(F.sum("size").over(before), F.lit(0)) < documents * characters).select("lang", "h", "n")
+    least = least.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(F.col("before") < documents * characters).select("lang", "h", "n")
     chosen = F.broadcast(least)  # documents rows a language at most
     pieces: dict[str, dict[int, bytes]] = {}
     for r in rows.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "n", "text").collect():
