@@ -7,6 +7,8 @@ import pytest
 from vistaloom.llm import html as pages
 from vistaloom.llm import html_training, queries
 
+from .hand_pages import PAGES
+
 
 def article(page):
     """Main text of the test pages, whose template has one <article>."""
@@ -29,7 +31,7 @@ def test_labeller_on_pages_of_other_makers():
 
 
 @pytest.mark.parametrize("page,blocks", [
-    (None, []), ("", []), (" \n", []), ("plain &amp; simple", ["plain & simple"]), ("<p>a<b>b</b>c<br>d <p>e&nbsp;&#x41;\n f", ["abc d", "e A f"]),
+    (None, []), ("", []), (" \n", []), ("plain &amp; simple", ["plain & simple"]), ("<p>a<b>b</b>c<br>d <p>e&nbsp;&#x41;\n f", ["abc", "d", "e A f"]),
     ("<ul><li>x<li>y</ul>z", ["x", "y", "z"]), ("<script>no<p></script><style>no</style><p>yes<!-- no -->!", ["yes!"]),
     ("<html><head><title>no</title></head><body>yes<div>also", ["yes", "also"]), ("<div a='>'>ok</div></p></div>&lt;b&gt;", ["ok", "<b>"]), ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]),
     ("<p>" + "word " * 100_000, [("word " * 100_000).strip()]), ("<script>never closed", []),
@@ -71,3 +73,16 @@ def test_odd_rows(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in out.collect()) == sorted((str(i), str(u), "Some text that is here." if h else "", 23 if h else 0) for i, u, h in rows)
     assert pages.main_text(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_pages_by_hand(name):
+    page, text = PAGES[name]
+    assert pages.extract(pages.Labeller.load(), [page]) == [text]
+
+
+@pytest.mark.parametrize("tag", sorted(pages.HIDDEN - {"head", "script", "style", "title"}))
+def test_what_is_hidden_without_an_end_hides_nothing_else(tag):
+    blocks = lambda page: [b.text for b in pages.blocks_of(page)]
+    assert blocks(f"<body><{tag}><p>one</p><p>two</p>") == ["one", "two"]
+    assert blocks(f"<body><{tag}><p>one</p></{tag}><p>two</p>") == ["two"]

@@ -11,6 +11,7 @@ import io
 import pkgutil
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,9 +44,17 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+_END = re.compile(r"</(" + "|".join(sorted(HIDDEN)) + r")\b", re.I)
+
+
 class _Reader(HTMLParser):
-    def __init__(self):
+    """Blocks of a page. An element that is never shown hides what it holds if it is closed somewhere;
+    one without an end counts as empty, so that it cannot hide the rest of the page."""
+
+    def __init__(self, page: str):
         super().__init__(convert_charrefs=True)
+        self.ends = Counter(m.group(1).lower() for m in _END.finditer(page))
+        self.within: Counter[str] = Counter()
         self.open: list[tuple[str, tuple[str, ...]]] = []
         self.blocks: list[Block] = []
         self.parts: list[str] = []
@@ -61,12 +70,16 @@ class _Reader(HTMLParser):
     def push(self, tag: str, names: tuple[str, ...]) -> None:
         self.open.append((tag, names))
         self.links += tag == "a"
-        self.hidden += tag in HIDDEN
+        if tag in HIDDEN:
+            self.hidden += 1
+            self.within[tag] += 1
 
     def pop(self) -> None:
         tag, _ = self.open.pop()
         self.links -= tag == "a"
-        self.hidden -= tag in HIDDEN
+        if tag in HIDDEN:
+            self.hidden -= 1
+            self.within[tag] -= 1
 
     def close_to(self, tags: set[str], stop: frozenset[str] | set[str]) -> None:
         for k in range(len(self.open) - 1, -1, -1):
@@ -86,9 +99,13 @@ class _Reader(HTMLParser):
         if tag in CLOSES:
             self.close_to(CLOSES[tag], SCOPE[tag])
         if tag in VOID:
-            if tag in ("br", "hr", "img", "input"):
+            if tag == "br":
+                self.flush()
+            elif tag in ("img", "input"):
                 self.parts.append(" ")
             return
+        if tag in HIDDEN and tag != "head" and self.ends[tag] <= self.within[tag]:
+            return
         names = [tag]
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
@@ -101,6 +118,7 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self.ends[tag] -= tag in HIDDEN
         if tag in BLOCK:
             self.flush()
         if any(t == tag for t, _ in self.open):
@@ -118,7 +136,7 @@ class _Reader(HTMLParser):
 
 def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a whole page in page order, references decoded and white space made single."""
-    reader = _Reader()
+    reader = _Reader(page or "")
     reader.feed(page or "")
     reader.close()
     reader.flush()
@@ -249,8 +267,9 @@ def extract(labeller: Labeller, pages: list[str | None]) -> list[str]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", labeller: Labeller | None = None) -> DataFrame:
     """(id_col, url_col, text, n_chars) per input row; text is empty if a page has none.
 
-    Null html counts as empty. Repeated rows get equal answers; the id and url go along as they are,
-    nulls too. Other columns are not read.
+    Null and empty html give an empty text; long pages are read whole, block by block. Repeated rows
+    get equal answers; the id and url go along as they are, nulls too; an empty table stays empty.
+    Other columns are not read, whatever their names.
     """
     labeller = labeller or Labeller.load()
 

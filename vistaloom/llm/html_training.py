@@ -44,6 +44,7 @@ class Maker:
         self.r = random.Random(seed)
         self.out: list[str] = []
         self.labels: list[tuple[str, bool]] = []
+        self.table = False
         parts = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve sch ung ich ein que ción mente los ê é ö ü ñ ment eau oi".split()
         self.words = ["".join(self.r.choices(parts, k=self.r.randint(1, 4))) for _ in range(300)]
 
@@ -61,6 +62,10 @@ class Maker:
         self.labels.append((" ".join(s.split()), main))
         return html.escape(s, quote=False)
 
+    def row(self) -> str:
+        """A new row of a page that is one table, or another cell of the row."""
+        return "<tr>" if self.r.random() < 0.7 else ""
+
     def noise(self) -> str:
         r = self.r
         return "" if r.random() < 0.6 else f' {r.choice(["class", "id"])}="{r.choice(["wrap", "row", "col-8", "container", "inner", "box", "x" + str(r.randint(1, 99)), "".join(r.choices("abcdefghij", k=5)), "block", "module", "section-2", "grid"])}"'
@@ -69,15 +74,32 @@ class Maker:
         r = self.r
         tag = r.choice(TAGS[kind])
         name = r.choice(FURNITURE[kind].split())
-        own = tag in ("nav", "header", "footer", "aside", "form") and r.random() < 0.5
+        if self.table and kind in ("nav", "footer", "header", "aside"):
+            tag = "td"
+        elif r.random() < 0.25:
+            name += " " + r.choice(FURNITURE[kind].split())
+        own = tag == "td" or tag in ("nav", "header", "footer", "aside", "form") and r.random() < 0.5  # no name
         mark = "" if own else f' {r.choice(["class", "class", "id"])}="{name}"'
-        self.out.append(f"<{tag}{mark}>")
+        self.out.append((self.row() if tag == "td" else "") + f"<{tag}{mark}>")
         words = SPOKEN[kind]
 
         def phrase(n: int) -> str:
             return " ".join(r.choice(words if r.random() < 0.4 else self.words) for _ in range(n))
 
-        if kind in ("nav", "aside", "share") and r.random() < 0.85:
+        if kind in ("nav", "aside", "share", "footer") and r.random() < 0.15:
+            # Links end to end, a line each or with marks between them; in table cells on older pages.
+            between, cells = r.choice(["<br>", "<br/>", " | ", " ", " · "]), tag == "div" and r.random() < 0.6
+            links = []
+            for _ in range(r.randint(2, 8)):
+                words_ = phrase(r.randint(1, 3))
+                links.append((words_, f'<a href="/{r.randint(1, 99)}">'))
+            if between.startswith("<"):
+                row = between.join(f"{a}{self.text(t, False)}</a>" for t, a in links)
+            else:
+                self.labels.append((" ".join(between.join(t for t, _ in links).split()), False))
+                row = between.join(f"{a}{html.escape(t, quote=False)}</a>" for t, a in links)
+            self.out.append(f"<table><tr><td>{row}</td></tr></table>" if cells else row)
+        elif kind in ("nav", "aside", "share") and r.random() < 0.85:
             if kind == "aside" and r.random() < 0.5:
                 self.out.append(f"<h3>{self.text(phrase(2), False)}</h3>")
             listed = r.random() < 0.8 and tag != "ul"
@@ -111,16 +133,24 @@ class Maker:
         spec = r.choice(ARTICLE if r.random() < 0.7 else ARTICLE[:2])
         tag = spec.split(".")[0].split("#")[0]
         mark = f' class="{spec.split(".")[1]}"' if "." in spec else f' id="{spec.split("#")[1]}"' if "#" in spec else ""
-        self.out.append(("<table><tr>" if tag == "td" else "") + f"<{tag}{mark}>")
+        if self.table:
+            tag, mark = "td", r.choice(["", "", ' class="content"', " valign=top"])
+        self.out.append((self.row() if self.table else "<table><tr>" if tag == "td" else "") + f"<{tag}{mark}>")
         title = self.sentence(r.randint(2, 9))
         if r.random() < 0.85:
             self.out.append(f"<{(t := r.choice(['h1', 'h1', 'h2']))}>{self.text(title, True)}</{t}>")
         broken = r.random() < 0.4
+        # Most articles have paragraphs; some have plain blocks, or lines that only breaks divide.
+        style = r.choices(["p", "div", "br", "named"], [12, 3, 2, 2])[0]
+        named = r.choice(['class="para"', 'class="paragraph"', 'class="p"', 'class="text"', f'class="c{r.randint(1, 99)}"', f'id="p{r.randint(1, 99)}"'])
         for _ in range(r.choice([1, 2, 3, 5, 8, 12, 20])):
             what = r.random()
             if what < 0.7:
                 s = self.prose(1, r.choice([1, 1, 3, 8, 15]))
-                if broken and r.random() < 0.3:
+                if style != "p":
+                    own = self.text(s, True)
+                    self.out.append(f"<div>{own}</div>" if style == "div" else f"<div {named}>{own}</div>" if style == "named" else f"{own}{r.choice(['<br><br>', '<br>', '<br/><br/>'])}")
+                elif broken and r.random() < 0.3:
                     self.out.append(f"<p><b>{self.text(s, True)}<br>")
                 elif r.random() < 0.2:
                     cut = s.find(" ")
@@ -134,31 +164,34 @@ class Maker:
                 self.out.append("<ul>" + "".join(f"<li>{self.text(self.sentence(r.randint(1, 12)), True)}</li>" for _ in range(r.randint(1, 6))) + "</ul>")
             elif what < 0.92:
                 self.out.append(f"<blockquote>{self.text(self.prose(1, 3), True)}</blockquote>")
-            elif what < 0.96:
+            elif what < 0.94:
                 self.out.append("<table>" + "".join("<tr>" + "".join(f"<td>{self.text(r.choice(self.words) + str(r.randint(1, 99)), True)}</td>" for _ in range(2)) + "</tr>" for _ in range(r.randint(1, 3))) + "</table>")
             else:
                 self.furniture(r.choice(["ad", "share", "aside", "notice"]))
         if r.random() < 0.12:
             self.furniture("comments")
-        self.out.append(f"</{tag}>" + ("</tr></table>" if tag == "td" else ""))
+        self.out.append(f"</{tag}>" + ("</tr></table>" if tag == "td" and not self.table else ""))
 
     def page(self) -> tuple[str, list[tuple[str, bool]]]:
         r = self.r
-        self.out, self.labels = [], []
+        self.out, self.labels, self.table = [], [], r.random() < 0.1
         self.out.append(f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{self.sentence(4)}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head><body>')
-        wraps = r.randint(0, 2)
-        self.out += [f"<div{self.noise()}>" for _ in range(wraps)]
+        wraps = r.randint(0, 2) if not self.table else 0
+        self.out += [f"<div{self.noise()}>" for _ in range(wraps)] + (["<table>"] if self.table else [])
         before = [k for k in ("notice", "header", "nav", "ad", "form", "aside", "share") if r.random() < {"nav": 0.85, "header": 0.5, "ad": 0.45}.get(k, 0.25)]
         if r.random() < 0.5:
             r.shuffle(before)
+        if self.table:
+            before = [k for k in before if k in ("header", "nav", "aside")]
         for k in before:
             if k == "ad" and r.random() < 0.5:
                 self.out.append("<!-- ad -->")
             self.furniture(k)
         self.article()
         for k in ("comments", "share", "aside", "ad", "form", "notice", "footer"):
-            if r.random() < {"footer": 0.85, "comments": 0.35}.get(k, 0.22):
+            if r.random() < {"footer": 0.85, "comments": 0.35}.get(k, 0.22) and (not self.table or k in ("aside", "footer")):
                 self.furniture(k)
+        self.out += ["</table>"] if self.table else []
         self.out += ["</div>"] * (wraps if r.random() < 0.9 else 0)
         self.out.append("</body></html>" if r.random() < 0.8 else "")
         return "".join(self.out), self.labels
@@ -212,9 +245,9 @@ def gradients(model: Labeller, x: np.ndarray, y: np.ndarray, m: np.ndarray) -> t
     return float(loss), grads
 
 
-def train(pages: int = 6000, hidden: int = 32, epochs: int = 8, seed: int = 11) -> Labeller:
-    rng, make = np.random.default_rng(seed), [Maker(s) for s in range(40)]
-    data = [labelled(*make[k % 40].page()) for k in range(pages)]
+def train(pages: int = 12000, hidden: int = 32, epochs: int = 8, seed: int = 11) -> Labeller:
+    rng, make = np.random.default_rng(seed), [Maker(s) for s in range(80)]
+    data = [labelled(*make[k % 80].page()) for k in range(pages)]
     data = [d for d in data if len(d[1])]
     weights = {"v": rng.normal(0, 0.1, (2 * hidden, 1)), "c": np.zeros(1)}
     for way in (0, 1):
