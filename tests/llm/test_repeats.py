@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 from vistaloom.llm import queries, repeats
 
@@ -11,39 +12,62 @@ def norm(word):
     return re.sub(r"[^\w]+", "", word.lower()) or word
 
 
-def brute(docs):
+def plain_units(text):
+    """(first word, end word, line) of every unit, word by word."""
+    words = [(m.start(), m.group()) for m in re.finditer(r"\S+", text)]
+    assert [w for _, w in words] == text.split()
+    h = [xxhash.xxh64_intdigest(norm(w)) for _, w in words]
+    mixed = [(h[i] * 31 + (h[i - 1] if i else 0)) * 0x9E3779B97F4A7C15 % 2**64 >> 1 for i in range(len(h))]
+    line = [text.count("\n", 0, at) for at, _ in words]
+    out, first = [], 0
+    for i in range(len(words)):
+        least = all(mixed[i] <= m for m in mixed[max(0, i - repeats.REACH) : i + repeats.REACH + 1])
+        if least or i + 1 == len(words) or line[i + 1] != line[i]:
+            out.append((first, i + 1, line[i]))
+            first = i + 1
+    return out
+
+
+def rank(i, text):
+    h = xxhash.xxh64_intdigest(text, 42)
+    return (1, h - 2**64 if h >= 2**63 else h) if i is None else (0, i)
+
+
+def brute(docs, run_words=repeats.RUN_WORDS, line_words=repeats.LINE_WORDS):
     """Text after removal by (id, text), from units found one by one."""
     seen, cuts = {}, {}
     for i, text in docs:
         if text is not None:
-            c = repeats.Cut(text)
             w = [norm(x) for x in text.split()]
-            cuts[i, text] = c, [tuple(w[a:b]) for a, b in zip(c.first, c.stop)]
+            cut = plain_units(text)
+            cuts[i, text] = cut, [tuple(w[a:b]) for a, b, _ in cut]
             for u in cuts[i, text][1]:
-                seen[u] = min(seen.get(u, repeats.LAST), repeats.LAST if i is None else i)
+                seen[u] = min(seen.get(u, (2, 0)), rank(i, text))
     out = {}
-    for (i, text), (c, units) in cuts.items():
-        key = repeats.LAST if i is None else i
+    for (i, text), (cut, units) in cuts.items():
         own = {u: k for k, u in reversed(list(enumerate(units)))}
-        repeat = [seen[u] < key or own[u] < k for k, u in enumerate(units)]
+        repeat = [seen[u] < rank(i, text) or own[u] < k for k, u in enumerate(units)]
         words = [len(u) for u in units]
-        line = [int(c.line[a]) for a in c.first]
-        lines = {x: (all(r for r, y in zip(repeat, line) if y == x), sum(n for n, y in zip(words, line) if y == x)) for x in set(line)}
-        gone = [lines[x][0] and lines[x][1] >= repeats.LINE_WORDS for x in line]
+        line = [x for _, _, x in cut]
+        lines = {}
+        for r, n, x in zip(repeat, words, line):
+            lines[x] = (lines.get(x, (True, 0))[0] and r, lines.get(x, (True, 0))[1] + n)
+        gone = [lines[x][0] and lines[x][1] >= line_words for x in line]
         k = 0
         while k < len(units):
             e = k
             while e < len(units) and repeat[e]:
                 e += 1
-            if sum(words[k:e]) >= repeats.RUN_WORDS:
+            if sum(words[k:e]) >= run_words:
                 gone[k:e] = [True] * (e - k)
             k = max(e, k + 1)
-        out[i, text] = [w for k, (a, b) in enumerate(zip(c.first, c.stop)) if not gone[k] for w in text.split()[a:b]]
+        split = text.split()
+        out[i, text] = [w for k, (a, b, _) in enumerate(cut) if not gone[k] for w in split[a:b]]
     return out
 
 
-def check(df, out):
-    want = brute([(r.doc_id, r.text) for r in df.collect()])
+def check(df, out, **sizes):
+    want = brute([(r.doc_id, r.text) for r in df.collect()], **sizes)
     texts = {}
     for r in df.collect():
         texts.setdefault(r.doc_id, []).append(r.text)
@@ -73,6 +97,7 @@ def test_query(spark, sf_dir):
 
 def test_odd_rows(odd, none):
     check(odd, repeats.without_repeats(odd))
+    assert check(odd, repeats.without_repeats(odd, run_words=3, line_words=1), run_words=3, line_words=1) >= 2
     assert repeats.without_repeats(none).count() == 0
 
 
@@ -101,3 +126,17 @@ def test_cuts_cover_every_word(text):
     w = text.split()
     assert [text[a:b] for a, b in zip(c.start, c.end)] == w
     assert np.concatenate([np.arange(a, b) for a, b in zip(c.first, c.stop)] or [np.arange(0)]).tolist() == list(range(len(w)))
+
+
+def test_rows_without_an_id_are_ranked_by_their_texts(spark):
+    line = "one line of some words that all of these share " * 3
+    rows = [(None, f"{line}\nown {k}") for k in range(5)] + [(3, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert check(docs, repeats.without_repeats(docs)) == 4
+
+
+def test_short_lines_go_if_asked_for(spark):
+    rows = [(i, f"Hello there\nsomething of {i} alone {i * 7} here") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert check(docs, repeats.without_repeats(docs)) == 0
+    assert check(docs, repeats.without_repeats(docs, line_words=1), line_words=1) == 5

@@ -22,8 +22,9 @@ from .common import written
 #: A unit ends with the least hash among so many words on either side (or with its line), so it has
 #: more words than this unless the line ends or the words repeat.
 REACH = 3
-#: Words that a run inside a line must have to go, and words that wholly repeated lines must have.
-RUN_WORDS, LINE_WORDS = 20, 5
+#: Words that a run inside a line must have to go, and words that a wholly repeated line must have. Short
+#: lines recur in documents that are otherwise their own (greetings, bylines): line_words=1 takes them too.
+RUN_WORDS, LINE_WORDS = 20, 20
 LAST = 2**63 - 1
 
 _MARKS = re.compile(r"[^\w]+")
@@ -122,9 +123,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id_col, text, n_removed, removed): every row with its text after removal.
 
     removed is array<struct<start, end>> in code points of the original text, ascending; n_removed
-    is their total. The document of the smallest id keeps a unit; null ids come last. Documents of
-    equal ids do not displace each other. Null text stays null with nothing removed; empty and very
-    long texts are cut like others. Rows stay as many as they were; other columns are not read.
+    is their total. The document of the smallest id keeps a unit; null ids come last, by their texts'
+    hash. Other documents of equal ids do not displace each other, nor do repeated rows. Null text
+    stays null with nothing removed; empty and very long texts are cut like others, and an empty table
+    stays empty. Rows stay as many as they were; other columns are not read. A line of under line_words
+    words, and a run of under run_words inside lines, stays.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *_keys(docs, id_col, text_col))
 
@@ -142,8 +145,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pd.DataFrame(dict(zip(("key", "hash", "digest", "unit", "again"), map(np.concatenate, zip(*some)))))
 
     units = written(rows.where("__text is not null").mapInPandas(cut, "key long, hash long, digest long, unit int, again boolean"))
-    first = units.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first")
-    foreign = units.join(first, "digest").where("first < key").select("key", "hash", "unit")
+    no_id = F.when(F.col("key") == LAST, F.col("hash"))
+    first = units.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.min(no_id).alias("least"), F.max(no_id).alias("most"))
+    first = first.where((F.col("first") < F.col("last")) | ((F.col("first") == LAST) & (F.col("least") < F.col("most")))).select("digest", "first", "least")
+    foreign = units.join(first, "digest").where((F.col("first") < F.col("key")) | ((F.col("first") == LAST) & (F.col("least") < F.col("hash")))).select("key", "hash", "unit")
     again = units.where("again").select("key", "hash", F.lit(None).cast("int").alias("unit")).distinct()
     foreign = foreign.unionByName(again).groupBy("key", "hash").agg(F.collect_set("unit").alias("units"))  # of one text; nulls are not collected
     marked = rows.join(foreign, (rows["__key"] == foreign["key"]) & (rows["__hash"] == foreign["hash"]), "left").select("__id", "__text", "units")
