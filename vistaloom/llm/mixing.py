@@ -56,7 +56,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
 
 def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, kept: Column) -> DataFrame:
     """(__kept, size, source_size, target, taken): `kept` is any column of docs that goes along."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    # Rows without an id are told apart by their texts.
+    own = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), own).cast("binary"))
     rows = docs.select(kept.alias("__kept"), source_key(F.col(source_col)).alias("source_key"), size_of(F.col(text_col)).alias("size"), key.alias("key"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("text_hash"))
     rows = rows.withColumn("range", F.substring("key", 1, DIGITS))
     totals = rows.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
@@ -78,9 +80,10 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 
     taken is the number of words that the mix takes, repeats counted: budget // source_size whole
     epochs, then the words before the cut in key order; so the words taken of a source add up to
-    its budget exactly. Null text has size 0, a null source is a source of its own (last), a null
-    id counts as an empty one. Equal ids are ordered by their text's hash; wholly equal rows are
-    interchangeable. An empty table gives an empty result; other columns are not read.
+    its budget exactly. Null text has size 0, long texts are counted whole, a null source is a source of
+    its own (last), and in place of a null id stands the MD5 of the text. Equal ids are ordered by their
+    text's hash; wholly equal rows are interchangeable. An empty table gives an empty result; other
+    columns are not read.
     """
     return _planned(docs, id_col, text_col, source_col, seed, F.col(id_col)).withColumnRenamed("__kept", id_col)
 
@@ -89,8 +92,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself, with the columns of docs: every document as often as the mix takes it.
 
     A document at a cut ends after the last word taken there (chars_col then counts what is left);
-    one of which nothing is taken goes, unless it has no words: wordless documents cost nothing and
-    stay once.
+    one of which nothing is taken goes, unless it has no words: wordless documents (null, empty) cost
+    nothing and stay once. Repeated rows and null ids count as in planned(); an empty table stays
+    empty; extra columns go along, whatever their names.
     """
     plan = _planned(docs, id_col, text_col, source_col, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     some = F.greatest(F.col("size"), F.lit(1))

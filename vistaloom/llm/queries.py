@@ -54,7 +54,7 @@ def queries() -> dict:
 
 OP9_SQL = r"""
 WITH rows AS (
-  SELECT doc_id, coalesce('s' || source, 't') AS k, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  SELECT doc_id, coalesce('s' || source, 't') AS k, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 't' || md5(coalesce(text, '')))) AS h,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 sources AS (
   SELECT k, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY k) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w
