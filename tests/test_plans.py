@@ -161,7 +161,7 @@ def test_repeated_keys_and_parts():
 def test_templates(spark):
     rows = templates.table(spark).collect()
     assert {r.name for r in rows} == set(templates.TEMPLATES)
-    p = spark.range(1).select(templates.prompt("height_comparison", F.lit("s"), {"X": F.lit("lamp"), "Y": F.lit("bed"), "A": F.lit("A")})).first()[0]
+    p = spark.range(1).select(templates.prompt("position.height_higher", F.lit("s"), {"A": F.lit("lamp"), "B": F.lit("bed"), "X": F.lit("A")})).first()[0]
     assert p == "Which reaches higher, the lamp or the bed? Answer: A"
 
 

@@ -74,6 +74,49 @@ def test_funnel_and_failures(spark):
     assert {r.status: r.n for r in counts.collect()} == {"bad": 25, "ok": 25} and first.count() == 6
 
 
+def test_numbered_on_files_of_many_rows(spark, tmp_path):
+    df = spark.range(400_000).select((F.col("id") * 7919 % 400_000).alias("k"), F.xxhash64("id").alias("__p"), F.lit("x").alias("other"))
+    tables.numbered(df, "k", ranges=16).write.parquet(f"{tmp_path}/n")
+    back = spark.read.parquet(f"{tmp_path}/n")
+    r = back.agg(F.countDistinct("flat_idx").alias("n"), F.min("flat_idx").alias("lo"), F.max("flat_idx").alias("hi"), F.sum((F.col("k") != F.col("flat_idx")).cast("int")).alias("bad")).first()
+    assert (r.n, r.lo, r.hi, r.bad) == (400_000, 0, 399_999, 0) and back.columns == ["k", "__p", "other", "flat_idx"]
+    tied = tables.numbered(df.withColumn("k", F.col("k") % 3), "k", ranges=16)
+    assert tied.agg(F.countDistinct("flat_idx")).first()[0] == 400_000
+
+
+def test_small_checks(spark):
+    df = spark.createDataFrame([("a", ["x", "y", "x"], "d", ["m"]), ("b", ["x"], "d", ["m"]), ("c", ["x", "y", "z"], None, ["m"]), ("d", None, "d", None)], "id string, obj_tags array<string>, depth_map string, masks array<string>")
+    assert [(r.counting, r.depth) for r in tables.task_checks(df).orderBy("id").collect()] == [(True, True), (False, False), (True, False), (False, False)]
+    assert tables.task_checks(df.drop("masks")).where("depth").count() == 0
+    rows = {r.depth_map: r.id for r in tables.first_seen(df.select("depth_map", "id"), ["depth_map"], "id").collect()}
+    assert rows == {"d": "a", None: "c"}
+    tag = df.select(tables.gathered_tag(F.when(F.col("id") == "a", "wall").when(F.col("id") == "b", "lamp"), F.when(F.col("id") != "c", F.upper("id")).otherwise("Unknown")).alias("t"), "id").orderBy("id")
+    assert [r.t for r in tag.collect()] == ["A", "lamp", "Unknown", "D"]
+    flat = tables.limited(spark.range(100).select((F.col("id") % 10).alias("g"), "id"), "g", 3, 12, ("id",))
+    assert {r.g for r in flat.collect()} == {0, 1} and flat.count() == 12
+    have = spark.createDataFrame([("d",)], "path string")
+    assert [(r.id, r.field) for r in tables.missing_paths(df, have, ("depth_map",)).collect()] == []
+    assert [(r.id, r.path) for r in tables.missing_paths(df.withColumn("depth_map", F.lit("e")).where("id = 'a'"), have, ("depth_map",)).collect()] == [("a", "e")]
+    f = {n: spark.createDataFrame([(1, x) for x in xs], "scene_id int, frame_name string") for n, xs in (("rgb", "abcd"), ("depth", "abd"), ("pose", "bdx"))}
+    assert sorted(r.frame_name for r in tables.complete_frames(f, "rgb").collect()) == ["b", "d"]
+    nested = spark.createDataFrame([([["a", "b"], ["a"]],), ([["b", "a"], []],)], "tag array<array<string>>")
+    assert [tuple(r) for r in tables.tag_histogram(nested, 2).collect()] == [("a", 3), ("b", 2)]
+
+
+def test_round_robin_over_pairs(spark):
+    rows = [(a, v, w, k) for a in range(3) for v, w in ((1, 2), (2, 1), (1, 3), (3, 4)) for k in range(5)]
+    df = spark.createDataFrame(rows, "a int, v int, w int, k int")
+    got = sampling.round_robin(df, ["a"], 9, 2, "v", "w", "k", pair=("v", "w")).collect()
+    pairs = [tuple(sorted((r.v, r.w))) for r in got]
+    assert all(sorted(p for r, p in zip(got, pairs) if r.a == a) == [(1, 2), (1, 3), (3, 4)] for a in range(3))
+    assert sampling.round_robin(df, ["a"], 1000, 2, "v", "w", "k", pair=("v", "w")).count() == 60
+
+
+def test_colours(spark):
+    got = spark.createDataFrame([("Gold ring", "x"), ("silver", "x"), ("grey", "x"), ("lamp", "红色"), ("desk", "桌")], "t string, l string").select(tx.is_colour(F.col("t"), F.col("l")).alias("c")).collect()
+    assert [r.c for r in got] == [True, True, False, True, False]
+
+
 def test_numbered_is_gapless(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     assert [(r.k, r.flat_idx) for r in tables.numbered(df, "k", ranges=7).orderBy("k").collect()] == [(i, i) for i in range(1000)]
@@ -161,8 +204,41 @@ def test_map_of_one_camera(spark):
     assert {(r.scene_id, r.kind): r.facing for r in p.collect()} == {(1, "camera"): "right", (2, "camera"): "down", (2, "object"): "right"}
     m = bev.grids(p).where("scene_id = 2").first()
     assert sum(map(sum, m.cells)) == 2 and m.objects[0].facing is None
-    back = bev.mirrored(bev.mirrored(e, bev.bounds(e), "x"), bev.bounds(e), "x")
+    back = bev.perturbed(bev.perturbed(e, bev.bounds(e), "mirror_x"), bev.bounds(e), "mirror_x")
     assert sorted((r.scene_id, round(r.x, 9)) for r in back.collect()) == sorted((r.scene_id, r.x) for r in e.collect())
+    assert m.cameras[0].name == "Image 1"
+
+
+def test_perturbed_maps_keep_their_objects(spark):
+    rows = [(s, "camera", i, float(i * i), float(-i), 0.0, 0.0, 10.0 * i) for s in range(4) for i in range(5)] + [(s, "object", i, 3.0 * i, 1.0 * i, 0.5, 0.5, 5.0) for s in range(4) for i in range(3)]
+    e = spark.createDataFrame(rows, "scene_id int, kind string, entity_id int, x double, y double, half_x double, half_y double, yaw double")
+    b = bev.bounds(e)
+    lim = {r.scene_id: r for r in b.collect()}
+    for op in bev.PERTURBATIONS:
+        got = {(r.scene_id, r.kind, r.entity_id): r for r in bev.perturbed(e, b, op).collect()}
+        assert len(got) == len(rows)
+        for s, kind, i, x, y, _, _, yaw in rows:
+            r, m = got[s, kind, i], lim[s]
+            if kind == "object":
+                assert (r.x, r.y, r.yaw) == (x, y, yaw)
+            elif op != "shuffle":
+                want = {"mirror_x": (m.xmin + m.xmax - x, y, 180 - yaw), "mirror_y": (x, m.ymin + m.ymax - y, -yaw), "rotate_180": (m.xmin + m.xmax - x, m.ymin + m.ymax - y, yaw + 180)}[op]
+                assert (r.x, r.y, r.yaw) == pytest.approx(want)
+            else:
+                assert r.x != x and r.yaw == yaw
+        if op == "shuffle":
+            assert all({got[s, "camera", i].x for i in range(5)} == {float(i * i) for i in range(5)} for s in range(4))
+
+
+def test_pose_options(spark):
+    v = spark.createDataFrame([(s, i, 1.0 * i, 2.0 * i * i, 0.0, 1.0 + i, 1.0) for s in range(30) for i in range(3)], "scene_id int, view_idx int, pos_x double, pos_y double, pos_z double, fwd_x double, fwd_y double")
+    n = spark.createDataFrame([(s, 7, 1.0, 1.0, 1.0, 1.0, 0.3) for s in range(30)], "scene_id int, node_id int, c_x double, c_y double, l_x double, l_y double, e2 double")
+    rows = bev.pose_options(v, n).collect()
+    assert len(rows) == 120 and {r.option for r in rows} == set("ABCD")
+    ops = [sorted(r.op for r in rows if r.scene_id == s) for s in range(30)]
+    assert all(len(set(o)) == 4 and "true" in o for o in ops) and len(set(map(tuple, ops))) == 4
+    assert all(r.right == (r.op == "true") for r in rows) and len({r.option for r in rows if r.right}) == 4
+    assert all(len({str(r.map) for r in rows if r.scene_id == s}) == 4 for s in range(30))
 
 
 def test_sampling_repeats(spark):
@@ -201,7 +277,7 @@ def test_diverse_views_and_chains(spark, sf_dir):
 
 def test_questions(spark):
     df = spark.createDataFrame([("s", i, "chair", "Left") for i in range(20)], "scene_id string, i int, tag string, answer string")
-    q = annotate.questions(df, "camera_camera", {"T": F.col("tag"), "A": F.col("answer")}, F.col("i").cast("string"), images=2, quota=5, options=F.array(F.lit("Right"), F.lit("Left")))
+    q = annotate.questions(df, "mmsi.camera_camera", {"T": F.col("tag"), "A": F.col("answer")}, F.col("i").cast("string"), images=2, quota=5, options=F.array(F.lit("Right"), F.lit("Left")))
     rows = q.collect()
     assert len(rows) == 5
     for r in rows:

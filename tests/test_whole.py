@@ -1,59 +1,11 @@
-"""Queries that do more than their registered SQL: against that SQL with its cuts taken out, or brute force."""
+"""Whole texts, whole scenes: against brute force and small cases made by hand."""
 
-import duckdb
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
-from tests.test_queries import TABLES, shown
 from vistaloom.operators import sampling
 from vistaloom.plans import fixtures as fx
 from vistaloom.plans import scene_queries
-from vistaloom.plans.oracle import ORACLE
-
-#: The cuts of the registered SQL, and what stands in their place here.
-CUTS = {
-    " WHERE n <= 16 OR (view_idx*16) % n < 16": "",
-    " AND b.view_idx < 24": "",
-    " AND b.view_idx - a.view_idx <= 6": "",
-    " QUALIFY row_number() OVER (PARTITION BY scene_id, a_view_idx ORDER BY b_view_idx) = 1": "",
-    "b.obj_idx = a.obj_idx + 1": "b.obj_idx > a.obj_idx",
-    "b.frame_id = a.frame_id + 1": "b.frame_id > a.frame_id",
-    "SELECT a.frame_id AS pair, count(*)": "SELECT a.frame_id AS a_frame_id, b.frame_id AS b_frame_id, count(*)",
-    "GROUP BY a.frame_id": "GROUP BY a.frame_id, b.frame_id",
-    # Any two others, named: every distance stands for both of its objects.
-    "SELECT a.frame_id, a.b_obj AS obj, a.x": ", t AS (FROM r UNION ALL SELECT frame_id, b_obj, a_obj, x FROM r) SELECT a.frame_id, a.a_obj AS obj, a.b_obj AS a_obj, b.b_obj AS b_obj, a.x",
-    "FROM r a JOIN r b ON a.frame_id = b.frame_id AND a.b_obj = b.a_obj": "FROM t a JOIN t b ON a.frame_id = b.frame_id AND a.a_obj = b.a_obj AND a.b_obj < b.b_obj",
-    "substring(text, 1, 40)": "text",
-    "substring(text, 1, 30)": "text",
-}
-
-
-@pytest.fixture(scope="module")
-def sql(sf_dir):
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
-    return con
-
-
-def uncut(name):
-    text = ORACLE[name]
-    for cut, whole in CUTS.items():
-        text = text.replace(cut, whole)
-    assert text != ORACLE[name], "nothing was cut"
-    return text
-
-
-SCENES = ["camera_movement", "camera_pair_octant", "camera_object_self", "camera_object_cross", "clockwise", "view_change", "box_world_to_camera", "project_objects", "merge_scenes", "funnel", "well_connected_nodes", "covisible_pairs", "bev_cells", "facing_words", "bev_mirror", "skip_reasons", "scene_validation", "union_tasks"]
-
-
-@pytest.mark.parametrize("name", [*SCENES, "object_object_lr", "only_in_view", "camera_motion", "nn_distance", "proximity", "absolute_distance", "relative_distance_points", "distance_obj_cam", "voxel_range_join", "messages", "blink_output_type"])
-def test_whole(spark, sf_dir, sql, name):
-    whole = shown(sql.execute(uncut(name)).df())
-    assert shown(scene_queries.queries()[name](spark, sf_dir).toPandas()) == whole
-    assert whole != shown(sql.execute(ORACLE[name]).df())
-
 
 def test_texts_are_read_to_their_end(spark, tmp_path):
     far = "word " * 400

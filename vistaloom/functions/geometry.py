@@ -220,3 +220,12 @@ def euler(m: list[list[Column]], convention: str) -> tuple[Column, Column, Colum
         o = 3 - i - j
         return F.atan2(m[j][i], -s * m[o][i]), F.acos(unit_clip(m[i][i])), F.atan2(m[i][j], s * m[i][o])
     return F.atan2(-s * m[j][k], m[k][k]), F.asin(unit_clip(s * m[i][k])), F.atan2(-s * m[i][j], m[i][i])
+
+
+#: Columns of a rendered camera's axes that change sign, and the length unit's factor is its own.
+FLIP = (1.0, -1.0, -1.0)
+
+
+def flipped(axes: list[Vec], at: Vec, scale: Column) -> tuple[list[Vec], Vec]:
+    """A rendered camera's axes (right, up, back) as right, down, forward, and its place in metres."""
+    return [Vec(*(c * s for c in a)) for a, s in zip(axes, map(F.lit, FLIP))], Vec(*(c * scale for c in at))

@@ -66,13 +66,18 @@ def resolve(path: Column, root: str) -> Column:
     return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
 
 
+def resized(image: Column, suffix: str = "_resized") -> Column:
+    """Name of the copy of an image that was brought to the size of its depth map."""
+    return F.regexp_replace(image, r"^(.*?)(\.[^./]+)?$", rf"$1{suffix}$2")
+
+
 def relative(path: Column, root: str) -> Column:
     top = root.rstrip("/") + "/"
     return F.when(path.startswith(top), F.substring(path, len(top) + 1, 1_000_000)).otherwise(path)
 
 
 #: Colour names that a tag may carry.
-COLOURS = ("red", "orange", "yellow", "green", "blue", "purple", "pink", "brown", "black", "white", "gray", "grey")
+COLOURS = ("red", "green", "blue", "yellow", "black", "white", "orange", "purple", "brown", "gray", "pink", "gold", "silver")
 
 
 def is_colour(tag: Column, local: Column) -> Column:

@@ -9,7 +9,7 @@ from . import sampling
 from .points import range_join
 
 #: Mark colours, in the order they are given out.
-COLOURS = ("red", "green", "blue", "yellow", "cyan", "magenta", "orange", "purple")
+COLOURS = ("red", "blue", "green", "pink", "yellow", "orange", "purple", "brown")
 
 
 def questions(df: DataFrame, template: str, values: dict[str, Column], seed: Column, images: int = 1, quota: int | None = None, scene: str = "scene_id", options: Column | None = None) -> DataFrame:

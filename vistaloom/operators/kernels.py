@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from . import tables
 
 
 def hull_volume(points: np.ndarray, eps: float = 1e-9) -> float:
@@ -106,11 +107,63 @@ def clipped(polygon: np.ndarray, width: float, height: float) -> np.ndarray:
     return polygon
 
 
-def box_visibility(seen: DataFrame, views: DataFrame, nodes: DataFrame, width: float, height: float, fx: float, fy: float, cx: float, cy: float) -> DataFrame:
-    """(scene_id, view_idx, node_id, share): area of a box's outline within the image over all of it.
-
-    The outline is the convex hull of the corners before the camera, which is exact if all are; a box
-    with fewer than three such corners has share 0.
+#: Corners (of geometry.corners) of each of the six faces of a box.
+FACES = [[i for i, signs in enumerate(g.CORNERS) if signs[axis] == side] for axis in range(3) for side in (-1, 1)]
+
+
+def box_faces(corners: np.ndarray, fx: float, fy: float, cx: float, cy: float, near: float = 1e-4) -> list[np.ndarray]:
+    """Image outlines of the faces of a box (8 camera-frame corners) that lie wholly before the camera; if
+    all do, one outline: that of the corners, which the faces cover."""
+    front = corners[:, 2] >= near
+    z = np.where(front, corners[:, 2], 1.0)
+    at = np.stack([fx * corners[:, 0] / z + cx, fy * corners[:, 1] / z + cy], axis=1)
+    return [hull_2d(at)] if front.all() else [hull_2d(at[f]) for f in FACES if front[f].all()]
+
+
+def shown_share(faces: list[np.ndarray], width: float, height: float) -> float:
+    """Of the area that outlines cover together, the part within the image; 0 if they cover none."""
+    whole = union_area(faces)
+    return union_area([clipped(f, width, height) for f in faces]) / whole if whole > 0 else 0.0
+
+
+def union_area(polygons: list[np.ndarray]) -> float:
+    """Area covered by convex polygons (n, 2) together: vertical strips between all corners and crossings,
+    and in each the lengths that the polygons cover, which change linearly there."""
+    polygons = [p for p in polygons if area(p) > 0]
+    if len(polygons) < 2:
+        return area(polygons[0]) if polygons else 0.0
+    edges = np.array([(*p[i], *p[(i + 1) % len(p)]) for p in polygons for i in range(len(p))])
+    x = [edges[:, 0]]
+    for i in range(len(edges)):
+        ax, ay, bx, by = edges[i]
+        cx, cy, dx, dy = edges[i + 1 :].T
+        cross = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / cross
+            s = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / cross
+        hit = (cross != 0) & (t > 0) & (t < 1) & (s > 0) & (s < 1)
+        x.append(ax + t[hit] * (bx - ax))
+    x = np.unique(np.concatenate(x))
+    total = 0.0
+    for lo, hi in zip(x[:-1], x[1:]):
+        mid, spans = (lo + hi) / 2, []
+        for p in polygons:
+            q = np.roll(p, -1, axis=0)
+            over = ((p[:, 0] <= mid) & (q[:, 0] > mid)) | ((q[:, 0] <= mid) & (p[:, 0] > mid))
+            if over.sum() >= 2:
+                a, b = p[over], q[over]
+                y = a[:, 1] + (b[:, 1] - a[:, 1]) * (mid - a[:, 0]) / (b[:, 0] - a[:, 0])
+                spans.append((y.min(), y.max()))
+        end = -np.inf
+        for a, b in sorted(spans):
+            total += (hi - lo) * max(0.0, b - max(a, end))
+            end = max(end, b)
+    return total
+
+
+def box_visibility(seen: DataFrame, views: DataFrame, nodes: DataFrame, width: float, height: float, fx: float, fy: float, cx: float, cy: float, near: float = 1e-4) -> DataFrame:
+    """(scene_id, view_idx, node_id, share): of the image area that a box's faces cover, the part within the
+    image. Only faces whose corners all lie before the camera count; a box without such faces has share 0.
     """
     t = seen.join(views, ["scene_id", "view_idx"]).join(nodes, ["scene_id", "node_id"]).select("*", *g.trig())
     c = g.camera()
@@ -119,13 +172,7 @@ def box_visibility(seen: DataFrame, views: DataFrame, nodes: DataFrame, width: f
 
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for flat in pdf["corners"]:
-                p = np.array(flat, float).reshape(8, 3)
-                p = p[p[:, 2] > 1e-4]
-                hull = hull_2d(np.stack([fx * p[:, 0] / p[:, 2] + cx, fy * p[:, 1] / p[:, 2] + cy], axis=1)) if len(p) > 2 else np.zeros((0, 2))
-                whole = area(hull)
-                out.append(area(clipped(hull, width, height)) / whole if whole > 0 else 0.0)
+            out = [shown_share(box_faces(np.array(c, float).reshape(8, 3), fx, fy, cx, cy, near), width, height) for c in pdf["corners"]]
             yield pdf[["scene_id", "view_idx", "node_id"]].assign(share=out)
 
     return t.mapInPandas(go, "scene_id long, view_idx long, node_id long, share double")
@@ -156,6 +203,34 @@ def footprints_overlap(a: np.ndarray, b: np.ndarray, slack: float = 0.5) -> bool
     return True
 
 
+def footprint_overlaps(nodes: DataFrame, slack: float = 0.5) -> DataFrame:
+    """(scene_id, a_node_id, b_node_id): pairs of a scene's boxes, smaller id first, whose convex ground
+    outlines meet or come within slack times the longest edge."""
+    n = nodes.select("*", *g.trig())
+    ends = g.corners(g.vec("c"), g.vec("l"), g.box_axes())
+    n = n.select("scene_id", "node_id", F.array(*[x for p in ends for x in (p.x, p.y)]).alias("ring"))
+    a = n.select("scene_id", F.col("node_id").alias("a_node_id"), F.col("ring").alias("a_ring"))
+    b = n.select("scene_id", F.col("node_id").alias("b_node_id"), F.col("ring").alias("b_ring"))
+    pairs = a.join(b, "scene_id").where("a_node_id < b_node_id")
+
+    def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        outlines: dict[tuple, np.ndarray] = {}
+
+        def outline(scene, node, ring) -> np.ndarray:
+            if (scene, node) not in outlines:
+                if len(outlines) > 50_000:
+                    outlines.clear()
+                outlines[scene, node] = hull_2d(np.array(ring, float).reshape(8, 2))
+            return outlines[scene, node]
+
+        for pdf in batches:
+            near = [footprints_overlap(outline(s, i, p), outline(s, j, q), slack) for s, i, p, j, q in zip(pdf["scene_id"], pdf["a_node_id"], pdf["a_ring"], pdf["b_node_id"], pdf["b_ring"])]
+            yield pdf.loc[near, ["scene_id", "a_node_id", "b_node_id"]]
+
+    kind = {f.name: f.dataType.simpleString() for f in nodes.schema}
+    return pairs.mapInPandas(go, f"scene_id {kind['scene_id']}, a_node_id {kind['node_id']}, b_node_id {kind['node_id']}")
+
+
 def _separate(a: np.ndarray, b: np.ndarray) -> bool:
     for i in range(len(a)):
         d = a[(i + 1) % len(a)] - a[i]
@@ -165,6 +240,53 @@ def _separate(a: np.ndarray, b: np.ndarray) -> bool:
     return False
 
 
+def filtered_boxes(frames: DataFrame, pixels: DataFrame, tags: tuple[str, ...] = (), aligned: list[str] | None = None, width: int = 64, height: int = 48, least_area: float = 0.1, scale: float = 0.9, least_points: int = 50, least_share: float = 0.07, least_mask: float = 0.02) -> DataFrame:
+    """The box filter: tags, then the box's outline in the image, then the depth points within it.
+
+    frames: frame_id, the pose (pos_, right_, down_, fwd_), fx, fy, cx, cy, obj_tags and
+    bboxes_3d_world_coords (lists). pixels: frame_id, u, v, d. A row keeps the places of all aligned lists
+    (obj_tags, boxes, and `aligned`) whose boxes pass, and gets `masks`, for each of them the pixels
+    (u, v) within its scaled box; rows left without any go. Cheap tests come first, so only boxes that
+    pass them meet points.
+    """
+    lists = ["obj_tags", "bboxes_3d_world_coords", *(aligned or [])]
+    kept = tables.without_tags(frames, tags, [c for c in lists if c != "obj_tags"]) if tags else frames.where(F.size("obj_tags") > 0)
+    kept = kept.join(pixels.select("frame_id").distinct(), "frame_id", "left_semi")  # without depth nothing passes
+    each = kept.select("frame_id", *[f"{n}_{c}" for n in ("pos", "right", "down", "fwd") for c in "xyz"], "fx", "fy", "cx", "cy", F.posexplode("bboxes_3d_world_coords").alias("place", "box"))
+    names = ["c_x", "c_y", "c_z", "l_x", "l_y", "l_z", "e0", "e1", "e2"]
+    each = each.where(F.size("box") == 9).select("*", *[F.get("box", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    boxes = each.select("frame_id", "place", *names)
+
+    # Outline, with each frame's own intrinsics: the kernel works on unit cameras' coordinates.
+    t = each.select("*", *g.trig())
+    ends = [g.to_camera(g.camera(), p) for p in g.corners(g.vec("c"), g.vec("l"), g.box_axes())]
+    t = t.select("frame_id", "place", "fx", "fy", "cx", "cy", F.array(*[x for p in ends for x in p]).alias("corners"))
+
+    def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            each = zip(pdf["corners"], pdf["fx"], pdf["fy"], pdf["cx"], pdf["cy"])
+            good = [(s := shown_share(box_faces(np.array(c, float).reshape(8, 3), *k), width, height)) > 0 and s >= least_area for c, *k in each]
+            yield pdf.loc[good, ["frame_id", "place"]]
+
+    kind = frames.schema["frame_id"].dataType.simpleString()
+    shown = t.mapInPandas(outline, f"frame_id {kind}, place int")
+    # Points of the frame within the boxes that are left.
+    b = boxes.join(shown, ["frame_id", "place"]).select("*", *g.trig())
+    pose = kept.select("frame_id", *[f"{n}_{c}" for n in ("pos", "right", "down", "fwd") for c in "xyz"], "fx", "fy", "cx", "cy")
+    p = pixels.join(pose, "frame_id")
+    w = g.to_world(g.camera(), g.back_project(F.col("u"), F.col("v"), F.col("d"), F.col("fx"), F.col("fy"), F.col("cx"), F.col("cy")))
+    p = p.select("frame_id", "u", "v", *[x.alias(f"p_{k}") for k, x in zip("xyz", w)])
+    inside = p.join(b, "frame_id").where(g.in_box(g.vec("p"), g.vec("c"), g.vec("l"), g.box_axes(), scale)).select("frame_id", "place", "u", "v", "p_x", "p_y", "p_z")
+    masks = inside.groupBy("frame_id", "place").agg(F.sort_array(F.collect_set(F.struct("v", "u"))).alias("mask"))  # pixels of one image
+    v = hull_volumes(inside, ["frame_id", "place"]).join(masks, ["frame_id", "place"]).join(boxes.select("frame_id", "place", F.abs(F.col("l_x") * F.col("l_y") * F.col("l_z")).alias("box")), ["frame_id", "place"])
+    good = v.where((F.col("n_points") >= least_points) & (F.col("box") > 0) & (F.col("volume") / F.when(F.col("box") > 0, F.col("box")) >= least_share) & (F.size("mask") / (width * height) >= least_mask))
+    found = good.groupBy("frame_id").agg(F.sort_array(F.collect_list(F.struct("place", "mask"))).alias("__good"))  # boxes of one image
+    out = kept.join(found, "frame_id")
+    picked = lambda c: F.transform("__good", lambda x: F.get(F.col(c), x["place"]))
+    at_places = {c: picked(c) for c in lists}
+    return out.withColumns(at_places | {"masks": F.transform("__good", lambda x: x["mask"])}).drop("__good")
+
+
 class Model:
     """A model or renderer as an operator: load() once a Python worker, then call() on pandas batches.
 

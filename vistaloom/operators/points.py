@@ -45,16 +45,99 @@ def depth_order(depths: DataFrame, frame: str = "frame_id", obj: str = "obj_idx"
     return depths.withColumn("rank", F.row_number().over(w))
 
 
-def nearest_distance(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+#: Pairs of points that a join may make for one key; beyond it blocks of points are compared in numpy.
+JOINED = 100_000
+
+
+def _leaves(p: np.ndarray, most: int = 128) -> list[np.ndarray]:
+    """Row numbers of p in blocks of near points: halves along the longest side."""
+    todo, out = [np.arange(len(p))], []
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= most:
+            out.append(rows)
+            continue
+        axis = int(np.ptp(p[rows], axis=0).argmax())
+        rows = rows[np.argpartition(p[rows, axis], len(rows) // 2)]
+        todo += [rows[: len(rows) // 2], rows[len(rows) // 2 :]]
+    return out
+
+
+def _boxes(p: np.ndarray, leaves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([p[r].min(axis=0) for r in leaves]), np.array([p[r].max(axis=0) for r in leaves])
+
+
+def _gaps(low: np.ndarray, high: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """Squared distances from a box to boxes: no points of theirs are nearer."""
+    return (np.maximum(0, np.maximum(lows - high, low - highs)) ** 2).sum(axis=-1)
+
+
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return sum((a[:, None, c] - b[None, :, c]) ** 2 for c in range(a.shape[1]))
+
+
+def nearest_of_clouds(a: np.ndarray, b: np.ndarray) -> float:
+    """Smallest distance between two clouds: pairs of blocks in the order of their gap, until the gap is
+    no smaller than the best distance."""
+    la, lb = _leaves(a), _leaves(b)
+    (low_a, high_a), (low_b, high_b) = _boxes(a, la), _boxes(b, lb)
+    best = np.inf
+    # Blocks of a by their gap to the nearest block of b: a row of gaps at a time, so memory is linear.
+    near = np.array([_gaps(x, y, low_b, high_b).min() for x, y in zip(low_a, high_a)])
+    for i in np.argsort(near):
+        if near[i] >= best:
+            break
+        gaps = _gaps(low_a[i], high_a[i], low_b, high_b)
+        for j in np.argsort(gaps):
+            if gaps[j] >= best:
+                break
+            best = min(best, float(_squares(a[la[i]], b[lb[j]]).min()))
+    return float(np.sqrt(best))
+
+
+def neighbour_means(p: np.ndarray, k: int) -> np.ndarray:
+    """Mean distance of every point to its k nearest points, itself the first: each block meets the other
+    blocks in the order of their gap, until no point of it can have a nearer neighbour."""
+    k = min(k, len(p))
+    leaves, out = _leaves(p), np.empty(len(p))
+    low, high = _boxes(p, leaves)
+    for i, rows in enumerate(leaves):
+        gaps = _gaps(low[i], high[i], low, high)
+        best = np.empty((len(rows), 0))
+        for j in np.argsort(gaps, kind="stable"):
+            if best.shape[1] == k and gaps[j] >= best.max():
+                break
+            best = np.concatenate([best, _squares(p[rows], p[leaves[j]])], axis=1)
+            if best.shape[1] > k:
+                best = np.partition(best, k - 1, axis=1)[:, :k]
+        out[rows] = np.sqrt(best).mean(axis=1)
+    return out
+
+
+def nearest_distance(a: DataFrame, b: DataFrame, keys: list[str], joined: int = JOINED) -> DataFrame:
     """Smallest distance between two point sets for each key; repeated points count once.
 
-    Distinct points meet within a key; the minimum is combined before the shuffle.
+    Small sets meet in a join whose minimum is combined before the shuffle. Keys whose sets would make
+    more than `joined` pairs go to a kernel that compares blocks of near points only; it holds the two
+    clouds of one key, which images bound. Both ways are exact.
     """
     cols = ["p_x", "p_y", "p_z"]
+    others = [f"q{c[1:]}" for c in cols]
     x = a.select(*keys, *cols).distinct()
-    y = b.select(*keys, *[F.col(c).alias(f"q{c[1:]}") for c in cols]).distinct()
+    y = b.select(*[F.col(k).alias(k) for k in keys], *[F.col(c).alias(q) for c, q in zip(cols, others)]).distinct()
+    n = x.groupBy(*keys).agg(F.count("*").alias("__n")).join(y.groupBy(*keys).agg(F.count("*").alias("__m")), keys)
+    large = n.where(F.col("__n").cast("double") * F.col("__m") > joined).select(*keys)
     d = g.distance(g.vec("p"), g.vec("q"))
-    return x.join(y, keys).groupBy(*keys).agg(F.min(d).alias("distance"))
+    some = x.join(large, keys, "left_anti").join(y, keys).groupBy(*keys).agg(F.min(d).alias("distance"))
+
+    def kernel(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p) or not len(q):
+            return pd.DataFrame(columns=[*keys, "distance"])
+        return p[keys].iloc[:1].assign(distance=nearest_of_clouds(p[cols].to_numpy(np.float64), q[others].to_numpy(np.float64)))
+
+    schema = ", ".join(f"`{k}` {a.schema[k].dataType.simpleString()}" for k in keys) + ", distance double"
+    rest = x.join(large, keys, "left_semi").groupBy(*keys).cogroup(y.join(large, keys, "left_semi").groupBy(*keys)).applyInPandas(kernel, schema)
+    return some.unionByName(rest)
 
 
 def range_join(a: DataFrame, b: DataFrame, radius: float, keys: list[str] = (), prefix: str = "q") -> DataFrame:
@@ -80,16 +163,13 @@ def inliers(points: DataFrame, keys: list[str], neighbours: int = 10, ratio: flo
     """Statistical outlier removal: points whose mean distance to their nearest `neighbours` points
     (the point itself is the first) is no more than mean + ratio * standard deviation of those.
 
-    A group is one object's cloud, which a depth image bounds; its distances are worked out in numpy,
-    a stripe of 256 points at a time.
+    A group is one object's cloud, which a depth image bounds; a point meets only the blocks of points
+    that may hold one of its nearest (neighbour_means), not the whole cloud.
     """
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf[["p_x", "p_y", "p_z"]].to_numpy(np.float64)
-        k, mean = min(neighbours, len(p)), np.empty(len(p))
-        for i in range(0, len(p), 256):
-            d = sum((p[i : i + 256, None, c] - p[None, :, c]) ** 2 for c in range(3))
-            mean[i : i + 256] = np.sqrt(np.partition(d, k - 1, axis=1)[:, :k]).mean(axis=1)
+        mean = neighbour_means(p, neighbours)
         limit = mean.mean() + ratio * (mean.std(ddof=1) if len(p) > 1 else 0)
         return pdf[mean <= limit + 1e-12]
 
@@ -124,3 +204,28 @@ def planar_depth(pixels: DataFrame, fx: float, cx: float, cy: float, scale: floa
     ray = g.norm(F.col("u") - cx, F.col("v") - cy, F.lit(float(fx)))
     d = F.nanvl(F.col("dist") * fx / ray, F.lit(0.0))
     return pixels.withColumn("depth", (d * scale).cast("int"))
+
+
+def resized(pixels: DataFrame, width: int, height: int, to_width: int, to_height: int) -> DataFrame:
+    """A mask's pixels (u, v) brought to another size: a pixel of the new mask takes the nearest old one,
+    floor((u + 0.5) * width / to_width)."""
+    take = lambda c, old, new: F.filter(F.sequence(F.floor(F.col(c) * new / old).cast("int") - 1, F.ceil((F.col(c) + 1) * new / old).cast("int")), lambda t: (t >= 0) & (t < new) & (F.floor((t + 0.5) * old / new) == F.col(c)))
+    rest = [c for c in pixels.columns if c not in ("u", "v")]
+    out = pixels.select(*rest, "v", F.explode(take("u", width, to_width).cast("array<bigint>")).alias("u"))
+    return out.select(*rest, "u", F.explode(take("v", height, to_height).cast("array<bigint>")).alias("v"))
+
+
+def fused_clouds(pixels: DataFrame, views: DataFrame, keys: list[str], view: str = "view_idx", neighbours: int = 10, ratio: float = 2.0, least: int = 2) -> DataFrame:
+    """World points (keys, view, p_*) of objects that have a cloud in at least `least` views.
+
+    pixels (keys, view, u, v, d) are an object's mask over the depth map; views give camera, pose and
+    intrinsics (fx, fy, cx, cy). Each view's cloud is rid of outliers by itself before clouds are counted.
+    """
+    on = [k for k in (*keys, view) if k in views.columns]
+    p = pixels.where("d > 0").join(views, on)
+    c = g.back_project(F.col("u"), F.col("v"), F.col("d"), F.col("fx"), F.col("fy"), F.col("cx"), F.col("cy"))
+    w = g.to_world(g.camera(), c)
+    cloud = p.select(*keys, view, *[x.alias(f"p_{k}") for k, x in zip("xyz", w)])
+    cloud = inliers(cloud, [*keys, view], neighbours, ratio)
+    enough = fused(cloud, keys, view, least).select(*keys)
+    return cloud.join(enough, keys, "left_semi")

@@ -49,11 +49,23 @@ def wrong_counts(count: Column, n: int = 3, spread: int = 5, seed: int = 0) -> C
     return F.transform(F.slice(F.array_sort(by_hash), 1, n), lambda s: s["x"])
 
 
-def round_robin(df: DataFrame, anchor: list[str], n: int, seed: int, *unique: str) -> DataFrame:
-    """n rows in all, a first one of every anchor, then a second one of every anchor, and so on."""
-    w = Window.partitionBy(*anchor).orderBy(key(seed, *unique), *unique)
+def round_robin(df: DataFrame, anchor: list[str], n: int, seed: int, *unique: str, pair: tuple[str, str] | None = None) -> DataFrame:
+    """n rows in all, a first one of every anchor, then a second one of every anchor, and so on.
+
+    Within an anchor the rows take turns too, if pair names two columns: a first row of every unordered
+    pair of their values, then a second one of every pair. Rows beyond the n-th of an anchor or pair
+    cannot be among n and go before anything is sorted as a whole.
+    """
+    if pair:
+        low, high = F.least(*pair), F.greatest(*pair)
+        df = df.withColumn("__pair", F.struct(low.alias("a"), high.alias("b")))
+        same = Window.partitionBy(*anchor, "__pair").orderBy(key(seed, *unique), *unique)
+        df = df.withColumn("__r", F.row_number().over(same)).where(F.col("__r") <= n)
+        w = Window.partitionBy(*anchor).orderBy("__r", F.xxhash64(F.lit(seed), "__pair.a", "__pair.b"), "__pair")
+    else:
+        w = Window.partitionBy(*anchor).orderBy(key(seed, *unique), *unique)
     turn = df.withColumn("__t", F.row_number().over(w)).where(F.col("__t") <= n)
-    return turn.orderBy("__t", key(seed, *anchor), *anchor).limit(n).drop("__t")
+    return turn.orderBy("__t", key(seed, *anchor), *anchor).limit(n).drop("__t", "__r", "__pair")
 
 
 def diverse_views(views: DataFrame, n: int, min_rotation: float, min_translation: float, seed: int = 0) -> DataFrame:
@@ -121,8 +133,18 @@ def chains(seen: DataFrame, length: int, seed: int = 0, views: DataFrame | None
                         return got
             return None
 
+        # Nodes that views link to too few others, or by too few views, begin no walk.
+        group: dict = {}
+        for n in views_of:
+            todo, nodes, views = [n] if n not in group else [], set(), set()
+            while todo:
+                if (x := todo.pop()) not in nodes:
+                    nodes.add(x)
+                    views.update(views_of[x])
+                    todo += [y for v in views_of[x] for y in nodes_of[v] if y not in nodes]
+            group |= dict.fromkeys(nodes, len(nodes) >= length and len(views) >= length)
         cols = ["scene_id", *[f"{a}_{i}" for i in range(length) for a in ("node", "view")]]
-        found = next((got for n in views_of if (got := go([n], []))), None)
+        found = next((got for n in views_of if group[n] and (got := go([n], []))), None)
         return pd.DataFrame([[pdf["scene_id"].iloc[0], *found]] if found else [], columns=cols)
 
     return rows.groupBy("scene_id").applyInPandas(walk, schema)

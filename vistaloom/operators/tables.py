@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import checkpointed
 from .graph import require_columns
 
 
@@ -106,9 +107,13 @@ def kept_boxes(boxes: DataFrame, threshold: float = 0.8) -> DataFrame:
     return boxes.join(lost, ["frame_id", "obj_idx"], "left_anti")
 
 
-def tag_histogram(tags: DataFrame, most: int = 15) -> DataFrame:
-    """The most frequent tags, ties by name."""
-    return tags.groupBy("tag").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "tag").limit(most)
+def tag_histogram(tags: DataFrame, most: int = 15, column: str = "tag") -> DataFrame:
+    """The most frequent tags, ties by name. column holds a tag, a list of tags or a list of such lists."""
+    kind, tag = tags.schema[column].dataType, F.col(column)
+    while isinstance(kind, T.ArrayType):
+        tags = tags.select(F.explode(tag).alias(column))
+        kind, tag = kind.elementType, F.col(column)
+    return tags.groupBy(tag.alias("tag")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "tag").limit(most)
 
 
 def funnel(counts: DataFrame, warn: float = 0.02, strong: float = 0.005) -> DataFrame:
@@ -163,15 +168,20 @@ def failures(log: DataFrame, by: str = "status", order: str = "id", most: int =
 def numbered(df: DataFrame, *order: str, name: str = "flat_idx", ranges: int | None = None) -> DataFrame:
     """Adds a row's place (from 0) in the order given, unique and gapless, without one task for all.
 
-    Rows are range-partitioned and sorted; a range's base is the prefix sum of the ranges before.
+    Rows are range-partitioned and sorted; a range's base is the prefix sum of the ranges before. The
+    ranges are checkpointed first: a range partitioning samples its bounds, so the branch that counts
+    and the branch that numbers must read the same ranges, and a repeated task must too. Rows of equal
+    order stand in any order, but in one.
     """
-    spark = df.sparkSession
+    spark, names = df.sparkSession, ["__p", "__m", "__b", "__c"]
+    low = {c.lower() for c in df.columns}
+    p, m, b, c = (next(x for x in (n + "_" * i for i in range(99)) if x not in low) for n in names)
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
-    within = F.col("__m").bitwiseAND(F.lit(2**33 - 1))
-    sizes = parts.groupBy("__p").agg(F.count("*").alias("__c"))
-    base = sizes.select("__p", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))  # a row a range
-    return parts.join(base, "__p").withColumn(name, F.col("__b") + within).drop("__p", "__m", "__b")
+    parts = checkpointed(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    parts = parts.withColumn(p, F.spark_partition_id()).withColumn(m, F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)))
+    sizes = parts.groupBy(p).agg(F.count("*").alias(c))
+    base = sizes.select(p, F.coalesce(F.sum(c).over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(b))  # a row a range
+    return parts.join(F.broadcast(base), p).withColumn(name, F.col(b) + F.col(m)).drop(p, m, b)  # a row a range
 
 
 def page(df: DataFrame, number: int, size: int, *order: str) -> DataFrame:
@@ -211,3 +221,49 @@ def skip_reasons(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     for name, test in reversed(tests.items()):
         reason = F.when(test, name).otherwise(reason)
     return df.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Ordered dedup: of rows of equal keys the first in order stays, whole."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__x")).select(*[F.col("__x").getField(c).alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
+def limited(df: DataFrame, groups: str, most_groups: int | None = None, most_rows: int | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """Smoke runs: rows of the first most_groups groups, then the first most_rows rows, both in order.
+
+    The bounded list of groups joins by broadcast; without limits df is as it was.
+    """
+    if most_groups is not None:
+        some = df.select(groups).distinct().orderBy(groups).limit(most_groups)
+        df = df.join(F.broadcast(some), groups, "left_semi")
+    return df if most_rows is None else df.orderBy(groups, *order).limit(most_rows)
+
+
+def missing_paths(records: DataFrame, listing: DataFrame, columns: tuple[str, ...], most: int | None = 100, key: str = "id", path: str = "path") -> DataFrame:
+    """(key, field, path) of paths that a listing does not have, for at most `most` records in the order
+    of a hash of their key (None: all). An anti join with the listing; no file is touched."""
+    if most is not None:
+        records = records.orderBy(F.xxhash64(key), key).limit(most)
+    named = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias(path)) for c in columns])
+    each = records.select(key, F.explode(named).alias("x")).select(key, "x.field", f"x.{path}").where(F.col(path).isNotNull())
+    return each.join(listing.select(path).distinct(), path, "left_anti").select(key, "field", path)
+
+
+def task_checks(records: DataFrame, tags: str = "obj_tags", depth: str = "depth_map", masks: str = "masks") -> DataFrame:
+    """Which tasks a record can serve: `counting` needs more than one tag, `depth` at least three tags, a
+    depth map and masks. Columns that are not there count as null."""
+    n = F.coalesce(F.size(tags), F.lit(0)) if tags in records.columns else F.lit(0)
+    there = lambda c: F.col(c).isNotNull() if c in records.columns else F.lit(False)
+    return records.withColumns({"counting": n > 1, "depth": (n >= 3) & there(depth) & there(masks)})
+
+
+#: Labels that say nothing of an object, and the word for an object without a name.
+BLANK = ("blinds", "door", "otherfurniture", "otherprop", "otherstructure", "wall")
+UNKNOWN = "Unknown"
+
+
+def gathered_tag(label: Column, name: Column) -> Column:
+    """An object's tag: its label, unless that is null or blank; then its name; else UNKNOWN."""
+    said = F.when(~label.isin(*BLANK, UNKNOWN), label)
+    return F.coalesce(said, F.when(name != UNKNOWN, name), F.lit(UNKNOWN))

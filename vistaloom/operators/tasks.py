@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions.text import metric
-from . import graph
+from . import graph, sampling
 
 #: Gates of camera pairs: rotation in degrees or distance, then ground distance and height difference, in metres.
 PAIR = {"min_rotation": 15.0, "min_translation": 0.5, "min_horizontal": 0.3, "max_vertical": 0.3}
@@ -79,12 +79,16 @@ def camera_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, variant:
     return out.select("scene_id", "node_id", "a_view_idx", "b_view_idx", "dx", "dz").withColumn("answer", g.octant(F.col("dx"), F.col("dz")))
 
 
-def object_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, gates: dict = PAIR, same: float = 0.3) -> DataFrame:
-    """Left, right or on one line: object a against b, looking from camera a towards camera b."""
+def object_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, gates: dict = PAIR, same: float = 0.3, quota: int | None = None, seed: int = 0) -> DataFrame:
+    """Left, right or on one line: object a against b, looking from camera a towards camera b.
+
+    With a quota, only so many pairs of views of a scene meet the pairs of objects.
+    """
     a, b = g.camera("a_"), g.camera("b_")
     p = graph.view_pairs(views).where(graph.diverse(a, b, gates["min_rotation"], gates["min_translation"]))
     fx, fy = F.col("b_pos_x") - F.col("a_pos_x"), F.col("b_pos_y") - F.col("a_pos_y")
     p = p.select("scene_id", "a_view_idx", "b_view_idx", fx.alias("fx"), fy.alias("fy"), g.norm(fx, fy).alias("n")).where("n >= 1e-3")
+    p = _some_pairs(p, quota, seed, "a_view_idx", "b_view_idx")
     n = nodes.select("scene_id", "node_id", "tag", "c_x", "c_y")
     pairs = graph.prefixed(n, "m_", "scene_id").join(graph.prefixed(n, "o_", "scene_id"), "scene_id").where("m_node_id < o_node_id and m_tag <> o_tag")
     both = seen.join(p.select("scene_id", "a_view_idx", "b_view_idx"), "scene_id").where((F.col("view_idx") == F.col("a_view_idx")) | (F.col("view_idx") == F.col("b_view_idx"))).select("scene_id", "a_view_idx", "b_view_idx", "node_id").distinct()
@@ -145,11 +149,21 @@ def view_change(views: DataFrame, nodes: DataFrame, seen: DataFrame, rotated: fl
     return p.withColumn("answer", answer).drop("cross")
 
 
-def relative_distance(nodes: DataFrame, tolerance: float = 0.3) -> DataFrame:
-    """Triples of a scene's tags, one node each (the smallest id): is B or C closer to A?"""
+def _some_pairs(pairs: DataFrame, quota: int | None, seed: int, *unique: str) -> DataFrame:
+    """At most quota pairs a scene, by hash, before a third node joins them; None: all."""
+    return pairs if quota is None else sampling.sample(pairs, ["scene_id"], quota, seed, *unique)
+
+
+def relative_distance(nodes: DataFrame, tolerance: float = 0.3, quota: int | None = None, seed: int = 0) -> DataFrame:
+    """Triples of a scene's tags, one node each (the smallest id): is B or C closer to A?
+
+    With a quota, only so many pairs (A, B) of a scene meet a third node: triples then grow with the
+    scenes and their tags, not with the cube of the tags.
+    """
     n = nodes.where(~F.col("tag").isin(*graph.STRUCTURAL)).groupBy("scene_id", "tag").agg(F.min("node_id").alias("node_id"), *[F.min_by(f"c_{c}", "node_id").alias(f"c_{c}") for c in "xyz"])
     a, b, c = (graph.prefixed(n, f"{s}_", "scene_id") for s in "abc")
-    t = a.join(b, "scene_id").where("a_tag <> b_tag").join(c, "scene_id").where("b_tag < c_tag and a_tag <> c_tag")
+    two = _some_pairs(a.join(b, "scene_id").where("a_tag <> b_tag"), quota, seed, "a_node_id", "b_node_id")
+    t = two.join(c, "scene_id").where("b_tag < c_tag and a_tag <> c_tag")
     ab, ac = g.distance(g.vec("a_c"), g.vec("b_c")), g.distance(g.vec("a_c"), g.vec("c_c"))
     t = t.select("scene_id", F.col("a_node_id").alias("node_a"), F.col("b_node_id").alias("node_b"), F.col("c_node_id").alias("node_c"), ab.alias("dist_b"), ac.alias("dist_c"))
     return t.withColumn("answer", g.compare(F.col("dist_b"), F.col("dist_c"), tolerance, "B", "C"))
@@ -217,11 +231,13 @@ def _seen_axes(c: g.Camera) -> list[g.Vec]:
     return [g.Vec(g.dot(a, c.right), g.dot(a, c.down), g.dot(a, c.forward)) for a in g.box_axes()]
 
 
-def compass_relation(nodes: DataFrame, delta: float = 15.0) -> DataFrame:
-    """Direction of C from B if A lies to the north of B: triples of a scene's nodes of distinct tags."""
+def compass_relation(nodes: DataFrame, delta: float = 15.0, quota: int | None = None, seed: int = 0) -> DataFrame:
+    """Direction of C from B if A lies to the north of B: triples of a scene's nodes of distinct tags; with
+    a quota as in relative_distance."""
     n = nodes.where(~F.col("tag").isin(*graph.STRUCTURAL)).groupBy("scene_id", "tag").agg(F.min("node_id").alias("node_id"), *[F.min_by(f"c_{c}", "node_id").alias(f"c_{c}") for c in "xy"])
     a, b, c = (graph.prefixed(n, f"{s}_", "scene_id") for s in "abc")
-    t = a.join(b, "scene_id").where("a_tag < b_tag").join(c, "scene_id").where("c_tag <> a_tag and c_tag <> b_tag")
+    two = _some_pairs(a.join(b, "scene_id").where("a_tag < b_tag"), quota, seed, "a_node_id", "b_node_id")
+    t = two.join(c, "scene_id").where("c_tag <> a_tag and c_tag <> b_tag")
     toward = F.degrees(F.atan2(F.col("a_c_x") - F.col("b_c_x"), F.col("a_c_y") - F.col("b_c_y")))
     dx, dy = g.turned(F.col("c_c_x") - F.col("b_c_x"), F.col("c_c_y") - F.col("b_c_y"), toward)
     t = t.select("scene_id", F.col("a_node_id").alias("node_a"), F.col("b_node_id").alias("node_b"), F.col("c_node_id").alias("node_c"), F.round(dx, 9).alias("dx"), F.round(dy, 9).alias("dy"))

@@ -13,7 +13,7 @@ fx_all AS (
 fx_p AS (
   SELECT scene_id, view_idx, event_id, n, ((event_id*31)%211)/{_d(10)} - {_d(10.5)} AS pos_x, ((event_id*47)%223)/{_d(10)} - {_d(11.1)} AS pos_y,
     {_d(1.2)} + ((event_id*13)%9)/{_d(10)} AS pos_z, radians(CAST((event_id*37)%360 AS DOUBLE)) AS y, radians(CAST((event_id*11)%41 - 20 AS DOUBLE)) AS p
-  FROM fx_all WHERE n <= 16 OR (view_idx*16) % n < 16),
+  FROM fx_all),
 fx_views AS (
   SELECT scene_id, view_idx, event_id, n, pos_x, pos_y, pos_z, sin(y) AS right_x, -cos(y) AS right_y, {_d(0)} AS right_z,
     sin(p)*cos(y) AS down_x, sin(p)*sin(y) AS down_y, -cos(p) AS down_z, cos(p)*cos(y) AS fwd_x, cos(p)*sin(y) AS fwd_y, sin(p) AS fwd_z FROM fx_p),
@@ -131,7 +131,7 @@ _CLOSE = _share("fx_cloud", _norm("p_x", "p_y", "p_z"), 0.2, "distance")
 _ORDER = f"SELECT frame_id, obj_idx, depth, CAST(row_number() OVER (PARTITION BY frame_id ORDER BY depth, obj_idx) AS INTEGER) AS rank FROM ({_FRONT})"
 _PTS = "pts AS (SELECT DISTINCT frame_id, obj_idx, round(p_x, 6) AS x, round(p_y, 6) AS y, round(p_z, 6) AS z FROM fx_cloud)"
 _NN = f"""nn AS (SELECT a.frame_id, a.obj_idx AS a_obj, b.obj_idx AS b_obj, min({_norm('a.x - b.x', 'a.y - b.y', 'a.z - b.z')}) AS distance
-  FROM pts a JOIN pts b ON a.frame_id = b.frame_id AND b.obj_idx = a.obj_idx + 1 GROUP BY ALL)"""
+  FROM pts a JOIN pts b ON a.frame_id = b.frame_id AND b.obj_idx > a.obj_idx GROUP BY ALL)"""
 
 
 def _bev(x: str = "x", where: str = "") -> str:
@@ -159,7 +159,7 @@ SELECT q.scene_id, a_view_idx, b_view_idx, {_r('dx')} AS dx, {_r('dz')} AS dz, {
 FROM q JOIN fx_seen s ON s.scene_id = q.scene_id AND s.view_idx = a_view_idx JOIN fx_seen r ON r.scene_id = q.scene_id AND r.view_idx = b_view_idx AND r.node_id = s.node_id WHERE {_clear()}""",
     "camera_object_self": _camera_object("self"),
     "camera_object_cross": _camera_object("cross"),
-    "object_object_lr": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx AND b.view_idx < 24")},
+    "object_object_lr": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx")},
 q AS (SELECT scene_id, a_view_idx, b_view_idx, {_DELTA[0]} AS fx, {_DELTA[1]} AS fy FROM pairs WHERE {_DIVERSE}),
 v AS (SELECT DISTINCT q.scene_id, a_view_idx, b_view_idx, node_id FROM q JOIN fx_seen s ON s.scene_id = q.scene_id AND (s.view_idx = a_view_idx OR s.view_idx = b_view_idx)),
 w AS (SELECT q.scene_id, q.a_view_idx, q.b_view_idx, m.node_id AS node_a, o.node_id AS node_b, ((m.c_x - o.c_x)*fy - (m.c_y - o.c_y)*fx)/{_norm('fx', 'fy')} AS side
@@ -167,7 +167,7 @@ w AS (SELECT q.scene_id, q.a_view_idx, q.b_view_idx, m.node_id AS node_a, o.node
   JOIN fx_objects m ON m.node_id = x.node_id JOIN fx_objects o ON o.node_id = y.node_id WHERE m.node_id < o.node_id AND m.tag <> o.tag AND {_norm('fx', 'fy')} >= {_d(1e-3)})
 SELECT scene_id, a_view_idx, b_view_idx, node_a, node_b, {_r('side')} AS side, CASE WHEN abs(round(side, 9)) < {_d(0.3)} THEN 'Same line' WHEN side > 0 THEN 'Right' ELSE 'Left' END AS answer FROM w""",
     "camera_motion": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx")},
-n AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY scene_id, a_view_idx ORDER BY b_view_idx) = 1),
+n AS (SELECT * FROM pairs),
 m AS (SELECT scene_id, a_view_idx, b_view_idx, {_dot(_DELTA, [f'a_right_{c}' for c in 'xyz'])} AS x, {_dot(_DELTA, [f'a_down_{c}' for c in 'xyz'])} AS y, {_dot(_DELTA, [f'a_fwd_{c}' for c in 'xyz'])} AS z, {_ANGLE} AS angle FROM n)
 SELECT scene_id, a_view_idx, b_view_idx, {_r('x', 5)} AS x, {_r('z', 5)} AS z, {_r(_norm('x', 'y', 'z'), 5)} AS distance, {_r('angle', 5)} AS angle,
   CASE WHEN {_norm('x', 'y', 'z')} < {_d(0.1)} THEN CASE WHEN angle < 10 THEN 'Static' ELSE 'Pure rotation' END
@@ -231,7 +231,7 @@ SELECT lower(tag) AS tag, count(*) AS n FROM w WHERE lower(tag) IN (SELECT tag F
     "well_connected_nodes": f"WITH {_RAW} SELECT scene_id, node_id, count(DISTINCT view_idx) AS n_views FROM fx_seen GROUP BY ALL HAVING count(DISTINCT view_idx) >= 3",
     "covisible_pairs": f"WITH {_RAW} SELECT a.scene_id, a.view_idx AS a_view_idx, b.view_idx AS b_view_idx, count(*) AS shared FROM fx_seen a JOIN fx_seen b ON a.scene_id = b.scene_id AND a.node_id = b.node_id AND a.view_idx < b.view_idx GROUP BY ALL",
     "only_in_view": f"""WITH {_RAW}, t AS (SELECT DISTINCT s.scene_id, s.view_idx, o.tag FROM fx_seen s JOIN fx_objects o ON o.node_id = s.node_id)
-SELECT a.scene_id, a.view_idx AS a_view_idx, b.view_idx AS b_view_idx, t.tag FROM fx_views a JOIN fx_views b ON a.scene_id = b.scene_id AND a.view_idx < b.view_idx AND b.view_idx - a.view_idx <= 6
+SELECT a.scene_id, a.view_idx AS a_view_idx, b.view_idx AS b_view_idx, t.tag FROM fx_views a JOIN fx_views b ON a.scene_id = b.scene_id AND a.view_idx < b.view_idx
 JOIN t ON t.scene_id = a.scene_id AND t.view_idx = a.view_idx WHERE NOT EXISTS (SELECT 1 FROM t x WHERE x.scene_id = b.scene_id AND x.view_idx = b.view_idx AND x.tag = t.tag)""",
     "merge_boxes": """WITH k AS (SELECT p_partkey % 97 AS frame_id, p_partkey AS obj_idx, lower(p_type) AS tag, (p_partkey*7)%20 AS x1, (p_partkey*11)%20 AS y1, p_size, p_partkey FROM part),
 b AS (SELECT frame_id, obj_idx, tag, x1, y1, CAST(x1 + 5 + p_size%10 AS BIGINT) AS x2, y1 + 5 + (p_partkey*3)%10 AS y2 FROM k), a AS (SELECT *, CAST((x2 - x1)*(y2 - y1) AS DOUBLE) AS area FROM b),
@@ -244,7 +244,7 @@ SELECT frame_id, obj_idx, tag, x1, y1, x2, y2 FROM b WHERE (frame_id, obj_idx) N
     "nth_closest": f"SELECT frame_id, obj_idx, depth FROM ({_ORDER}) WHERE rank = 2",
     "closest20_mean": _CLOSE,
     "distance_obj_cam": f"""WITH m AS ({_CLOSE}) SELECT obj_idx, a.frame_id AS a_frame_id, a.distance AS a_distance, b.frame_id AS b_frame_id, b.distance AS b_distance,
-  CASE WHEN abs(round(a.distance - b.distance, 9)) < {_d(0.08)} THEN 'equal' WHEN a.distance < b.distance THEN 'View 1' ELSE 'View 2' END AS answer FROM m a JOIN m b USING (obj_idx) WHERE b.frame_id = a.frame_id + 1""",
+  CASE WHEN abs(round(a.distance - b.distance, 9)) < {_d(0.08)} THEN 'equal' WHEN a.distance < b.distance THEN 'View 1' ELSE 'View 2' END AS answer FROM m a JOIN m b USING (obj_idx) WHERE b.frame_id > a.frame_id""",
     "backproject": f"WITH {_RAW} SELECT frame_id, obj_idx, count(*) AS n, {', '.join(f'{_r(f"sum(p_{k})", 4)} AS sum_{k}' for k in 'xyz')} FROM fx_cloud GROUP BY frame_id, obj_idx",
     "cloud_extent": f"WITH {_RAW} SELECT frame_id, obj_idx, {', '.join(f'{_r(f"max(p_{k}) - min(p_{k})")} AS size_{k}' for k in 'xyz')} FROM fx_cloud GROUP BY frame_id, obj_idx",
     "mask_box": f"WITH {_RAW} SELECT frame_id, obj_idx, min(u) AS x1, min(v) AS y1, max(u) AS x2, max(v) AS y2 FROM fx_pixels GROUP BY frame_id, obj_idx",
@@ -257,18 +257,20 @@ p AS (SELECT nn.frame_id, a_obj, b_obj, distance, (x.e + y.e)/2 AS extent FROM n
 r AS (SELECT *, coalesce(round(distance/CASE WHEN extent > 0 THEN extent END, 9), CAST('inf' AS DOUBLE)) AS ratio FROM p)
 SELECT frame_id, a_obj, b_obj, {_r('distance')} AS distance, {_r('extent')} AS extent, {_r('ratio')} AS ratio, CASE WHEN ratio < {_d(0.05)} THEN 'next' ELSE 'far' END AS answer FROM r WHERE ratio < {_d(0.05)} OR ratio > {_d(0.1)}""",
     "voxel_range_join": f"""WITH {_RAW}, {_PTS}, q AS (SELECT DISTINCT frame_id, x, y, z FROM pts)
-SELECT a.frame_id AS pair, count(*) AS n FROM q a JOIN q b ON b.frame_id = a.frame_id + 1 AND abs(a.x - b.x) <= {_d(0.051)} AND round({_norm('a.x - b.x', 'a.y - b.y', 'a.z - b.z')}, 9) <= {_d(0.05)} GROUP BY a.frame_id""",
+SELECT a.frame_id AS a_frame_id, b.frame_id AS b_frame_id, count(*) AS n FROM q a JOIN q b ON b.frame_id > a.frame_id AND abs(a.x - b.x) <= {_d(0.051)} AND round({_norm('a.x - b.x', 'a.y - b.y', 'a.z - b.z')}, 9) <= {_d(0.05)} GROUP BY a.frame_id, b.frame_id""",
     "bev_cells": f"{_bev()} SELECT scene_id, row, col, count(*) AS n FROM pl GROUP BY scene_id, row, col",
     "facing_words": f"{_bev()} SELECT scene_id, entity_id, row, col, facing FROM pl WHERE kind = 'camera'",
-    "bev_mirror": f"{_bev('(xmin + xmax - x)')} SELECT scene_id, kind, entity_id, row, col FROM pl",
+    "bev_perturbed": f"""{_bev()}, mm AS (SELECT pl.*, xmin, xmax, ymin, ymax, kind = 'camera' AS cam FROM pl JOIN bb USING (scene_id)), ops AS (SELECT unnest(['mirror_x', 'mirror_y', 'rotate_180']) AS op),
+q AS (SELECT op, mm.scene_id, kind, entity_id, xmin, xmax, ymin, ymax, CASE WHEN cam AND op <> 'mirror_y' THEN xmin + xmax - x ELSE x END AS x, CASE WHEN cam AND op <> 'mirror_x' THEN ymin + ymax - y ELSE y END AS y FROM mm, ops)
+SELECT op, scene_id, kind, entity_id, greatest(0, least(9, CAST(trunc(round((y - ymin)/(ymax - ymin)*10, 9)) AS INTEGER))) AS row, greatest(0, least(9, CAST(trunc(round((x - xmin)/(xmax - xmin)*10, 9)) AS INTEGER))) AS col, round(x, 4) + 0 AS x, round(y, 4) + 0 AS y FROM q""",
     "pose_validation": f"""WITH {_RAW}, t AS (SELECT scene_id, view_idx, round(right_x*(down_y*fwd_z - fwd_y*down_z) - down_x*(right_y*fwd_z - fwd_y*right_z) + fwd_x*(right_y*down_z - down_y*right_z), 6) AS det FROM fx_views)
 SELECT scene_id, view_idx, det + 0 AS det, det BETWEEN {_d(0.9)} AND {_d(1.1)} AS valid FROM t""",
     "resume_anti": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
     "intersect_scenes": "SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels",
     "failure_log": "SELECT event_type AS status, event_id AS id, n FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn, count(*) OVER (PARTITION BY event_type) AS n FROM events) WHERE rn <= 10",
-    "messages": """SELECT conv_id, turn, repeat('<image>', CAST(turn % 3 AS INTEGER)) || trim(substring(text, 1, 40), ' ') AS human, trim(role || ' Answer: x', ' ') AS gpt
+    "messages": """SELECT conv_id, turn, repeat('<image>', CAST(turn % 3 AS INTEGER)) || trim(text, ' ') AS human, trim(role || ' Answer: x', ' ') AS gpt
 FROM conversations WHERE text IS NOT NULL AND turn % 2 = 0""",
-    "blink_output_type": """WITH q AS (SELECT conv_id, turn, '<image>  ' || substring(text, 1, 30) || CASE conv_id % 3 WHEN 0 THEN ' A. yes' WHEN 1 THEN ' (B)' ELSE ' A:3' END AS q FROM conversations WHERE text IS NOT NULL)
+    "blink_output_type": """WITH q AS (SELECT conv_id, turn, '<image>  ' || text || CASE conv_id % 3 WHEN 0 THEN ' A. yes' WHEN 1 THEN ' (B)' ELSE ' A:3' END AS q FROM conversations WHERE text IS NOT NULL)
 SELECT conv_id, turn, CASE WHEN regexp_matches(q, '\\b[A-D]\\.\\s|\\([A-D]\\)') THEN 'MCQ' ELSE 'open' END AS output_type, CASE WHEN turn % 2 = 0 THEN 'multiview' ELSE 'singleview' END AS input_type,
   CAST(length(trim(regexp_replace(q, '<image>\\s*', '', 'g'), ' ')) AS INTEGER) AS n FROM q""",
     "path_resolve": """WITH p AS (SELECT page_id, regexp_extract(url, '//[^/]+(/.*)', 1) AS p FROM pages), q AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN p ELSE substring(p, 2) END AS path FROM p),
@@ -278,13 +280,14 @@ r AS (SELECT page_id, CASE WHEN starts_with(path, '/') THEN path ELSE '/data/roo
     "page_slice": "SELECT doc_id, source, lang FROM documents ORDER BY source, doc_id LIMIT 10 OFFSET 20",
     "flat_index": """WITH t AS (SELECT DISTINCT conv_id, turn, role FROM conversations WHERE turn IS NOT NULL), n AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn, role) - 1 AS flat_idx FROM t)
 SELECT conv_id, turn, role, flat_idx, printf('%08d', flat_idx) AS id FROM n""",
-    "scene_validation": f"WITH {_RAW} SELECT CAST(count(*) AS BIGINT) AS claimed, count(*) AS frames, true AS agree FROM fx_views",
+    "scene_validation": """WITH e AS (SELECT count(*) AS frames, count(DISTINCT CASE WHEN user_id % 3 = 0 THEN user_id END) AS less FROM events)
+SELECT CAST(frames AS BIGINT) AS claimed, frames, true AS agree, 'whole' AS run FROM e UNION ALL SELECT frames - less, frames, frames - less = frames, 'short' FROM e""",
     "skip_reasons": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx")}, r AS (SELECT CASE WHEN NOT {_DIVERSE} THEN 'pose_not_diverse' WHEN {_norm(*_DELTA[:2])} < {_d(0.3)} THEN 'horizontal_too_close' WHEN abs(round({_DELTA[2]}, 9)) > {_d(0.3)} THEN 'vertical_too_far' ELSE 'ok' END AS reason FROM pairs)
 SELECT reason, count(*) AS n FROM r GROUP BY reason""",
     "lookup_labels": "SELECT c_custkey, c_nationkey AS key, coalesce(n_name, 'Unknown') AS label FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0",
     "absolute_distance": f"WITH {_RAW}, {_PTS}, {_NN}, r AS (SELECT frame_id, a_obj, b_obj, round(distance, 6) AS x FROM nn) SELECT frame_id, a_obj, b_obj, {_metric('x')} AS answer FROM r",
     "relative_distance_points": f"""WITH {_RAW}, {_PTS}, {_NN}, r AS (SELECT frame_id, a_obj, b_obj, round(distance, 6) AS x FROM nn)
-SELECT a.frame_id, a.b_obj AS obj, a.x AS dist_a, b.x AS dist_b, CASE WHEN a.x > b.x THEN 'A' ELSE 'B' END AS answer FROM r a JOIN r b ON a.frame_id = b.frame_id AND a.b_obj = b.a_obj""",
+, t AS (FROM r UNION ALL SELECT frame_id, b_obj, a_obj, x FROM r) SELECT a.frame_id, a.a_obj AS obj, a.b_obj AS a_obj, b.b_obj AS b_obj, a.x AS dist_a, b.x AS dist_b, CASE WHEN a.x > b.x THEN 'A' ELSE 'B' END AS answer FROM t a JOIN t b ON a.frame_id = b.frame_id AND a.a_obj = b.a_obj AND a.b_obj < b.b_obj""",
     "merge_masks": f"""WITH {_RAW}, p AS (SELECT DISTINCT frame_id, obj_idx, obj_idx % 2 AS tag, u % 6 AS u, v FROM fx_pixels), z AS (SELECT frame_id, obj_idx, count(*) AS n FROM p GROUP BY ALL),
 c AS (SELECT a.frame_id, a.obj_idx AS i, b.obj_idx AS j, count(*) AS k FROM p a JOIN p b ON a.frame_id = b.frame_id AND a.tag = b.tag AND a.u = b.u AND a.v = b.v AND a.obj_idx < b.obj_idx GROUP BY ALL),
 lost AS (SELECT c.frame_id, CASE WHEN x.n < y.n THEN i ELSE j END AS obj_idx FROM c JOIN z x ON x.frame_id = c.frame_id AND x.obj_idx = i JOIN z y ON y.frame_id = c.frame_id AND y.obj_idx = j
@@ -297,4 +300,36 @@ SELECT frame_id, obj_idx FROM z WHERE (frame_id, obj_idx) NOT IN (SELECT (frame_
 t AS (SELECT frame_id, CASE WHEN p > 1e-4 THEN pow({_d(0.8)}, 1/({_d(1)}/{_d(2.2)}))/p ELSE 0 END AS scale FROM s)
 SELECT frame_id, {_r(f'avg(least(1, pow(greatest(0, scale*x), {_d(1)}/{_d(2.2)})))')} AS mean, {_r('max(scale)')} AS scale FROM b JOIN t USING (frame_id) GROUP BY frame_id""",
 }
+ORACLE |= {
+    "depth_ordering_oe": f"""WITH o AS ({_ORDER}), n AS (SELECT frame_id, round(depth, 6) AS depth, 'object ' || obj_idx AS name FROM o), a AS (SELECT frame_id, string_agg(name, ', ' ORDER BY depth, name) AS answer, CAST(count(*) AS INTEGER) AS n FROM n GROUP BY frame_id HAVING count(*) >= 3)
+SELECT frame_id, answer, answer AS gpt, n FROM a""",
+    "complete_frames": "SELECT doc_id % 97 AS scene_id, doc_id AS frame_name FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id IN (SELECT page_id FROM pages)",
+    "correspondences": f"""WITH {_RAW}, p AS (SELECT DISTINCT frame_id//2 AS pair, frame_id % 2 AS side, u, v, round(p_x, 6) AS x, round(p_y, 6) AS y, round(p_z, 6) AS z FROM fx_cloud WHERE u BETWEEN 4 AND 59 AND v BETWEEN 4 AND 43),
+n AS (SELECT a.pair, a.u, a.v, b.u AS u2, b.v AS v2, {_norm('a.x - b.x', 'a.y - b.y', 'a.z - b.z')} AS distance FROM p a JOIN p b ON a.pair = b.pair AND a.side = 0 AND b.side = 1 AND abs(a.x - b.x) < {_d(0.21)}),
+m AS (SELECT * FROM n WHERE round(distance, 9) <= {_d(0.2)} QUALIFY row_number() OVER (PARTITION BY pair, u, v ORDER BY distance, u2, v2) = 1)
+SELECT pair, u, v, u2, v2, {_r('distance')} AS distance FROM m WHERE pair IN (SELECT pair FROM m GROUP BY pair HAVING count(*) >= 3)""",
+    "color_tags": "SELECT p_partkey, split_part(p_name, ' ', 1) AS tag FROM part WHERE p_partkey % 7 <> 0 AND NOT regexp_matches(lower(split_part(p_name, ' ', 1)), 'red|green|blue|yellow|black|white|orange|purple|brown|gray|pink|gold|silver')",
+    "task_checks": "SELECT l_orderkey, count(*) > 1 AS counting, count(*) >= 3 AND l_orderkey % 15 <> 0 AND l_orderkey % 3 <> 0 AND l_orderkey % 5 <> 0 AS depth FROM lineitem GROUP BY l_orderkey",
+    "tag_priority": """WITH p AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'wall' WHEN 1 THEN lower(p_type) END AS label, CASE WHEN p_partkey % 4 = 0 THEN 'Unknown' ELSE split_part(p_name, ' ', 1) END AS name FROM part)
+SELECT p_partkey, CASE WHEN label IS NOT NULL AND label NOT IN ('blinds', 'door', 'otherfurniture', 'otherprop', 'otherstructure', 'wall', 'Unknown') THEN label WHEN name <> 'Unknown' THEN name ELSE 'Unknown' END AS tag FROM p""",
+    "first_seen": "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL",
+    "smoke_limit": f"WITH {_RAW} SELECT scene_id, view_idx FROM fx_all WHERE scene_id IN (SELECT DISTINCT scene_id FROM fx_all ORDER BY scene_id LIMIT 3) ORDER BY scene_id, view_idx LIMIT 20",
+    "missing_paths": """WITH r AS (SELECT doc_id AS id, 'image' AS field, 'image/' || doc_id AS path FROM documents UNION ALL SELECT doc_id, 'depth_map', 'image/' || (doc_id + 1) FROM documents WHERE doc_id % 2 = 0)
+SELECT id, field, path FROM r WHERE path NOT IN (SELECT 'image/' || doc_id FROM labels WHERE doc_id IS NOT NULL)""",
+    "valid_flags": "SELECT l_orderkey, coalesce(string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey, l_quantity) FILTER (WHERE l_quantity > 20), '') AS parts, 1 AS others FROM lineitem GROUP BY l_orderkey",
+    "record_problems": """SELECT CAST(c_custkey AS VARCHAR) AS id, 'missing image' AS problem FROM customer WHERE c_custkey % 5 = 0 OR c_name IS NULL UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), 'depth_scale' FROM customer WHERE c_custkey % 2 <> 0 AND c_custkey % 7 = 0""",
+    "nested_histogram": """WITH w AS (SELECT split_part(p_name, ' ', 1) AS tag FROM part UNION ALL SELECT split_part(p_name, ' ', 2) FROM part UNION ALL SELECT split_part(p_name, ' ', 1) FROM part)
+SELECT tag, count(*) AS n FROM w GROUP BY tag ORDER BY n DESC, tag LIMIT 6""",
+    "multi_turn_messages": """WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS rn FROM conversations WHERE text IS NOT NULL),
+m AS (SELECT conv_id, rn, turn % 3 <> 0 AS kept, 'human=' || CASE WHEN rn = 1 THEN '<image><image>' ELSE '' END || 'Q' || turn || ';gpt=A' || turn AS s FROM t)
+SELECT conv_id, CAST(2*count(*) FILTER (WHERE kept) AS INTEGER) AS n, coalesce(string_agg(s, ';' ORDER BY rn) FILTER (WHERE kept), '') AS turns FROM m GROUP BY conv_id""",
+    "axis_flip": f"WITH {_RAW} SELECT scene_id, view_idx, {', '.join(f'{_r(f"({sign})*{n}_{k}")} AS {n}_{k}' for n, sign in (('right', 1), ('down', -1), ('fwd', -1), ('pos', _d(0.5))) for k in 'xyz')} FROM fx_views",
+    "rendered_intrinsics": f"""WITH p AS (SELECT p_partkey, {_d(1.7)} + p_size/{_d(100)} AS a, (p_size*16 - 1)/{_d(2)} AS w, (p_size*12 - 1)/{_d(2)} AS h FROM part)
+SELECT p_partkey, {_r('a*w')} AS fx, {_r('w')} AS cx, {_r(f'{_d(2.3)}*h')} AS fy, {_r('h')} AS cy FROM p""",
+    "rotation_flags": "SELECT doc_id, coalesce(doc_id % 3 = 0 AND source IS NOT NULL OR starts_with(lower(trim(source)), 'arkitscenes'), false) AS rotated FROM documents",
+    "mask_resize": f"""WITH {_RAW}, p AS (SELECT DISTINCT frame_id, obj_idx, u, v FROM fx_pixels), x AS (SELECT unnest(range(100)) AS t), y AS (SELECT unnest(range(30)) AS t)
+SELECT frame_id, obj_idx, count(*) AS n, CAST(sum(x.t) AS BIGINT) AS su, CAST(sum(y.t) AS BIGINT) AS sv FROM p JOIN x ON CAST(floor((x.t + {_d(0.5)})*64/100) AS BIGINT) = p.u JOIN y ON CAST(floor((y.t + {_d(0.5)})*48/30) AS BIGINT) = p.v GROUP BY frame_id, obj_idx""",
+    "resized_paths": "SELECT page_id, 'rgb/' || page_id || '_resized' || CASE WHEN page_id % 2 = 0 THEN '.jpg' ELSE '' END AS image FROM pages",
+}
 ORACLE["union_tasks"] = f"SELECT scene_id, CAST(n AS VARCHAR) AS answer, 'counting' AS task FROM ({ORACLE['duplicate_tag_count']}) UNION ALL SELECT scene_id, answer, 'camera_movement' FROM ({ORACLE['camera_movement']})"

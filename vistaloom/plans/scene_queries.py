@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import text as tx
-from ..operators import annotate, bev, graph, kernels, points, sampling, tables, tasks
+from ..operators import annotate, bev, graph, kernels, points, records, sampling, tables, tasks
+from ..sources import readers
 from . import fixtures as fx
 from .oracle import ORACLE
 
@@ -317,11 +318,10 @@ def voxel_range_join(s, d):
     return points.range_join(a, b, 0.05).where("a_frame_id < b_frame_id").groupBy("a_frame_id", "b_frame_id").agg(F.count("*").alias("n"))
 
 
-def _map(s, d, mirror: str = ""):
+def _map(s, d):
     v, o, _ = _scene(s, d)
     e = bev.entities(v, o)
-    b = bev.bounds(e)
-    return bev.placed(bev.mirrored(e, b, mirror) if mirror else e, b)
+    return bev.placed(e, bev.bounds(e))
 
 
 @_query
@@ -335,8 +335,16 @@ def facing_words(s, d):
 
 
 @_query
-def bev_mirror(s, d):
-    return _map(s, d, "x").select("scene_id", "kind", "entity_id", "row", "col")
+def bev_perturbed(s, d):
+    """Maps whose cameras are mirrored or turned round; objects stay."""
+    v, o, _ = _scene(s, d)
+    e = bev.entities(v, o)
+    b = bev.bounds(e)
+    out = None
+    for op in bev.PERTURBATIONS[:3]:
+        p = bev.placed(bev.perturbed(e, b, op), b).select(F.lit(op).alias("op"), "scene_id", "kind", "entity_id", "row", "col", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+        out = p if out is None else out.unionByName(p)
+    return _rounded(out, 4)
 
 
 @_query
@@ -411,8 +419,11 @@ def flat_index(s, d):
 
 @_query
 def scene_validation(s, d):
+    """Two runs: scene records of all frames, and records that miss the last frame of every third scene."""
     frames = fx.views(s, d)
-    return tables.counts_agree(frames.groupBy("scene_id").agg(F.count("*").alias("num_images")), frames)
+    whole = frames.groupBy("scene_id").agg(F.count("*").alias("num_images"))
+    short = whole.withColumn("num_images", F.col("num_images") - (F.col("scene_id") % 3 == 0).cast("int"))
+    return tables.counts_agree(whole, frames).withColumn("run", F.lit("whole")).unionByName(tables.counts_agree(short, frames).withColumn("run", F.lit("short")))
 
 
 @_query
@@ -480,6 +491,147 @@ def tone_mapping(s, d):
     return _rounded(out)
 
 
+def _named_depths(s, d):
+    depth = points.front_depth(fx.pixels(s, d), ["frame_id", "obj_idx"])
+    return depth.select("frame_id", F.concat(F.lit("object "), "obj_idx").alias("name"), "depth")
+
+
+def _question(df, *keys):
+    return df.select(*keys, "kind", "answer", F.col("messages")[0]["value"].alias("human"), F.col("messages")[1]["value"].alias("gpt"))
+
+
+@_query
+def depth_ordering_oe(s, d):
+    """All objects of a frame from near to far, as an open question."""
+    q = records.depth_questions(_named_depths(s, d), "ordering", False, ["frame_id"], objects=8)
+    return q.select("frame_id", "answer", F.regexp_replace(F.col("messages")[1]["value"], "^From near to far: ", "").alias("gpt"), F.size("asked").alias("n"))
+
+
+@_query
+def complete_frames(s, d):
+    """Frames that all of three listings have: documents, labels, and pages by number."""
+    t = {n: fx.table(s, d, n).select((F.col(k) % 97).alias("scene_id"), F.col(k).alias("frame_name")) for n, k in (("documents", "doc_id"), ("labels", "doc_id"), ("pages", "page_id"))}
+    return tables.complete_frames(t, "documents")
+
+
+@_query
+def correspondences(s, d):
+    """Pixels of every even frame with their nearest point in the next frame."""
+    p = points.back_projected(fx.pixels(s, d)).select((F.col("frame_id") / 2).cast("long").alias("pair"), F.col("frame_id") % 2, "u", "v", *[F.round(f"p_{k}", 6).alias(f"p_{k}") for k in "xyz"]).toDF("pair", "side", "u", "v", "p_x", "p_y", "p_z").distinct()
+    a, b = (p.where(f"side = {i}").drop("side") for i in (0, 1))
+    return _rounded(annotate.correspondences(a, b, ["pair"], 0.2, 4, (64, 48), 3))
+
+
+@_query
+def color_tags(s, d):
+    """Parts whose second name word is a colour."""
+    p = fx.table(s, d, "part").select("p_partkey", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("tag"), F.when(F.col("p_partkey") % 7 == 0, "红色").otherwise("桌子").alias("local"))
+    return p.where(~tx.is_colour(F.col("tag"), F.col("local"))).select("p_partkey", "tag")
+
+
+@_query
+def task_checks(s, d):
+    """Which tasks each order can serve, its parts taken as tags."""
+    o = _orders(s, d).select("l_orderkey", F.col("parts").cast("array<string>").alias("obj_tags"), F.when(F.col("l_orderkey") % 3 != 0, F.lit("d.png")).alias("depth_map"), F.when(F.col("l_orderkey") % 5 != 0, F.array(F.lit("m"))).alias("masks"))
+    return tables.task_checks(o).select("l_orderkey", "counting", "depth")
+
+
+@_query
+def tag_priority(s, d):
+    """Label, else name, else Unknown."""
+    p = fx.table(s, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, "wall").when(F.col("p_partkey") % 3 == 1, F.lower("p_type")).alias("label"), F.when(F.col("p_partkey") % 4 == 0, "Unknown").otherwise(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("name"))
+    return p.select("p_partkey", tables.gathered_tag(F.col("label"), F.col("name")).alias("tag"))
+
+
+@_query
+def first_seen(s, d):
+    """The first event of every user and type."""
+    e = fx.table(s, d, "events").select("event_id", "user_id", "event_type", "ts")
+    return tables.first_seen(e, ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
+
+
+@_query
+def smoke_limit(s, d):
+    """The first 3 scenes, and of them the first 20 views."""
+    return tables.limited(fx.views(s, d).select("scene_id", "view_idx"), "scene_id", 3, 20, ("view_idx",))
+
+
+@_query
+def missing_paths(s, d):
+    """Documents' paths that a listing of labels does not have."""
+    rec = fx.table(s, d, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("image/"), "doc_id").alias("image"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("image/"), F.col("doc_id") + 1)).alias("depth_map"))
+    have = fx.table(s, d, "labels").select(F.concat(F.lit("image/"), "doc_id").alias("path"))
+    return tables.missing_paths(rec, have, ("image", "depth_map"), None)
+
+
+@_query
+def valid_flags(s, d):
+    """Lists of an order filtered by flags of the same length; others stay."""
+    o = _orders(s, d).select("l_orderkey", F.col("parts"), F.transform("quantities", lambda q: q > 20).alias("flags"), F.array(F.lit("x")).alias("other"))
+    out = tables.by_flags(o, "flags", ["parts"])
+    return out.select("l_orderkey", F.array_join(F.col("parts").cast("array<string>"), ",").alias("parts"), F.size("other").alias("others"))
+
+
+@_query
+def record_problems(s, d):
+    """Customers with a missing field or an unusual scale."""
+    c = fx.table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("image"), F.when(F.col("c_custkey") % 2 == 0, 1000).when(F.col("c_custkey") % 7 == 0, 500).otherwise(4000).alias("depth_scale"))
+    return tables.invalid_records(c, ("id", "image"))
+
+
+@_query
+def nested_histogram(s, d):
+    """Tags of lists of lists."""
+    p = fx.table(s, d, "part").select(F.array(F.array(*[F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2)]), F.array(F.split_part("p_name", F.lit(" "), F.lit(1)))).alias("tag"))
+    return tables.tag_histogram(p, 6)
+
+
+@_query
+def multi_turn_messages(s, d):
+    """Prompts of a conversation as turns; those without an answer are left out."""
+    t = fx.turns(s, d).where("value is not null").groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("x"))
+    prompts = F.transform("x", lambda r: F.concat(F.lit("Q"), r["pos"].cast("string"), F.when(r["pos"] % 3 != 0, F.concat(F.lit(" Answer: A"), r["pos"].cast("string"))).otherwise("")))
+    m = t.select(F.col("scene_id").alias("conv_id"), tx.multi_turn(prompts, F.lit(2)).alias("m"))
+    return m.select("conv_id", F.size("m").alias("n"), F.array_join(F.transform("m", lambda r: F.concat(r["from"], F.lit("="), r["value"])), ";").alias("turns"))
+
+
+@_query
+def axis_flip(s, d):
+    """Rendered cameras' axes with signs changed, their places in metres."""
+    v = fx.views(s, d)
+    c = g.camera()
+    axes, at = g.flipped([c.right, c.down, c.forward], c.at, F.lit(0.5))
+    return _rounded(v.select("scene_id", "view_idx", *[x.alias(f"{n}_{k}") for n, a in zip(("right", "down", "fwd", "pos"), (*axes, at)) for k, x in zip("xyz", a)]))
+
+
+@_query
+def rendered_intrinsics(s, d):
+    """Pinhole numbers of rendered cameras."""
+    m = readers.rendered_intrinsic(F.lit(1.7) + F.col("p_size") / 100.0, F.lit(2.3), F.col("p_size") * 16, F.col("p_size") * 12)
+    p = fx.table(s, d, "part").select("p_partkey", m.alias("m"))
+    return _rounded(p.select("p_partkey", *[F.get("m", F.lit(i)).alias(n) for i, n in ((0, "fx"), (2, "cx"), (5, "fy"), (6, "cy"))]))
+
+
+@_query
+def rotation_flags(s, d):
+    """Whether a source's images are stored turned."""
+    t = fx.table(s, d, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(" ARKitScenes_"), "source")).otherwise(F.col("source")).alias("dataset"))
+    return t.select("doc_id", tx.is_rotated(F.col("dataset")).alias("rotated"))
+
+
+@_query
+def mask_resize(s, d):
+    """Masks of 64 x 48 pixels brought to 100 x 30."""
+    p = fx.pixels(s, d).select("frame_id", "obj_idx", "u", "v").distinct()
+    return points.resized(p, 64, 48, 100, 30).groupBy("frame_id", "obj_idx").agg(F.count("*").alias("n"), F.sum("u").alias("su"), F.sum("v").alias("sv"))
+
+
+@_query
+def resized_paths(s, d):
+    p = fx.table(s, d, "pages").select("page_id", F.concat(F.lit("rgb/"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 2 == 0, ".jpg").otherwise("")).alias("image"))
+    return p.select("page_id", tx.resized(F.col("image")).alias("image"))
+
+
 # Without an SQL counterpart: hash-seeded choices and folds (tested against brute force).
 
 
@@ -487,7 +639,7 @@ def tone_mapping(s, d):
 def round_robin_sample(s, d):
     v, _, seen = _scene(s, d)
     pairs = tasks.camera_pair_octant(v, seen).select("scene_id", "node_id", "a_view_idx", "b_view_idx", "answer")
-    return sampling.round_robin(pairs, ["scene_id", "node_id"], 500, 7, "a_view_idx", "b_view_idx")
+    return sampling.round_robin(pairs, ["scene_id", "node_id"], 500, 7, "a_view_idx", "b_view_idx", pair=("a_view_idx", "b_view_idx"))
 
 
 @_query
@@ -532,7 +684,7 @@ def camera_questions(s, d):
     p = tasks.camera_pair_octant(v, seen).join(o.select("scene_id", "node_id", "tag"), ["scene_id", "node_id"])
     seed = F.concat_ws("/", "scene_id", "node_id", "a_view_idx", "b_view_idx")
     options = sampling.shuffled(F.array(*map(F.lit, g.OCTANTS)), 5, "scene_id", "node_id", "a_view_idx", "b_view_idx")
-    q = annotate.questions(p, "camera_camera", {"T": F.col("tag"), "A": F.col("answer")}, seed, images=2, quota=10, options=options)
+    q = annotate.questions(p, "mmsi.camera_camera", {"T": F.col("tag"), "A": F.col("answer")}, seed, images=2, quota=10, options=options)
     return q.select("scene_id", "node_id", "a_view_idx", "b_view_idx", F.col("messages")[0]["value"].alias("human"), F.col("messages")[1]["value"].alias("gpt"))
 
 
@@ -548,6 +700,103 @@ def cognitive_map(s, d):
     return m.select("scene_id", F.to_json(F.struct("cells", "cameras", "objects")).alias("map"))
 
 
+@_query
+def depth_ordering_mcq(s, d):
+    return _question(records.depth_questions(_named_depths(s, d), "ordering", True, ["frame_id"]), "frame_id")
+
+
+@_query
+def depth_choice_oe(s, d):
+    return _question(records.depth_questions(_named_depths(s, d), "choice", False, ["frame_id"]), "frame_id")
+
+
+@_query
+def depth_choice_mcq(s, d):
+    return _question(records.depth_questions(_named_depths(s, d), "choice", True, ["frame_id"]), "frame_id")
+
+
+def _chain(s, d, length):
+    return records.chain_members(sampling.chains(fx.appearances(s, d), length, views=fx.views(s, d)), length)
+
+
+def _node_clouds(o):
+    """The corners of each box as its points."""
+    n = o.select("scene_id", "node_id", *[f"{a}_{k}" for a in "cl" for k in "xyz"], *g.trig())
+    ends = g.corners(g.vec("c"), g.vec("l"), g.box_axes())
+    n = n.select("scene_id", "node_id", F.explode(F.array(*[F.struct(*[x.alias(f"p_{k}") for k, x in zip("xyz", p)]) for p in ends])).alias("p"))
+    return n.select("scene_id", "node_id", "p.p_x", "p.p_y", "p.p_z")
+
+
+@_query
+def multiview_distance_pair(s, d):
+    o = fx.objects(s, d)
+    q = records.chain_distance(_chain(s, d, 2), o, _node_clouds(o))
+    return _rounded(q.select("scene_id", "node_a", "node_b", "distance", "unit", "answer"))
+
+
+@_query
+def multiview_distance_multi(s, d):
+    o = fx.objects(s, d)
+    q = records.chain_extreme_distance(_chain(s, d, 3), o, _node_clouds(o), 3)
+    return q.select("scene_id", "node_ref", "kind", "node_answer", "answer")
+
+
+@_query
+def multiview_size_pair(s, d):
+    return records.chain_size(_chain(s, d, 2), fx.objects(s, d)).select("scene_id", "node_a", "node_b", "kind", "answer")
+
+
+@_query
+def multiview_size_multi(s, d):
+    return records.chain_extreme_size(_chain(s, d, 3), fx.objects(s, d), 3).select("scene_id", "kind", "node_answer", "answer")
+
+
+@_query
+def object_position(s, d):
+    """Positions across views, of 40 (views, anchor) a scene; here views see 4 of 11 residues of objects, so
+    that two views share some and not all."""
+    v, o = fx.views(s, d), fx.objects(s, d)
+    seen = v.join(o.select("scene_id", "node_id"), "scene_id").where((F.col("event_id") * 7 + F.col("node_id") * 13) % 11 < 4).select("scene_id", "view_idx", "node_id")
+    return _rounded(records.object_positions(v.drop("event_id", "n"), o, seen, quota=40))
+
+
+@_query
+def footprint_overlap(s, d):
+    return kernels.footprint_overlaps(fx.objects(s, d), 4.0)
+
+
+@_query
+def correspondence_mcq(s, d):
+    q = records.correspondence_questions(correspondences(s, d), ["pair"], True, margin=4)
+    return q.select("pair", "u", "v", "right", "answer", F.col("messages")[0]["value"].alias("human"))
+
+
+@_query
+def bev_pose_question(s, d):
+    """Which of four maps is the true one; the maps as JSON."""
+    q = records.pose_questions(*_scene(s, d))
+    return q.select("scene_id", F.array_join(F.col("views").cast("array<string>"), ",").alias("views"), "answer", F.to_json("maps").alias("maps"))
+
+
+@_query
+def fused_clouds(s, d):
+    """World clouds of objects that keep points in two frames or more, the frames taken as views."""
+    p = fx.pixels(s, d).withColumnsRenamed({"frame_id": "view_idx"}).distinct()
+    v = fx.views(s, d).where("scene_id = 1").select(F.col("view_idx").alias("view_idx"), *[f"{n}_{c}" for n in ("pos", "right", "down", "fwd") for c in "xyz"], F.lit(50.0).alias("fx"), F.lit(50.0).alias("fy"), F.lit(32.0).alias("cx"), F.lit(24.0).alias("cy"))
+    return _rounded(points.fused_clouds(p, v, ["obj_idx"]).groupBy("obj_idx").agg(F.countDistinct("view_idx").alias("n_views"), F.count("*").alias("n")))
+
+
+@_query
+def box_filter(s, d):
+    """Boxes of each view's scene that show in it and hold enough of its points."""
+    o = fx.objects(s, d)
+    boxes = o.groupBy("scene_id").agg(F.sort_array(F.collect_list(F.struct("node_id", "tag", F.array(*[F.col(c) for c in ("c_x", "c_y", "c_z", "l_x", "l_y", "l_z", "e0", "e1", "e2")]).alias("box")))).alias("x"))
+    v = fx.views(s, d).join(boxes, "scene_id").select(F.col("event_id").alias("frame_id"), *[f"{n}_{c}" for n in ("pos", "right", "down", "fwd") for c in "xyz"], *[F.lit(x).alias(n) for n, x in (("fx", 50.0), ("fy", 50.0), ("cx", 32.0), ("cy", 24.0))], F.col("x.tag").alias("obj_tags"), F.col("x.box").alias("bboxes_3d_world_coords"), F.col("x.node_id").alias("ids"))
+    p = fx.pixels(s, d).select("frame_id", "u", "v", "d").distinct()
+    out = kernels.filtered_boxes(v, p, ("antique",), ["ids"], scale=3.0, least_points=4, least_share=0.0, least_mask=0.0)
+    return out.select("frame_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), F.array_join("obj_tags", ",").alias("tags"), F.array_join(F.transform("masks", lambda m: F.size(m).cast("string")), ",").alias("mask_pixels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

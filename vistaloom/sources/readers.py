@@ -1,6 +1,7 @@
 """Scans: frames and scenes, tolerant JSON lines, matrix and intrinsic text, images and depth maps."""
 
 import io
+import pickle
 import re
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.graph import require_columns
+from . import png
 
 _BOX = T.ArrayType(T.DoubleType())
 FRAME = T.StructType(
@@ -105,14 +107,20 @@ def segment_groups(spark: SparkSession, path: str) -> DataFrame:
     return s.select("path", "s.label", "s.obb.centroid", F.col("s.obb.axesLengths").alias("axes_lengths"), F.col("s.obb.normalizedAxes").alias("axes"))
 
 
+def _picture(content: bytes) -> np.ndarray:
+    return np.load(io.BytesIO(content), allow_pickle=False) if content[:6] == b"\x93NUMPY" else png.decode(content)
+
+
 def depth_pixels(files: DataFrame, scale: str = "depth_scale", step: int = 1) -> DataFrame:
-    """(path, u, v, d) of .npy depth maps in binaryFile rows (path, content, scale): values over the
-    scale if there is one. Every step-th pixel both ways; images never leave the workers."""
+    """(path, u, v, d) of depth maps, .npy or PNG of 8 or 16 bits, in binaryFile rows (path, content,
+    scale): values over the scale if there is one. Every step-th pixel both ways; images never leave the
+    workers."""
 
     def go(batches):
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                d = np.load(io.BytesIO(r.content), allow_pickle=False)[::step, ::step].astype(float)
+                d = _picture(r.content)
+                d = (d[:, :, 0] if d.ndim == 3 else d)[::step, ::step].astype(float)
                 if r.scale is not None and r.scale == r.scale and r.scale:
                     d = d / r.scale
                 v, u = np.indices(d.shape)
@@ -120,3 +128,78 @@ def depth_pixels(files: DataFrame, scale: str = "depth_scale", step: int = 1) ->
 
     rows = files.select("path", "content", F.col(scale).cast("double").alias("scale"))
     return rows.mapInPandas(go, "path string, u long, v long, d double")
+
+
+def rgb_images(files: DataFrame) -> DataFrame:
+    """(path, width, height, rgb) of PNG images in binaryFile rows: three bytes a pixel, row by row; grey is
+    spread over the three, transparency is left out and 16 bits are cut to 8. JPEG needs a plug-in."""
+
+    def go(batches):
+        for pdf in batches:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                x = png.decode(content)
+                x = (x >> 8).astype(np.uint8) if x.dtype == np.uint16 else x
+                x = x[:, :, :3] if x.shape[2] > 2 else np.repeat(x[:, :, :1], 3, axis=2)
+                out.append((path, x.shape[1], x.shape[0], x.tobytes()))
+            yield pd.DataFrame(out, columns=["path", "width", "height", "rgb"])
+
+    return files.select("path", "content").mapInPandas(go, "path string, width int, height int, rgb binary")
+
+
+class _Plain(pickle.Unpickler):
+    """Reads lists, dicts, numbers, texts and numpy arrays; anything else in a pickle is refused."""
+
+    ARRAYS = {("_reconstruct", "multiarray"), ("scalar", "multiarray"), ("ndarray", "numpy"), ("dtype", "numpy")}
+
+    def find_class(self, module, name):
+        if module.split(".")[0] == "numpy" and (name, module.split(".")[-1]) in self.ARRAYS:
+            return super().find_class(module, name)
+        raise pickle.UnpicklingError(f"refused: {module}.{name}")
+
+
+def annotations(files: DataFrame, names: str = "data_list") -> DataFrame:
+    """(path, place, sample_idx, img_path, cam2img) of pickled annotation lists in binaryFile rows: a row an
+    image, cam2img as 16 numbers. Only plain values are unpickled. Of samples whose id has an image already
+    the first in order stays (tables.first_seen does so by any key)."""
+
+    def go(batches):
+        for pdf in batches:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                data = _Plain(io.BytesIO(content)).load()
+                place = 0
+                for sample in data[names] if isinstance(data, dict) else data:
+                    for image in sample.get("images", []):
+                        m = np.asarray(image.get("cam2img", sample.get("cam2img", [])), float)
+                        full = np.eye(4)
+                        full[: m.shape[0], : m.shape[1]] = m if m.ndim == 2 else full[:0, :0]
+                        out.append((path, place, str(sample["sample_idx"]), str(image["img_path"]), full.ravel().tolist() if m.ndim == 2 else None))
+                        place += 1
+            yield pd.DataFrame(out, columns=["path", "place", "sample_idx", "img_path", "cam2img"])
+
+    rows = files.select("path", "content").mapInPandas(go, "path string, place int, sample_idx string, img_path string, cam2img array<double>")
+    first = rows.groupBy("path", "sample_idx", "img_path").agg(F.min("place").alias("place"))
+    return rows.join(first, ["path", "sample_idx", "img_path", "place"], "left_semi")
+
+
+def csv_rows(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """CSV files with a header as text columns; of rows of one key the first of its file stays."""
+    rows = spark.read.option("header", "true").csv(path)
+    if key is None:
+        return rows
+    named = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__at"))
+    rest = [c for c in rows.columns if c != key]
+    return named.groupBy("__file", key).agg(F.min_by(F.struct(*rest), "__at").alias("__x")).select(*[F.col("__x").getField(c).alias(c) if c in rest else F.col(c) for c in rows.columns])
+
+
+def scene_frames(rgb: DataFrame, depth: DataFrame, pose: DataFrame, intrinsic: DataFrame) -> DataFrame:
+    """Frames (scene_id, frame_name, image, depth_map, pose, intrinsic) that have all four files: listings
+    of (scene_id, frame_name, path) joined on scene and frame; intrinsics are of a frame or, without a
+    frame_name, of the scene."""
+    on = ["scene_id", "frame_name"]
+    own = on if "frame_name" in intrinsic.columns else ["scene_id"]
+    out = rgb.select(*on, F.col("path").alias("image"))
+    for df, name, keys in ((depth, "depth_map", on), (pose, "pose", on), (intrinsic, "intrinsic", own)):
+        out = out.join(df.groupBy(*keys).agg(F.min("path").alias(name)), keys)
+    return out
