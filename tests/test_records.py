@@ -336,3 +336,55 @@ def test_quotas_come_before_the_third_node(spark, sf_dir):
     assert {tuple(r) for r in some} < whole and max(len({(r.node_a, r.node_b) for r in some if r.scene_id == s}) for s in range(15)) <= 5
     assert tasks.compass_relation(o, quota=2).count() < tasks.compass_relation(o).count()
     assert tables.limited(o, "scene_id", 2).select("scene_id").distinct().count() == 2
+
+
+PLAN = """
+pipeline:
+  file_name: demo
+  stages:
+    flatten_stage:
+      - {method: flatten, output_dir: a, anchor: obj_tags, columns: [ids]}
+    group_stage:
+      - {method: group, output_dir: b, key: scene_id, lists: [obj_tags, ids], order: n, depends_on: flatten_stage/flatten}
+"""
+
+
+def test_plans_from_the_command_line(spark, tmp_path, capsys):
+    from vistaloom.plans import cli
+
+    for name in "xy":
+        spark.createDataFrame([(f"{name}{s}", s, ["a", "b"], [1, 2]) for s in range(4)], "scene_id string, n int, obj_tags array<string>, ids array<int>").write.parquet(f"{tmp_path}/{name}")
+    out = cli.run(spark, PLAN, [f"{tmp_path}/x", f"{tmp_path}/y"], f"{tmp_path}/out")
+    assert sorted(out) == [f"part_{i}/{t}" for i in (1, 2) for t in ("flatten_stage/flatten", "group_stage/group")]
+    assert out["part_1/flatten_stage/flatten"].count() == 8 and out["part_2/group_stage/group"].count() == 4
+    made = (tmp_path / "out/demo/part_1/group_stage/group/_SUCCESS").stat().st_mtime
+    cli.run(spark, PLAN, [f"{tmp_path}/x", f"{tmp_path}/y"], f"{tmp_path}/out")
+    assert (tmp_path / "out/demo/part_1/group_stage/group/_SUCCESS").stat().st_mtime == made
+    (tmp_path / "p.yaml").write_text(PLAN)
+    cli.main(["--config", f"{tmp_path}/p.yaml", "--input", f"{tmp_path}/x", "--output", f"{tmp_path}/few", "--max-scenes", "2"])
+    assert "flatten_stage/flatten: 4 rows" in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        cli.run(spark, PLAN, [f"{tmp_path}/x"], f"{tmp_path}/bad", methods={})
+
+
+def test_record_checks(spark):
+    df = spark.createDataFrame([(1, "i", ["a"]), (2, None, ["a"]), (3, "i", []), (4, "i", None)], "id int, image string, obj_tags array<string>")
+    assert [r.id for r in tables.single_checked(df).collect()] == [1] and tables.single_checked(df.drop("image")).count() == 0
+    two = spark.createDataFrame([(1, ["a"], [1]), (2, ["a"], [1, 2]), (3, [], []), (4, None, [1])], "id int, x array<string>, y array<int>")
+    assert [r.id for r in tables.multi_checked(two, ["x", "y"]).collect()] == [1] and tables.multi_checked(two).count() == 0
+
+
+def test_captions(spark):
+    df = records.caption_requests(spark.range(2000).withColumnRenamed("id", "key"), "key")
+    rows = df.collect()
+    share = lambda name: np.mean([any(t in r.request for t in records.CAPTION[name]) for r in rows])
+    assert all(share(n) == pytest.approx(1 - p, abs=0.05) for n, p in records.LEFT_OUT.items())
+    got = records.caption_answers(df.withColumn("caption", F.when(F.col("key") == 7, "A room."))).collect()
+    assert len(got) == 1 and got[0].messages[1]["value"] == "A room." and got[0].messages[0]["value"].startswith("<image>")
+
+
+def test_snapshots_and_image_bytes(spark, tmp_path):
+    assert readers.snapshot("owner/set-1", "/data") == "/data/owner/set-1/train*.parquet" and readers.snapshot("/a/b", "/data") == "/a/b"
+    rgb = spark.createDataFrame([("p", 2, 1, bytearray(range(6)))], "path string, width int, height int, rgb binary")
+    image = readers.png_images(rgb).first().image["bytes"]
+    assert png.decode(bytes(image)).ravel().tolist() == list(range(6))

@@ -86,3 +86,24 @@ def is_colour(tag: Column, local: Column) -> Column:
     for c in COLOURS:
         out = out | F.lower(tag).contains(c)
     return out
+
+
+#: The side of a model's input, and what its sides are multiples of.
+SIDE, STEP = 518, 14
+
+
+def model_size(width: Column, height: Column, pad: bool = False) -> Column:
+    """struct<width, height, top, left, cut_top, cut_height>: how an image of a size is brought to a model's.
+
+    It is scaled to (width, height), multiples of STEP: SIDE wide, or, if it is to be padded to a square, its
+    longer side SIDE. Padding stands at top and left (the rest below and right); without it, what is higher
+    than SIDE is cut, cut_height lines from cut_top. Halves are rounded to even.
+    """
+    scaled = lambda a, b: (F.bround(a * SIDE / b / STEP) * STEP).cast("int")
+    side = F.lit(SIDE)
+    new_w = F.when(width >= height, side).otherwise(scaled(width, height)) if pad else side
+    new_h = F.when(width >= height, scaled(height, width)).otherwise(side) if pad else scaled(height, width)
+    half = lambda n: F.floor(F.greatest(side - n, F.lit(0)) / 2).cast("int")
+    cut = F.lit(0) if pad else F.floor(F.greatest(new_h - side, F.lit(0)) / 2).cast("int")
+    none = F.lit(0)
+    return F.struct(new_w.alias("width"), new_h.alias("height"), (half(new_h) if pad else none).alias("top"), (half(new_w) if pad else none).alias("left"), cut.alias("cut_top"), F.least(new_h, side).alias("cut_height"))

@@ -244,3 +244,37 @@ def pose_questions(views: DataFrame, nodes: DataFrame, seen: DataFrame, min_rota
     q = listed.join(maps, "scene_id")
     prompt = templates.prompt("bev_pose.mcq", F.col("scene_id").cast("string"), {"O": F.lit(" / ".join(LETTERS)), "A": F.col("answer")})
     return _messages(q, prompt, 7).select("scene_id", "views", "maps", "answer", "prompt", "messages")
+
+
+#: How often a part of a caption request is left out.
+LEFT_OUT = {"role": 0.1, "task": 0.0, "subject": 0.2, "technical": 0.5, "text": 0.0, "constraint": 0.4, "style": 0.2}
+#: Parts of a request for a caption, in their order.
+CAPTION = {
+    "role": ("You describe rooms for people who cannot see them.", "You write captions of interiors."),
+    "task": ("Describe this scene in one paragraph.", "Write down what this room looks like."),
+    "subject": ("Name the main objects and where they stand to each other.", "Say what stands where."),
+    "technical": ("Mention light and the place of the camera.", "Say from where the picture was taken."),
+    "text": ("Quote any writing that can be read.",),
+    "constraint": ("Do not guess what cannot be seen.", "Leave out what is uncertain."),
+    "style": ("Use plain words.", "Write short sentences."),
+}
+
+
+def caption_requests(records: DataFrame, key: str = "id", seed: int = 0) -> DataFrame:
+    """records with `request`, what a captioner is asked: a wording of each part, parts left out by hash.
+
+    The captioner itself is a plug-in (kernels.Model), which reads image and request and gives the caption;
+    caption_answers makes messages of them.
+    """
+    parts = []
+    for name, texts in CAPTION.items():
+        left = F.pmod(F.xxhash64(F.lit(seed), F.lit(name), F.col(key)), F.lit(1000)) / 1000.0 < LEFT_OUT[name]
+        text_ = F.get(F.array(*map(F.lit, texts)), F.pmod(F.xxhash64(F.lit(seed + 1), F.lit(name), F.col(key)), F.lit(len(texts))).cast("int"))
+        parts.append(F.when(~left, text_))
+    return records.withColumn("request", F.concat_ws(" ", *parts))
+
+
+def caption_answers(captioned: DataFrame, caption: str = "caption") -> DataFrame:
+    """Rows of request and caption as question records; rows without a caption go."""
+    df = captioned.where(F.col(caption).isNotNull())
+    return _messages(df, F.concat("request", F.lit(f" {text.ANSWER}"), caption), 1)

@@ -258,6 +258,28 @@ def task_checks(records: DataFrame, tags: str = "obj_tags", depth: str = "depth_
     return records.withColumns({"counting": n > 1, "depth": (n >= 3) & there(depth) & there(masks)})
 
 
+#: Fields that a scene record needs, as lists of one length.
+SCENE_LISTS = ("image", "pose", "intrinsic", "obj_tags", "masks", "depth_map", "bboxes_3d_world_coords")
+
+
+def single_checked(df: DataFrame) -> DataFrame:
+    """Records of one image that can be annotated: an image and a tag at least. Without these columns: none."""
+    if not {"image", "obj_tags"} <= set(df.columns):
+        return df.where(F.lit(False))
+    return df.where(F.col("image").isNotNull() & (F.size("obj_tags") > 0))
+
+
+def multi_checked(df: DataFrame, lists: list[str] = list(SCENE_LISTS)) -> DataFrame:
+    """Scene records whose lists are all there, of one length and not empty. Without a column: none."""
+    if not set(lists) <= set(df.columns):
+        return df.where(F.lit(False))
+    n = F.size(lists[0])
+    test = n > 0
+    for c in lists[1:]:
+        test = test & (F.size(c) == n)
+    return df.where(F.coalesce(test, F.lit(False)))
+
+
 #: Labels that say nothing of an object, and the word for an object without a name.
 BLANK = ("blinds", "door", "otherfurniture", "otherprop", "otherstructure", "wall")
 UNKNOWN = "Unknown"

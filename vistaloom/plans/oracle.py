@@ -165,7 +165,7 @@ v AS (SELECT DISTINCT q.scene_id, a_view_idx, b_view_idx, node_id FROM q JOIN fx
 w AS (SELECT q.scene_id, q.a_view_idx, q.b_view_idx, m.node_id AS node_a, o.node_id AS node_b, ((m.c_x - o.c_x)*fy - (m.c_y - o.c_y)*fx)/{_norm('fx', 'fy')} AS side
   FROM q JOIN v x USING (scene_id, a_view_idx, b_view_idx) JOIN v y USING (scene_id, a_view_idx, b_view_idx)
   JOIN fx_objects m ON m.node_id = x.node_id JOIN fx_objects o ON o.node_id = y.node_id WHERE m.node_id < o.node_id AND m.tag <> o.tag AND {_norm('fx', 'fy')} >= {_d(1e-3)})
-SELECT scene_id, a_view_idx, b_view_idx, node_a, node_b, {_r('side')} AS side, CASE WHEN abs(round(side, 9)) < {_d(0.3)} THEN 'Same line' WHEN side > 0 THEN 'Right' ELSE 'Left' END AS answer FROM w""",
+SELECT scene_id, node_a, node_b, CASE WHEN abs(round(side, 9)) < {_d(0.3)} THEN 'Same line' WHEN side > 0 THEN 'Right' ELSE 'Left' END AS answer, count(*) AS n, min(a_view_idx) AS first_view, {_r('max(round(side, 6))')} AS most FROM w GROUP BY ALL""",
     "camera_motion": f"""WITH {_RAW}, {_pairs("a.view_idx < b.view_idx")},
 n AS (SELECT * FROM pairs),
 m AS (SELECT scene_id, a_view_idx, b_view_idx, {_dot(_DELTA, [f'a_right_{c}' for c in 'xyz'])} AS x, {_dot(_DELTA, [f'a_down_{c}' for c in 'xyz'])} AS y, {_dot(_DELTA, [f'a_fwd_{c}' for c in 'xyz'])} AS z, {_ANGLE} AS angle FROM n)
@@ -330,6 +330,12 @@ SELECT p_partkey, {_r('a*w')} AS fx, {_r('w')} AS cx, {_r(f'{_d(2.3)}*h')} AS fy
     "rotation_flags": "SELECT doc_id, coalesce(doc_id % 3 = 0 AND source IS NOT NULL OR starts_with(lower(trim(source)), 'arkitscenes'), false) AS rotated FROM documents",
     "mask_resize": f"""WITH {_RAW}, p AS (SELECT DISTINCT frame_id, obj_idx, u, v FROM fx_pixels), x AS (SELECT unnest(range(100)) AS t), y AS (SELECT unnest(range(30)) AS t)
 SELECT frame_id, obj_idx, count(*) AS n, CAST(sum(x.t) AS BIGINT) AS su, CAST(sum(y.t) AS BIGINT) AS sv FROM p JOIN x ON CAST(floor((x.t + {_d(0.5)})*64/100) AS BIGINT) = p.u JOIN y ON CAST(floor((y.t + {_d(0.5)})*48/30) AS BIGINT) = p.v GROUP BY frame_id, obj_idx""",
+    "parquet_scan": "SELECT 'labels.parquet' AS part, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS total FROM labels UNION ALL SELECT 'documents.parquet', count(*), CAST(sum(doc_id) AS BIGINT) FROM documents",
+    "euler_angles": f"""WITH {_RAW} SELECT node_id, {', '.join(f"round(CASE WHEN round({c}, 6) <= round(-pi(), 6) THEN pi() ELSE {c} END, 6) AS {c}" for c in ('e0', 'e1', 'e2'))} FROM fx_objects""",
+    "input_sizes": """WITH p AS (SELECT p_partkey, p_size*37 + 100 AS w, p_partkey % 900 + 80 AS h FROM part), q AS (SELECT p_partkey, CAST(round_even(h*518/CAST(w AS DOUBLE)/14, 0)*14 AS INTEGER) AS c,
+  CASE WHEN w >= h THEN 518 ELSE CAST(round_even(w*518/CAST(h AS DOUBLE)/14, 0)*14 AS INTEGER) END AS pw, CASE WHEN w >= h THEN CAST(round_even(h*518/CAST(w AS DOUBLE)/14, 0)*14 AS INTEGER) ELSE 518 END AS ph FROM p)
+SELECT p_partkey, c AS crop_height, greatest(c - 518, 0)//2 AS cut_top, least(c, 518) AS cut_height, pw AS pad_width, ph AS pad_height, greatest(518 - ph, 0)//2 AS top, greatest(518 - pw, 0)//2 AS left FROM q""",
+    "checked_scenes": "SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 2 = 0 OR count(*) <= 2",
     "resized_paths": "SELECT page_id, 'rgb/' || page_id || '_resized' || CASE WHEN page_id % 2 = 0 THEN '.jpg' ELSE '' END AS image FROM pages",
 }
 ORACLE["union_tasks"] = f"SELECT scene_id, CAST(n AS VARCHAR) AS answer, 'counting' AS task FROM ({ORACLE['duplicate_tag_count']}) UNION ALL SELECT scene_id, answer, 'camera_movement' FROM ({ORACLE['camera_movement']})"

@@ -52,7 +52,9 @@ def camera_object_cross(s, d):
 
 @_query
 def object_object_lr(s, d):
-    return _rounded(tasks.object_object(*_scene(s, d)))
+    """How often each answer holds of two objects, over all pairs of views of their scene."""
+    q = tasks.object_object(*_scene(s, d))
+    return _rounded(q.groupBy("scene_id", "node_a", "node_b", "answer").agg(F.count("*").alias("n"), F.min("a_view_idx").alias("first_view"), F.max(F.round("side", 6)).alias("most")))
 
 
 @_query
@@ -632,6 +634,36 @@ def resized_paths(s, d):
     return p.select("page_id", tx.resized(F.col("image")).alias("image"))
 
 
+@_query
+def parquet_scan(s, d):
+    """Rows of two files read as one table, by file."""
+    t = readers.scan(s, f"{d}/labels.parquet", require=("doc_id",)).select("part", "doc_id")
+    return t.unionByName(readers.scan(s, f"{d}/documents.parquet", require=("doc_id",)).select("part", "doc_id")).groupBy("part").agg(F.count("*").alias("n"), F.sum("doc_id").alias("total"))
+
+
+@_query
+def euler_angles(s, d):
+    """Angles of each box, from its rotation."""
+    o = fx.objects(s, d).select("node_id", *g.trig())
+    o = o.select("node_id", *[v.alias(f"axis{i}_{k}") for i, axis in enumerate(g.box_axes()) for k, v in zip("xyz", axis)])
+    return o.select("node_id", *[g.folded(a, 6).alias(f"e{i}") for i, a in enumerate(g.angles_of(g.vec("axis0"), g.vec("axis1"), g.vec("axis2")))])
+
+
+@_query
+def input_sizes(s, d):
+    """Model input sizes of pictures of many shapes."""
+    p = fx.table(s, d, "part").select("p_partkey", (F.col("p_size") * 37 + 100).alias("w"), (F.col("p_partkey") % 900 + 80).alias("h"))
+    out = p.select("p_partkey", tx.model_size(F.col("w"), F.col("h")).alias("c"), tx.model_size(F.col("w"), F.col("h"), True).alias("p"))
+    return out.select("p_partkey", F.col("c.height").alias("crop_height"), "c.cut_top", "c.cut_height", F.col("p.width").alias("pad_width"), F.col("p.height").alias("pad_height"), "p.top", "p.left")
+
+
+@_query
+def checked_scenes(s, d):
+    """Orders whose two lists are of one length, and not empty."""
+    o = _orders(s, d).select("l_orderkey", "parts", F.when(F.col("l_orderkey") % 2 == 0, F.col("quantities")).otherwise(F.slice("quantities", 1, 2)).alias("quantities"))
+    return tables.multi_checked(o, ["parts", "quantities"]).select("l_orderkey", F.size("parts").alias("n"))
+
+
 # Without an SQL counterpart: hash-seeded choices and folds (tested against brute force).
 
 

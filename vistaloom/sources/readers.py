@@ -39,6 +39,12 @@ def scan(spark: SparkSession, *paths: str, require: tuple[str, ...] = (), schema
     return require_columns(reader.parquet(*paths).withColumn("part", F.col("_metadata.file_name")), *require)
 
 
+def snapshot(name: str, root: str, split: str = "train") -> str:
+    """Where a published data set "owner/name" lies below a folder of local snapshots; other paths as they
+    are. Nothing is fetched."""
+    return f"{root.rstrip('/')}/{name}/{split}*.parquet" if re.fullmatch(r"[\w-]+/[\w-]+", name) else name
+
+
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines without blank and broken ones; files of whole scenes (*_scenes.jsonl) are left out."""
     bad = "__broken"
@@ -147,6 +153,17 @@ def rgb_images(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(go, "path string, width int, height int, rgb binary")
 
 
+def png_images(images: DataFrame) -> DataFrame:
+    """(path, image struct<bytes>) of (path, width, height, rgb) rows, as rgb_images gives them."""
+
+    def go(batches):
+        for pdf in batches:
+            data = [{"bytes": png.encode(np.frombuffer(x, np.uint8).reshape(h, w, 3))} for w, h, x in zip(pdf["width"], pdf["height"], pdf["rgb"])]
+            yield pd.DataFrame({"path": pdf["path"], "image": data})
+
+    return images.mapInPandas(go, "path string, image struct<bytes:binary>")
+
+
 class _Plain(pickle.Unpickler):
     """Reads lists, dicts, numbers, texts and numpy arrays; anything else in a pickle is refused."""
 
