@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import LEAST, bounds, range_of, shared_dir
 
 #: Bytes of chunks and ids that an encoder remembers; beyond that only the first quarter stays (memory
-#: only, not results). ENTRY: what a chunk takes besides its characters and ids.
-MEMORY, ENTRY = 160_000_000, 210
+#: only, not results). ENTRY, EACH: what a chunk takes, and each of its characters with its ids at most.
+MEMORY, ENTRY, EACH = 190_000_000, 210, 8
 #: What shows whether a tokenizer's ids are those of its chunks end to end.
 PROBES = ("a b", " a", "a ", "a  b", "a\nb", "a \n b.", "It's 1,234.5 (x) done", "Été 漢字 ñ", "x\t y\r\nz", "don't 'll !? ... <a b>", "e\u0301 \u0301 a", "\U0001f600 \U0001f600\u200d b", "")
 
@@ -96,19 +96,19 @@ class Encoder:
             chunks = [self._chunks(t or "") for t in some]
             new = set().union(*chunks).difference(self.known)
             if new:
-                size = sum(map(len, new))
-                if self.held + ENTRY * len(new) + 3 * size > MEMORY:  # the first words seen are mostly the common ones
+                if self.held + (size := ENTRY * len(new) + EACH * sum(map(len, new))) > MEMORY:  # the first words seen are mostly the common ones
                     self._forget()
                     new = set().union(*chunks).difference(self.known)
+                    size = ENTRY * len(new) + EACH * sum(map(len, new))
                 self._learn(new)
-                self.held += ENTRY * len(new) + sum(len(c) + len(self.known[c]) for c in new)
+                self.held += size
             for c in chunks:
                 yield b"".join(map(self.known.__getitem__, c))
 
     def _forget(self) -> None:
         kept, self.held = {"": b""}, 0
         for c, ids in self.known.items():
-            self.held += ENTRY + len(c) + len(ids)
+            self.held += ENTRY + EACH * len(c)
             if self.held > MEMORY // 4:
                 break
             kept[c] = ids
