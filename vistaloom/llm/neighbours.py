@@ -171,8 +171,9 @@ def _nearest_of(q: pd.DataFrame, x: pd.DataFrame, k: int) -> pd.DataFrame:
         for i in range(0, len(own), 512):
             some = own[i : i + 512]
             score = asks[some] @ vectors[lo:hi].T
-            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            out.append((np.repeat(some, top.shape[1]), np.take_along_axis(score, top, 1).ravel(), reps[lo:hi][top].ravel()))
+            least = np.partition(score, -k, axis=1)[:, -k] if hi - lo > k else np.full(len(some), -np.inf)
+            row, col = np.nonzero(score >= least[:, None])  # with all that tie for the last place
+            out.append((some[row], score[row, col], reps[lo:hi][col]))
     if not out:
         return pd.DataFrame({"q": [], "rep": [], "score": []})
     of, score, rep = map(np.concatenate, zip(*out))
