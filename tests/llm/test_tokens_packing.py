@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from vistaloom.llm import packing, queries, tokens
@@ -31,7 +32,7 @@ def test_encoder_equals_the_library(tokenizer):
 
 def brute_files(rows, tokenizer, end_id):
     start, out = 0, []
-    for i, ids in sorted(((i, ids_of(tokenizer, t) + [end_id]) for i, t in rows), key=lambda x: (x[0] is not None, x[0] or 0, np.array(x[1], "<u2").tobytes())):
+    for i, ids, _ in sorted(((i, ids_of(tokenizer, t) + [end_id], xxhash.xxh64_intdigest(t or "", 42) >> 2) for i, t in rows), key=lambda x: (x[0] is not None, x[2] if x[0] is None else x[0], np.array(x[1], "<u2").tobytes())):
         out.append((i, start, len(ids), crc(ids)))
         start += len(ids)
     return out
@@ -89,3 +90,21 @@ def test_plan(low, high, n):
             used[s] += length
     assert ranks == hist and max(used) <= 4096 and min(used) > 0
     assert total <= 1.06 * sum(x * c for x, c in hist.items()) / 4096 + 2
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = tokens.tokenizer_path("byte_bpe_50k.json")
+    enc, library = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert not enc.by_chunk and tokens.Encoder(tokens.tokenizer_path()).by_chunk
+    for text in HARD:
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == ids_of(library, text)
+
+
+def test_an_encoder_forgets(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 300_000)
+    enc = tokens.Encoder(tokens.tokenizer_path())
+    texts = [" ".join(f"w{i * 37 + k} {'long' * (k % 40)}x{i}" for k in range(30)) for i in range(60)]
+    for text, ids in zip(texts, enc.encode_all(texts, 2)):
+        assert np.frombuffer(ids, enc.dtype).tolist() == ids_of(tokenizer, text)
+        assert sum(len(c) + len(i) for c, i in enc.known.items()) < enc.held + 100 <= 300_100
+    assert len(enc.known) < 1500 < 60 * 59

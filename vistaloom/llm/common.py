@@ -85,6 +85,13 @@ def bounds(df: DataFrame, key: str, rows_each: int = 4000, most: int = 100_000)
     return sorted({row["least"], *row["cuts"][1:]})
 
 
+def range_key(id_: Column, text: Column) -> Column:
+    """A long, never null, that ascends as: rows without an id by a hash of their text, then ids. So rows
+    without an id spread over ranges like others. (Ids below -2**62 share the least key of ids.)"""
+    none = F.lit(LEAST) + F.shiftrightunsigned(F.xxhash64(text), 2)
+    return F.when(id_.isNull(), none).otherwise(F.greatest(id_.cast("long"), F.lit(-(2**62))))
+
+
 def numbers(values: list[int]) -> Column:
     """array<bigint> literal from one string: a list of many literals takes long to build."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")

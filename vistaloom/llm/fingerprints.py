@@ -10,7 +10,7 @@ and estimates between two such are exact.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LEAST, SPACE, bound, bounds, numbers, range_of
+from .common import LEAST, SPACE, bound, bounds, numbers, range_key, range_of
 
 K = 256
 WORDS = 5
@@ -77,9 +77,11 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, columns: dict[str, Co
 
     Ranges of ids hold about rows_each documents; the first document of a range, which is one that a
     bound names, also goes to the range before, and the first of all behind the last. So one exchange
-    of texts does, and no window holds more than a range. Null ids come first, equal ids by text.
+    of texts does, and no window holds more than a range. Null ids come first, by a hash of their text;
+    equal ids by text.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("key"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("key", range_key(F.col("id"), F.col("text")))
     cuts = bounds(rows, "key", rows_each)
     if not cuts:
         cuts = [LEAST]
@@ -92,7 +94,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, columns: dict[str, Co
     )
     rows = rows.select("*", F.explode(places).alias("at")).select("id", "text", "key", "at.range", "at.guest")
     rows = rows.repartition(F.col("range")).select("*", *[c.alias(n) for n, c in columns.items()])
-    order = Window.partitionBy("range").orderBy("guest", "key", "text")
+    order = Window.partitionBy("range").orderBy("guest", "key", "id", "text")
     rows = rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", *columns)])
     return rows.where("guest = 0").drop("key", "range", "guest")
 
@@ -104,8 +106,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own last floor(n_chars / 4) code points; after the last comes the first. Per input row: id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint (as_text), near_edited and near_next
     (resemblance to the edited text and to the next document), contained (share of its shingles that
-    the edited text keeps) and shingles (estimated). Null text counts as empty. Null ids come first,
-    equal ids are ordered by text; a lone document is its own next. Other columns are not read.
+    the edited text keeps) and shingles (estimated). Null text counts as empty; long texts are read
+    whole. Null ids come first, by a hash of their text, equal ids are ordered by text, repeated rows
+    stand side by side; a lone document is its own next, and an empty table stays empty. Other columns
+    are not read.
     """
     rows = with_next(docs, id_col, text_col, {"sketch": sketch(F.col("text"), k, words)})
     n = F.char_length("text")

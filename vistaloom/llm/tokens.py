@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LEAST, bounds, range_of, shared_dir
+from .common import bounds, range_key, range_of, shared_dir
 
 #: Bytes of chunks and ids that an encoder remembers; beyond that only the first quarter stays (memory
 #: only, not results). ENTRY, EACH: what a chunk takes, and each of its characters with its ids at most.
@@ -146,13 +146,14 @@ def _read(path: str, dtype: str) -> np.ndarray:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every whole text, appends end_id to each, and writes the files under path.
 
-    Documents come in ascending id order, null ids first, equal ids by their token ids. Null text
-    counts as empty: the end id alone. Returns the parts: (part, n_docs, n_tokens, n_null, base,
+    Documents come in ascending id order, null ids first (by a hash of their text), equal ids by their
+    token ids. Null text counts as empty: the end id alone; long texts are encoded whole. Returns the parts: (part, n_docs, n_tokens, n_null, base,
     path, dtype), base being the number of ids in all parts before. Empty input writes nothing.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("key"), F.col(id_col).isNull().alias("no_id"), F.col(text_col).alias("text"))
-    cuts = bounds(rows, "key", most=100_000)
+    id_ = F.col(id_col).cast("long")
+    rows = docs.select(range_key(id_, F.coalesce(text_col, F.lit(""))).alias("key"), F.coalesce(id_, F.lit(0)).alias("id"), id_.isNull().alias("no_id"), F.col(text_col).alias("text"))
+    cuts = bounds(rows, "key")
     rows = rows.withColumn("part", range_of(F.col("key"), cuts))
     dtype = encoder(tokenizer).dtype.str
 
@@ -162,7 +163,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         for pdf in batches:
             for i in range(0, len(pdf), 1000):
                 some = pdf.iloc[i : i + 1000]
-                yield some[["part", "key", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(some["text"])])
+                yield some[["part", "key", "id", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(some["text"])])
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, lengths, keys, n_null = None, [], [], 0
@@ -176,7 +177,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                 part = int(pdf["part"].iloc[0])
                 out.write(b"".join(pdf["ids"]))
                 lengths.append(pdf["ids"].str.len().to_numpy(np.int64))
-                keys.append(pdf["key"].to_numpy(np.int64))
+                keys.append(pdf["id"].to_numpy(np.int64))
                 n_null += int(pdf["no_id"].sum())
         if part is None:
             where.delete_file(f"{fresh}.bin")
@@ -189,8 +190,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
             where.move(f"{fresh}.{kind}", f"{top}/part-{part:06d}.{kind}")
         yield pd.DataFrame({"part": [part], "n_docs": [len(offsets) - 1], "n_tokens": [int(offsets[-1])], "n_null": [n_null]})
 
-    coded = rows.mapInPandas(encode, "part int, key long, no_id boolean, ids binary")
-    coded = coded.repartitionById(max(1, len(cuts)), F.col("part")).sortWithinPartitions(F.desc("no_id"), "key", "ids")
+    coded = rows.mapInPandas(encode, "part int, key long, id long, no_id boolean, ids binary")
+    coded = coded.repartitionById(max(1, len(cuts)), F.col("part")).sortWithinPartitions(F.desc("no_id"), "key", "id", "ids")
     coded.mapInPandas(write, "part int, n_docs long, n_tokens long, n_null long").write.parquet(f"{path}/parts")
     parts = spark.read.schema("part int, n_docs long, n_tokens long, n_null long").parquet(f"{path}/parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
