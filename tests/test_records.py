@@ -388,3 +388,67 @@ def test_snapshots_and_image_bytes(spark, tmp_path):
     rgb = spark.createDataFrame([("p", 2, 1, bytearray(range(6)))], "path string, width int, height int, rgb binary")
     image = readers.png_images(rgb).first().image["bytes"]
     assert png.decode(bytes(image)).ravel().tolist() == list(range(6))
+
+
+def test_detections(spark):
+    from vistaloom.operators import detections
+
+    boxes = [(1, 0, "t", 0.9, 0.9, 0.9, 0, 0, 10, 10), (1, 1, "t", 0.9, 0.9, 0.9, 0, 0, 9, 9), (1, 2, "u", 0.9, 0.9, 0.9, 20, 20, 30, 30), (1, 3, "u", 0.9, 0.9, 0.9, 20, 50, 30, 60), (1, 4, "v", 0.2, 0.9, 0.9, 0, 0, 5, 5), (1, 5, "v", 0.9, None, 0.9, 0, 0, 5, 5), (2, 0, "t", 0.9, 0.9, 0.9, 0, 0, 5, 5)]
+    found = spark.createDataFrame(boxes, "frame_id int, obj_idx int, tag string, box_score double, text_score double, mask_score double, x1 int, y1 int, x2 int, y2 int")
+    px = [(1, 0, u, 1) for u in range(9)] + [(1, 2, u, 5) for u in range(9)] + [(1, 3, u, 5) for u in range(8)] + [(2, 0, 1, 1)]
+    masks = spark.createDataFrame(px, "frame_id int, obj_idx int, u int, v int")
+    got = detections.localized(found, masks)
+    assert sorted((r.frame_id, r.obj_idx) for r in got.collect()) == [(1, 0), (1, 2)]
+    scores = spark.createDataFrame([(1, 0, 0.7), (1, 2, 0.5), (2, 0, 0.9)], "frame_id int, obj_idx int, score double")
+    kept = detections.refined(masks, scores, least_pixels=5)
+    assert [tuple(r) for r in kept.collect()] == [(1, 0, 0, 1, 8, 1)]
+    frames = spark.createDataFrame([(1, ["a", "b", "c"], [7, 8, 9]), (2, ["x"], [1])], "frame_id int, obj_tags array<string>, ids array<int>")
+    assert [tuple(r) for r in detections.with_refined(frames, kept, ["obj_tags", "ids"]).collect()] == [(1, ["a"], [7], [[0, 1, 8, 1]])]
+
+
+def test_drawing(spark):
+    from vistaloom.operators import bev, drawing
+
+    image = np.zeros((20, 30, 3), np.uint8)
+    drawing.box(image, 5, 5, 15, 12, "red", 1)
+    assert (image[5, 5:16] == [255, 0, 0]).all() and (image[12, 5:16] == [255, 0, 0]).all() and not image[6:12, 6:15].any() and not image[:5].any()
+    drawing.point(image, 28, 18, "blue", 2)
+    assert (image[18, 28] == [0, 0, 255]).all() and (image[18, 26] == [0, 0, 255]).all() and not image[15, 28].any()
+    grey, on = np.full((9, 9, 3), 100, np.uint8), np.zeros((9, 9), bool)
+    on[2:7, 2:7] = True
+    drawing.mask(grey, on, "green")
+    assert tuple(grey[4, 4]) == (70, 146, 70) and tuple(grey[2, 4]) == (0, 255, 0) and tuple(grey[0, 0]) == (100, 100, 100)
+    df = spark.createDataFrame([("p", 10, 8, bytearray(240), [("box", "red", 1, 1, 8, 6), ("point", "blue", 5, 4, 0, 0)])], "path string, width int, height int, rgb binary, marks array<struct<kind:string,colour:string,x1:int,y1:int,x2:int,y2:int>>")
+    out = png.decode(bytes(drawing.marked(df).first().image["bytes"]))
+    assert out.shape == (8, 10, 3) and tuple(out[1, 1]) == (255, 0, 0) and tuple(out[4, 5]) == (0, 0, 255)
+    e = spark.createDataFrame([(1, "camera", 0, 0.0, 0.0, 0.0, 0.0, 0.0), (1, "object", 5, 9.0, 9.0, 0.0, 0.0, 10.0)], "scene_id int, kind string, entity_id int, x double, y double, half_x double, half_y double, yaw double")
+    placed = bev.placed(e, bev.bounds(e))
+    picture = png.decode(bytes(drawing.map_pictures(placed).first().image["bytes"]))
+    for r in placed.collect():
+        assert tuple(picture[r.row * 20 + 10, r.col * 20 + 10]) == drawing.RGB["red" if r.kind == "camera" else "blue"]
+    q = spark.createDataFrame([(1, [0]), (1, [9]), (2, [0])], "scene_id int, views array<int>")
+    maps = [r.cognitive_map for r in bev.attached(q, placed, views="views").orderBy("scene_id", F.col("views")[0]).collect()]
+    assert '"entity_id":0' in maps[0] and '"cameras":[]' in maps[1] and maps[2] is None
+    assert bev.attached(q, placed, enable=False).where("cognitive_map is not null").count() == 0
+
+
+def test_oriented_boxes(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = 0.4, 0.3, -0.8
+    ry, rx, rz = np.array([[np.cos(c), 0, np.sin(c)], [0, 1, 0], [-np.sin(c), 0, np.cos(c)]]), np.array([[1, 0, 0], [0, np.cos(b), -np.sin(b)], [0, np.sin(b), np.cos(b)]]), np.array([[np.cos(a), -np.sin(a), 0], [np.sin(a), np.cos(a), 0], [0, 0, 1]])
+    r = ry @ rx @ rz
+    half = np.array([3.0, 2.0, 1.0])
+    p = (rng.uniform(-1, 1, (4000, 3)) * half) @ r.T + [1, 2, 3]
+    got = kernels.oriented_boxes(spark.createDataFrame([(1, *map(float, x)) for x in p], "k int, p_x double, p_y double, p_z double"), ["k"]).first().box
+    assert got[:3] == pytest.approx([1, 2, 3], abs=0.2) and got[3:6] == pytest.approx(2 * half, abs=0.4)
+    a, b, c = got[6:]
+    back = np.array([[np.cos(c) * np.cos(a) + np.sin(c) * np.sin(b) * np.sin(a), -np.cos(c) * np.sin(a) + np.sin(c) * np.sin(b) * np.cos(a), np.sin(c) * np.cos(b)], [np.cos(b) * np.sin(a), np.cos(b) * np.cos(a), -np.sin(b)], [-np.sin(c) * np.cos(a) + np.cos(c) * np.sin(b) * np.sin(a), np.sin(c) * np.sin(a) + np.cos(c) * np.sin(b) * np.cos(a), np.cos(c) * np.cos(b)]])
+    assert np.abs((back * r).sum(axis=0)) == pytest.approx([1, 1, 1], abs=0.01)
+
+
+def test_cloud_files(spark, tmp_path):
+    p = spark.createDataFrame([(1, 1.0, 2.0, 3.0), (1, 4.0, 5.0, 6.0), (2, 0.0, 0.0, 0.5)], "k int, p_x double, p_y double, p_z double")
+    for suffix, first in ((".pcd", "VERSION .7"), (".ply", "ply")):
+        assert sinks.write_images(sinks.cloud_files(p, ["k"], suffix), "c", str(tmp_path)).count() == 2
+        lines = (tmp_path / f"c/1{suffix}").read_text().splitlines()
+        assert lines[0] == first and sorted(lines[-2:]) == ["1.000000 2.000000 3.000000", "4.000000 5.000000 6.000000"]

@@ -57,6 +57,19 @@ def grids(p: DataFrame, grid: int = GRID) -> DataFrame:
     return cells.select("scene_id", full.alias("cells")).join(sides, "scene_id")
 
 
+def attached(questions: DataFrame, placed_: DataFrame, enable: bool = True, views: str | None = None) -> DataFrame:
+    """questions with `cognitive_map`, their scene's map as JSON (null if maps are not enabled, or there is none).
+
+    views names a list column of view numbers: the map then shows these cameras only.
+    """
+    if not enable:
+        return questions.withColumn("cognitive_map", F.lit(None).cast("string"))
+    out = questions.join(grids(placed_), "scene_id", "left")
+    cameras = F.col("cameras") if views is None else F.filter("cameras", lambda c: F.array_contains(F.col(views), c["entity_id"]))
+    whole = F.to_json(F.struct("cells", cameras.alias("cameras"), "objects"))
+    return out.withColumn("cognitive_map", F.when(F.col("cells").isNotNull(), whole)).drop("cells", "cameras", "objects")
+
+
 #: Ways to make a wrong map.
 PERTURBATIONS = ("mirror_x", "mirror_y", "rotate_180", "shuffle")
 

@@ -66,6 +66,33 @@ def hull_volumes(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.groupBy(*keys).applyInPandas(one, f"{schema}, n_points long, volume double")
 
 
+def oriented_box(points: np.ndarray) -> np.ndarray:
+    """Box of points (n, 3) along their main directions: centre, lengths and the angles of its axes, 9 numbers.
+
+    Axes are the principal directions, the longest first, right-handed; points in one place give a box
+    without size.
+    """
+    p = np.asarray(points, float)
+    middle = p.mean(axis=0)
+    axes = np.linalg.svd(p - middle, full_matrices=True)[2]
+    if np.linalg.det(axes) < 0:
+        axes[2] = -axes[2]
+    at = (p - middle) @ axes.T
+    low, high = at.min(axis=0), at.max(axis=0)
+    centre, r = middle + (low + high) / 2 @ axes, axes.T
+    return np.concatenate([centre, high - low, [np.arctan2(r[1, 0], r[1, 1]), np.arcsin(np.clip(-r[1, 2], -1, 1)), np.arctan2(r[0, 2], r[2, 2])]])
+
+
+def oriented_boxes(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, box array<double>[9]) of each group's points p_x, p_y, p_z."""
+    schema = ", ".join(f"`{k}` {points.schema[k].dataType.simpleString()}" for k in keys)
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(*key, oriented_box(pdf[["p_x", "p_y", "p_z"]].to_numpy()))])
+
+    return points.groupBy(*keys).applyInPandas(one, f"{schema}, box array<double>")
+
+
 def hull_2d(points: np.ndarray) -> np.ndarray:
     """Corners of the convex hull of points (n, 2), counter-clockwise."""
     p = sorted(map(tuple, np.asarray(points, float)))

@@ -136,6 +136,22 @@ def point_lines(points: DataFrame) -> DataFrame:
     return points.select(F.format_string("v %.6f %.6f %.6f", "p_x", "p_y", "p_z").alias("value"))
 
 
+def cloud_files(points: DataFrame, keys: list[str], suffix: str = ".pcd") -> DataFrame:
+    """(images array<struct<name,bytes>>) for write_images: an ASCII point cloud file of each key's points, .pcd
+    or .ply, named by the key."""
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        n = len(pdf)
+        if suffix == ".ply":
+            head = ["ply", "format ascii 1.0", f"element vertex {n}", "property float x", "property float y", "property float z", "end_header"]
+        else:
+            head = ["VERSION .7", "FIELDS x y z", "SIZE 4 4 4", "TYPE F F F", "COUNT 1 1 1", f"WIDTH {n}", "HEIGHT 1", "VIEWPOINT 0 0 0 1 0 0 0", f"POINTS {n}", "DATA ascii"]
+        lines = [f"{x:.6f} {y:.6f} {z:.6f}" for x, y, z in zip(pdf["p_x"], pdf["p_y"], pdf["p_z"])]
+        return pd.DataFrame({"images": [[{"name": "_".join(map(str, key)) + suffix, "bytes": "\n".join([*head, *lines, ""]).encode()}]]})
+
+    return points.groupBy(*keys).applyInPandas(one, "images array<struct<name:string,bytes:binary>>")
+
+
 def summary(df: DataFrame) -> DataFrame:
     """Rows per file of a table that was read."""
     return df.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
