@@ -21,7 +21,7 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-HARD = ["<|endoftext|> a<|startoftext|>b", "İstanbul ﬁne Å Å", "it's we'll go now\x1cok", "a.b,c!? ... ;; 12 345", "漢字かな 한국어 😀😀", "x" * 5000, "word. word, Word; WORD:", " lead\n\ntrail \r\n"]
+HARD = ["<|endoftext|> a<|startoftext|>b", "İstanbul ﬁne Å Å", "it's we'll go now\x1cok", "a.b,c!? ... ;; 12 345", "漢字かな 한국어 😀😀", "x" * 5000, "word. word, Word; WORD:", " lead\n\ntrail \r\n", "word$$$ Word... don't' it's!? a_b_ x__ rock'n'roll' <|endoftext|>! étés?! 1990's &&& (a)b)"]
 
 
 def test_encoder_equals_the_library(tokenizer):

@@ -7,6 +7,7 @@ row). Ranges ascend with the part number, so a part's base is a prefix sum over
 are written under a new name and then renamed: a repeated task attempt replaces them by the same.
 """
 
+import string
 import sys
 import uuid
 import zlib
@@ -55,7 +56,7 @@ class Encoder:
             self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
         self.held = 0
-        self.marks = {m: self._ids(m) for m in ".,;:!?"}
+        self.marks: dict[str, bytes] = {}
         self.by_chunk = bool(self.ends.any()) and all(self._ids(p) == b"".join(map(self._ids, self._chunks(p))) for p in PROBES)
 
     @staticmethod
@@ -70,9 +71,19 @@ class Encoder:
 
     def _learn(self, new: set[str]) -> None:
         known, marks, wide = self.known, self.marks, self.dtype.itemsize
-        # Words of letters, and words with one mark after them: their ids are the word's, then the mark's.
-        ends = [c for c in new if c[-1] in marks and c[:-1].isalpha()]
-        words = list({c for c in new if c.isalpha()}.union([c[:-1] for c in ends]).difference(known))
+        # Words of letters, and words with marks after them: their ids are the word's, then the marks'.
+        plain, ends = [], []
+        for c in new:
+            word = c.rstrip(string.punctuation)
+            if word.isalpha():
+                plain.append(word)
+                if len(word) < len(c):
+                    ends.append((c, word, c[len(word) :]))
+        words = list(set(plain).difference(known))
+        if len(marks) > 10_000:
+            marks.clear()
+        for m in {m for _, _, m in ends}.difference(marks):
+            marks[m] = self._ids(m)
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
             ids = self._ids(" ".join(some))
@@ -81,7 +92,7 @@ class Encoder:
                 known.update(zip(some, [ids[a:b] for a, b in zip([0, *cut], cut)]))
             else:
                 known.update((word, self._ids(word)) for word in some)
-        known.update([(c, known[c[:-1]] + marks[c[-1]]) for c in ends])
+        known.update([(c, known[word] + marks[m]) for c, word, m in ends])
         known.update([(c, self._ids(c)) for c in new.difference(known)])
 
     def encode(self, text: str | None) -> bytes:
