@@ -119,3 +119,21 @@ def test_compass_words(spark):
     for angle, word in ((0, "north"), (15, "north"), (15.1, "northeast"), (90, "east"), (164, "southeast"), (180, "south"), (-166, "south"), (-90, "west"), (-20, "northwest")):
         r = math.radians(angle)
         assert one(spark, g.compass(F.lit(math.sin(r)), F.lit(math.cos(r)), 15.0 + 1e-9)) == (word,)
+
+
+def test_ground_axes_give_the_ground_offset(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(200):
+        q = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        if k < 3:
+            q = np.array([[1.0, 0, 0], [0, 1, 0], [0, 0, 1]]) if k == 0 else np.array([[1.0, 0, 0], [0, -1, 0], [0, 0, -1]])  # straight up or down
+        rows.append([*map(float, rng.normal(size=3)), *map(float, q.T.ravel()), *map(float, rng.normal(size=3))])
+    names = [f"{n}_{k}" for n in ("pos", "right", "down", "fwd", "p") for k in "xyz"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    c = g.camera()
+    right, ahead = g.ground_axes(c)
+    d = g.vec("p") - c.at
+    dx, dz = g.ground_offset(c, g.vec("p"))
+    for r in df.select(dx.alias("a"), dz.alias("b"), g.dot(d, right).alias("c"), g.dot(d, ahead).alias("d")).collect():
+        assert (r.a, r.b) == pytest.approx((r.c, r.d), abs=1e-12)

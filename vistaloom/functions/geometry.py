@@ -109,6 +109,16 @@ def ground_offset(c: Camera, p: Vec) -> tuple[Column, Column]:
     return dx, dz
 
 
+def ground_axes(c: Camera) -> tuple[Vec, Vec]:
+    """Axes whose products with an offset are ground_offset's dx and dz: a camera's own, so they are worked
+    out once a view and not once a pair."""
+    fn, rn = norm(c.forward.x, c.forward.y), norm(c.right.x, c.right.y)
+    flat = (fn < 1e-6) | (rn < 1e-6)
+    some = lambda n: F.when(flat, F.lit(1.0)).otherwise(n)
+    level = lambda v, n: Vec(v.x / some(n), v.y / some(n), F.when(flat, v.z).otherwise(0.0))
+    return level(c.right, rn), level(c.forward, fn)
+
+
 def bearing(dx: Column, dz: Column) -> Column:
     """Degrees clockwise from straight ahead, in (-180, 180]."""
     return F.degrees(F.atan2(dx, dz))

@@ -66,6 +66,22 @@ def view_pairs(views: DataFrame, ordered: bool = True, most: int | None = MOST_V
     return a.join(b, "scene_id").where(test)
 
 
+def with_node_lists(views: DataFrame, seen: DataFrame, nodes: DataFrame | None = None, *columns: str) -> DataFrame:
+    """views with `nodes`, the nodes that each sees: array of node ids, or of struct<node_id, columns...> if a
+    table of nodes is given. A view's list is bounded by its scene's objects.
+
+    Pairs of such views carry both lists, so what two views share is an expression over a row, and no
+    table of nodes by pairs is shuffled.
+    """
+    if nodes is None:
+        each = seen.select("scene_id", "view_idx", F.col("node_id").alias("n"))
+    else:
+        one = F.struct("node_id", *columns).alias("n")
+        each = seen.select("scene_id", "view_idx", "node_id").join(nodes.select("scene_id", "node_id", *columns), ["scene_id", "node_id"]).select("scene_id", "view_idx", one)
+    lists = each.groupBy("scene_id", "view_idx").agg(F.collect_set("n").alias("nodes"))
+    return views.join(lists, ["scene_id", "view_idx"], "left").withColumn("nodes", F.coalesce("nodes", F.array().cast(lists.schema["nodes"].dataType)))
+
+
 def with_covisible(pairs: DataFrame, seen: DataFrame) -> DataFrame:
     """Each pair of views once for every node that both see."""
     a = seen.select("scene_id", F.col("view_idx").alias("a_view_idx"), "node_id")

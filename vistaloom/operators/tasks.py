@@ -20,9 +20,14 @@ def _admitted(pairs: DataFrame, a: g.Camera, b: g.Camera, gates: dict) -> DataFr
     return pairs.where(graph.ground_gates(a, b, gates["min_horizontal"], high) & graph.diverse(a, b, gates["min_rotation"], gates["min_translation"]))
 
 
-def _offset(df: DataFrame, c: g.Camera, p: g.Vec) -> DataFrame:
-    dx, dz = g.ground_offset(c, p)
-    return df.withColumn("dx", dx).withColumn("dz", dz)
+def _grounded(views: DataFrame) -> DataFrame:
+    """views with their ground axes, gr_ and gf_: before views are paired, so each is worked out once."""
+    return views.withColumns({f"{n}_{k}": x for n, axis in zip(("gr", "gf"), g.ground_axes(g.camera())) for k, x in zip("xyz", axis)})
+
+
+def _offset(df: DataFrame, c: g.Camera, p: g.Vec, prefix: str = "a_") -> DataFrame:
+    d = p - c.at
+    return df.withColumn("dx", g.dot(d, g.vec(f"{prefix}gr"))).withColumn("dz", g.dot(d, g.vec(f"{prefix}gf")))
 
 
 def camera_movement(views: DataFrame, least: float = 0.2) -> DataFrame:
@@ -42,14 +47,14 @@ def camera_movement(views: DataFrame, least: float = 0.2) -> DataFrame:
 def camera_pair_octant(views: DataFrame, seen: DataFrame, gates: dict = PAIR, margin: float = MARGIN) -> DataFrame:
     """Where the second camera of a pair stands, seen from the first; a row for every node both see.
 
-    Pairs are gated before the nodes join, so only admitted pairs meet the co-visibility table.
+    Pairs are gated before their common nodes are listed; the one join is that of views with views.
     """
     a, b = g.camera("a_"), g.camera("b_")
-    p = _admitted(graph.view_pairs(views), a, b, gates)
-    p = _offset(p, a, b.at).select("scene_id", "a_view_idx", "b_view_idx", "dx", "dz")
+    p = _admitted(graph.view_pairs(graph.with_node_lists(_grounded(views), seen)), a, b, gates)
+    p = _offset(p, a, b.at).select("scene_id", "a_view_idx", "b_view_idx", "dx", "dz", F.array_intersect("a_nodes", "b_nodes").alias("nodes"))
     dx, dz = F.col("dx"), F.col("dz")
     p = p.where(~g.degenerate(dx, dz) & g.clear_of_bounds(dx, dz, margin)).withColumn("answer", g.octant(dx, dz))
-    return graph.with_covisible(p, seen)
+    return p.select("scene_id", "a_view_idx", "b_view_idx", "dx", "dz", "answer", F.explode("nodes").alias("node_id"))
 
 
 def camera_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, variant: str, gates: dict = PAIR, margin: float = MARGIN, least: float = 0.3, min_bearing: float | None = None) -> DataFrame:
@@ -62,7 +67,7 @@ def camera_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, variant:
     a, b = g.camera("a_"), g.camera("b_")
     pairs = _admitted(graph.view_pairs(views, ordered=False), a, b, gates)
     inside = nodes.where(~F.col("tag").isin(*graph.STRUCTURAL)).select("scene_id", "node_id", "c_x", "c_y", "c_z")
-    at = views.select("scene_id", F.col("view_idx").alias("a_view_idx"), *[F.col(c).alias(f"a_{c}") for c in views.columns if c not in ("scene_id", "view_idx")])
+    at = graph.prefixed(_grounded(views), "a_", "scene_id")
     target = _offset(at.join(inside, "scene_id"), a, g.vec("c")).select("scene_id", "a_view_idx", "node_id", "dx", "dz")
     dx, dz = F.col("dx"), F.col("dz")
     target = target.where((g.norm(dx, dz) >= least) & ~g.degenerate(dx, dz) & g.clear_of_bounds(dx, dz, margin))
@@ -85,19 +90,16 @@ def object_object(views: DataFrame, nodes: DataFrame, seen: DataFrame, gates: di
     With a quota, only so many pairs of views of a scene meet the pairs of objects.
     """
     a, b = g.camera("a_"), g.camera("b_")
-    p = graph.view_pairs(views).where(graph.diverse(a, b, gates["min_rotation"], gates["min_translation"]))
+    v = graph.with_node_lists(views, seen, nodes, "tag", "c_x", "c_y")
+    p = graph.view_pairs(v).where(graph.diverse(a, b, gates["min_rotation"], gates["min_translation"]))
     fx, fy = F.col("b_pos_x") - F.col("a_pos_x"), F.col("b_pos_y") - F.col("a_pos_y")
-    p = p.select("scene_id", "a_view_idx", "b_view_idx", fx.alias("fx"), fy.alias("fy"), g.norm(fx, fy).alias("n")).where("n >= 1e-3")
+    p = p.select("scene_id", "a_view_idx", "b_view_idx", fx.alias("fx"), fy.alias("fy"), g.norm(fx, fy).alias("n"), F.array_union("a_nodes", "b_nodes").alias("nodes")).where("n >= 1e-3")
     p = _some_pairs(p, quota, seed, "a_view_idx", "b_view_idx")
-    n = nodes.select("scene_id", "node_id", "tag", "c_x", "c_y")
-    pairs = graph.prefixed(n, "m_", "scene_id").join(graph.prefixed(n, "o_", "scene_id"), "scene_id").where("m_node_id < o_node_id and m_tag <> o_tag")
-    both = seen.join(p.select("scene_id", "a_view_idx", "b_view_idx"), "scene_id").where((F.col("view_idx") == F.col("a_view_idx")) | (F.col("view_idx") == F.col("b_view_idx"))).select("scene_id", "a_view_idx", "b_view_idx", "node_id").distinct()
-    first = both.withColumnRenamed("node_id", "m_node_id").join(pairs, ["scene_id", "m_node_id"])
-    out = first.join(both.withColumnRenamed("node_id", "o_node_id"), ["scene_id", "a_view_idx", "b_view_idx", "o_node_id"], "left_semi")
-    out = out.join(p, ["scene_id", "a_view_idx", "b_view_idx"])
-    side = ((F.col("m_c_x") - F.col("o_c_x")) * F.col("fy") - (F.col("m_c_y") - F.col("o_c_y")) * F.col("fx")) / F.col("n")
+    # Nodes of either view, two at a time, within the row.
+    out = p.select("*", F.explode("nodes").alias("m")).select("*", F.explode("nodes").alias("o")).where("m.node_id < o.node_id and m.tag <> o.tag")
+    side = ((F.col("m.c_x") - F.col("o.c_x")) * F.col("fy") - (F.col("m.c_y") - F.col("o.c_y")) * F.col("fx")) / F.col("n")
     out = out.withColumn("side", side)
-    return out.select("scene_id", "a_view_idx", "b_view_idx", F.col("m_node_id").alias("node_a"), F.col("o_node_id").alias("node_b"), "side", F.when(F.abs(F.round("side", 9)) < same, "Same line").when(F.col("side") > 0, "Right").otherwise("Left").alias("answer"))
+    return out.select("scene_id", "a_view_idx", "b_view_idx", F.col("m.node_id").alias("node_a"), F.col("o.node_id").alias("node_b"), "side", F.when(F.abs(F.round("side", 9)) < same, "Same line").when(F.col("side") > 0, "Right").otherwise("Left").alias("answer"))
 
 
 def camera_motion(views: DataFrame, still: float = 0.1, still_angle: float = 10.0) -> DataFrame:
@@ -117,7 +119,8 @@ def camera_motion(views: DataFrame, still: float = 0.1, still_angle: float = 10.
 
 def _around(views: DataFrame, nodes: DataFrame, seen: DataFrame) -> DataFrame:
     """Pairs of views that see a node, with both cameras' ground vectors from it and their angle."""
-    p = graph.with_covisible(graph.view_pairs(views), seen).join(nodes.select("scene_id", "node_id", "c_x", "c_y"), ["scene_id", "node_id"])
+    p = graph.view_pairs(graph.with_node_lists(views, seen, nodes, "c_x", "c_y"))
+    p = p.select("*", F.explode(F.array_intersect("a_nodes", "b_nodes")).alias("__n")).drop("a_nodes", "b_nodes").select("*", "__n.*").drop("__n")
     vector = {f"{s}{c}": F.col(f"{s}_pos_{c}") - F.col(f"c_{c}") for s in "ab" for c in "xy"}
     p = p.withColumns({f"v{k}": v for k, v in vector.items()})
     ax, ay, bx, by = (F.col(f"v{k}") for k in ("ax", "ay", "bx", "by"))
