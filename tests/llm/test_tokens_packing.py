@@ -106,5 +106,5 @@ def test_an_encoder_forgets(tokenizer, monkeypatch):
     texts = [" ".join(f"w{i * 37 + k} {'long' * (k % 40)}x{i}" for k in range(30)) for i in range(60)]
     for text, ids in zip(texts, enc.encode_all(texts, 2)):
         assert np.frombuffer(ids, enc.dtype).tolist() == ids_of(tokenizer, text)
-        assert sum(len(c) + len(i) for c, i in enc.known.items()) < enc.held + 100 <= 300_100
+        assert sum(len(c) + len(i) for c, i in enc.known.items()) < enc.held + 100 <= 400_100
     assert len(enc.known) < 1500 < 60 * 59

@@ -25,7 +25,7 @@ from .common import bounds, range_key, range_of, shared_dir
 
 #: Bytes of chunks and ids that an encoder remembers; beyond that only the first quarter stays (memory
 #: only, not results). ENTRY, EACH: what a chunk takes, and each of its characters with its ids at most.
-MEMORY, ENTRY, EACH = 190_000_000, 210, 8
+MEMORY, ENTRY, EACH = 165_000_000, 210, 8
 #: What shows whether a tokenizer's ids are those of its chunks end to end.
 PROBES = ("a b", " a", "a ", "a  b", "a\nb", "a \n b.", "It's 1,234.5 (x) done", "Été 漢字 ñ", "x\t y\r\nz", "don't 'll !? ... <a b>", "e\u0301 \u0301 a", "\U0001f600 \U0001f600\u200d b", "")
 
@@ -98,7 +98,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all([text]))
 
-    def encode_all(self, texts: Iterable[str | None], at_once: int = 50) -> Iterator[bytes]:
+    def encode_all(self, texts: Iterable[str | None], at_once: int = 12) -> Iterator[bytes]:
         """Ids of each text as bytes of self.dtype."""
         for some in batched(texts, at_once):
             if not self.by_chunk:
@@ -107,12 +107,12 @@ class Encoder:
             chunks = [self._chunks(t or "") for t in some]
             new = set().union(*chunks).difference(self.known)
             if new:
-                if self.held + (size := ENTRY * len(new) + EACH * sum(map(len, new))) > MEMORY:  # the first words seen are mostly the common ones
+                if self.held + ENTRY * len(new) + EACH * sum(map(len, new)) > MEMORY:  # the first words seen are mostly the common ones
                     self._forget()
                     new = set().union(*chunks).difference(self.known)
-                    size = ENTRY * len(new) + EACH * sum(map(len, new))
-                self._learn(new)
-                self.held += size
+                before = len(self.known)
+                self._learn(new)  # chunks, and the words in them
+                self.held += ENTRY * (len(self.known) - before) + EACH * sum(map(len, new))
             for c in chunks:
                 yield b"".join(map(self.known.__getitem__, c))
 
