@@ -136,6 +136,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def rested() -> None:
+    """Lets this worker's encoders forget all but the common words, when all texts are encoded."""
+    for one in _encoders.values():
+        one._forget()
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
@@ -177,6 +183,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                 yield some[["part", "key", "id", "no_id"]].assign(ids=[b + tail for b in enc.encode_all(some["text"])])
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rested()
         part, lengths, keys, n_null = None, [], [], 0
         where, top = _place(path)
         where.create_dir(top, recursive=True)
@@ -213,6 +220,7 @@ def read_tokens(parts: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(id_col, start, n_tokens, ids_crc32) per document, from the files alone, memory-mapped."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rested()
         for pdf in batches:
             for r in pdf.itertuples():
                 name = f"{r.path}/part-{r.part:06d}"
