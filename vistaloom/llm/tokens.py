@@ -26,6 +26,8 @@ from .common import bounds, range_key, range_of, shared_dir
 #: Bytes of chunks and ids that an encoder remembers; beyond that only the first quarter stays (memory
 #: only, not results). ENTRY, EACH: what a chunk takes, and each of its characters with its ids at most.
 MEMORY, ENTRY, EACH = 165_000_000, 210, 8
+#: Documents a file holds, about: files of some tens of MB, and no swarm of short tasks.
+ROWS = 16_000
 #: What shows whether a tokenizer's ids are those of its chunks end to end.
 PROBES = ("a b", " a", "a ", "a  b", "a\nb", "a \n b.", "It's 1,234.5 (x) done", "Été 漢字 ñ", "x\t y\r\nz", "don't 'll !? ... <a b>", "e\u0301 \u0301 a", "\U0001f600 \U0001f600\u200d b", "")
 
@@ -170,7 +172,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     spark = docs.sparkSession
     id_ = F.col(id_col).cast("long")
     rows = docs.select(range_key(id_, F.coalesce(text_col, F.lit(""))).alias("key"), F.coalesce(id_, F.lit(0)).alias("id"), id_.isNull().alias("no_id"), F.col(text_col).alias("text"))
-    cuts = bounds(rows, "key")
+    cuts = bounds(rows, "key", rows_each=ROWS)
     rows = rows.withColumn("part", range_of(F.col("key"), cuts))
     dtype = encoder(tokenizer).dtype.str
 
