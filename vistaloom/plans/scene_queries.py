@@ -785,11 +785,11 @@ def multiview_size_multi(s, d):
 
 @_query
 def object_position(s, d):
-    """Positions across views, of 40 (views, anchor) a scene; here views see 4 of 11 residues of objects, so
+    """Positions across views; here views see 4 of 11 residues of objects, so
     that two views share some and not all."""
     v, o = fx.views(s, d), fx.objects(s, d)
     seen = v.join(o.select("scene_id", "node_id"), "scene_id").where((F.col("event_id") * 7 + F.col("node_id") * 13) % 11 < 4).select("scene_id", "view_idx", "node_id")
-    return _rounded(records.object_positions(v.drop("event_id", "n"), o, seen, quota=40))
+    return _rounded(records.object_positions(v.drop("event_id", "n"), o, seen))
 
 
 @_query
