@@ -4,7 +4,8 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from vistaloom.operators import graph, points, sampling, tasks
+from vistaloom.functions import geometry
+from vistaloom.operators import graph, kernels, points, sampling, tasks
 from vistaloom.plans import fixtures as fx
 from vistaloom.plans import scene_queries
 
@@ -106,3 +107,23 @@ def test_crowded_cells_are_counted_whole(spark):
     p = spark.range(120_000).select((F.col("id") % 60).alias("k"), *[(F.floor(F.col("id") / 60 / d) % 13 / 1000.0).alias(f"p_{c}") for c, d in zip("xyz", (1, 13, 169))])
     n = points.range_counts(p, "k", 0.05).groupBy("n").count().collect()
     assert [tuple(r) for r in n] == [(2_000**2, 60 * 59 // 2)]
+
+
+def test_object_positions_shuffle_no_pairs(spark, sf_dir):
+    """Only views and objects are dealt by scene; pairs of views and their objects never are."""
+    plan = scene_queries.queries()["object_position"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join " in x]
+    assert joins and not any("a_view_idx" in x or "anchor" in x for x in joins)
+
+
+def test_far_footprints_are_left_out_before_the_kernel(spark):
+    """The same pairs as the kernel finds among all of them."""
+    rng = np.random.default_rng(3)
+    rows = [(1, n, *map(float, rng.uniform(-4, 4, 2)), 0.0, *map(float, rng.uniform(0.1, 2, 3)), *map(float, rng.uniform(-3, 3, 3))) for n in range(60)]
+    cols = [f"{a}_{c}" for a in "cl" for c in "xyz"] + ["e0", "e1", "e2"]
+    o = spark.createDataFrame(rows, "scene_id int, node_id int, " + ", ".join(f"{c} double" for c in cols))
+    ends = geometry.corners(geometry.vec("c"), geometry.vec("l"), geometry.box_axes())
+    flat = {r.node_id: kernels.hull_2d(np.array(r.ring).reshape(8, 2)) for r in o.select("*", *geometry.trig()).select("node_id", F.array(*[x for p in ends for x in (p.x, p.y)]).alias("ring")).collect()}
+    for slack in (0.0, 0.5, 4.0):
+        want = {(a, b) for a in flat for b in flat if a < b and kernels.footprints_overlap(flat[a], flat[b], slack)}
+        assert want and {(r.a_node_id, r.b_node_id) for r in kernels.footprint_overlaps(o, slack).collect()} == want

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from . import tables
+from . import graph, tables
 
 
 def hull_volume(points: np.ndarray, eps: float = 1e-9) -> float:
@@ -235,10 +235,14 @@ def footprint_overlaps(nodes: DataFrame, slack: float = 0.5) -> DataFrame:
     outlines meet or come within slack times the longest edge."""
     n = nodes.select("*", *g.trig())
     ends = g.corners(g.vec("c"), g.vec("l"), g.box_axes())
-    n = n.select("scene_id", "node_id", F.array(*[x for p in ends for x in (p.x, p.y)]).alias("ring"))
-    a = n.select("scene_id", F.col("node_id").alias("a_node_id"), F.col("ring").alias("a_ring"))
-    b = n.select("scene_id", F.col("node_id").alias("b_node_id"), F.col("ring").alias("b_ring"))
-    pairs = a.join(b, "scene_id").where("a_node_id < b_node_id")
+    sides = {f"{c}_{end}": f(*[getattr(p, c) for p in ends]) for c in "xy" for end, f in (("low", F.least), ("high", F.greatest))}
+    n = n.select("scene_id", "node_id", F.array(*[x for p in ends for x in (p.x, p.y)]).alias("ring"), *[v.alias(k) for k, v in sides.items()])
+    n = n.withColumn("across", g.norm(F.col("x_high") - F.col("x_low"), F.col("y_high") - F.col("y_low"))).repartition("scene_id")
+    pairs = graph.prefixed(n, "a_", "scene_id").join(graph.prefixed(n, "b_", "scene_id"), "scene_id").where("a_node_id < b_node_id")
+    # Outlines are as far apart as their upright rectangles at least, and no edge is longer than one's diagonal.
+    apart = g.norm(*[F.greatest(F.lit(0.0), F.col(f"b_{c}_low") - F.col(f"a_{c}_high"), F.col(f"a_{c}_low") - F.col(f"b_{c}_high")) for c in "xy"])
+    far = apart > F.greatest("a_across", "b_across") * (slack * 1.000001) + 1e-6
+    pairs = pairs.where(F.isnan(apart) | ~far).select("scene_id", "a_node_id", "b_node_id", "a_ring", "b_ring")
 
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         outlines: dict[tuple, np.ndarray] = {}

@@ -172,28 +172,35 @@ def object_positions(views: DataFrame, nodes: DataFrame, seen: DataFrame, delta:
     view); no two of the three footprints overlap. With a quota only so many (views, anchor) of a scene
     meet the objects.
     """
-    pairs = graph.view_pairs(views.select("scene_id", "view_idx"))
-    anchors = tasks._some_pairs(graph.with_covisible(pairs, seen), quota, seed, "a_view_idx", "b_view_idx", "node_id").withColumnRenamed("node_id", "anchor")
-    tagged = seen.join(nodes.select("scene_id", "node_id", "tag"), ["scene_id", "node_id"]).groupBy("scene_id", "view_idx", "tag").agg(F.min("node_id").alias("node_id"))
-    used = anchors.select("scene_id", "a_view_idx", "b_view_idx").distinct()
-
-    def only(own: str, other: str, name: str) -> DataFrame:
-        mine = used.join(tagged.withColumnRenamed("view_idx", own), ["scene_id", own])
-        rest = mine.join(tagged.select("scene_id", F.col("view_idx").alias(other), "tag"), ["scene_id", other, "tag"], "left_anti")
-        return rest.select("scene_id", "a_view_idx", "b_view_idx", F.col("node_id").alias(name))
-
-    on = ["scene_id", "a_view_idx", "b_view_idx"]
-    q = anchors.join(only("a_view_idx", "b_view_idx", "node_a"), on).join(only("b_view_idx", "a_view_idx", "node_b"), on)
+    # One row a scene, with its views and what they see: all else is loops over its lists, in generated code,
+    # so neither pairs of views nor their objects are shuffled.
     near = kernels.footprint_overlaps(nodes)
-    for a, b in (("anchor", "node_a"), ("anchor", "node_b"), ("node_a", "node_b")):
-        both = near.select("scene_id", F.explode(F.array(F.struct(F.col("a_node_id").alias(a), F.col("b_node_id").alias(b)), F.struct(F.col("b_node_id").alias(a), F.col("a_node_id").alias(b)))).alias("x")).select("scene_id", f"x.{a}", f"x.{b}")
-        q = q.join(both, ["scene_id", a, b], "left_anti").where(F.col(a) != F.col(b))
-    for c, s in (("anchor", "o"), ("node_a", "a"), ("node_b", "b")):
-        q = q.join(nodes.select("scene_id", F.col("node_id").alias(c), F.col("c_x").alias(f"{s}_x"), F.col("c_y").alias(f"{s}_y")), ["scene_id", c])
-    toward = F.degrees(F.atan2(F.col("a_x") - F.col("o_x"), F.col("a_y") - F.col("o_y")))
-    dx, dy = g.turned(F.col("b_x") - F.col("o_x"), F.col("b_y") - F.col("o_y"), toward)
-    q = q.select(*on, "anchor", "node_a", "node_b", F.round(dx, 9).alias("dx"), F.round(dy, 9).alias("dy"))
-    return q.withColumn("answer", g.compass(F.col("dx"), F.col("dy"), delta))
+    sides = F.explode(F.array(F.struct(F.col("a_node_id").alias("node_id"), F.col("b_node_id").alias("o")), F.struct(F.col("b_node_id").alias("node_id"), F.col("a_node_id").alias("o"))))
+    near = near.select("scene_id", sides.alias("x")).groupBy("scene_id", "x.node_id").agg(F.collect_set("x.o").alias("near"))
+    own = F.array("node_id")  # a node is too near to itself
+    known = nodes.select("scene_id", "node_id", "tag", "c_x", "c_y").join(near, ["scene_id", "node_id"], "left")
+    known = known.withColumn("near", F.when(F.col("near").isNull(), own).otherwise(F.concat("near", own)))
+    known = known.groupBy("scene_id").agg(F.collect_list(F.struct("node_id", "tag", "c_x", "c_y", "near")).alias("known"))
+    there = views.groupBy("scene_id").agg(F.collect_set("view_idx").alias("there"))
+    lists = seen.groupBy("scene_id", "view_idx").agg(F.collect_set("node_id").alias("ids"))
+    lists = lists.groupBy("scene_id").agg(F.collect_list(F.struct("view_idx", "ids")).alias("views"))
+    s = lists.join(there, "scene_id").join(known, "scene_id")
+    v = s.select("scene_id", F.transform(F.filter("views", lambda v: F.array_contains("there", v["view_idx"])), lambda v: F.struct(v["view_idx"].alias("view_idx"), F.filter("known", lambda n: F.array_contains(v["ids"], n["node_id"])).alias("nodes"))).alias("views"))
+    first = lambda nodes: F.filter(nodes, lambda x: ~F.exists(nodes, lambda y: y["tag"].eqNullSafe(x["tag"]) & (y["node_id"] < x["node_id"])))
+    one = lambda v: F.struct(v["view_idx"].alias("view_idx"), v["nodes"].alias("nodes"), v["nodes"]["node_id"].alias("ids"), v["nodes"]["tag"].alias("tags"), first(v["nodes"]).alias("firsts"))
+    v = v.select("scene_id", F.transform("views", one).alias("views"))
+    has = lambda items, x: F.coalesce(F.array_contains(items, x), F.lit(False))
+    c = F.col
+    q = v.select("*", F.explode("views").alias("a")).select("*", F.explode("views").alias("b")).where("a.view_idx < b.view_idx")
+    q = q.select("scene_id", "a", "b", F.explode("a.nodes").alias("o")).where(has(c("b.ids"), c("o.node_id")))
+    q = q.withColumns({"a_view_idx": c("a.view_idx"), "b_view_idx": c("b.view_idx"), "anchor": c("o.node_id")})
+    q = tasks._some_pairs(q, quota, seed, "a_view_idx", "b_view_idx", "anchor")
+    q = q.select("*", F.explode("a.firsts").alias("m")).where(~has(c("b.tags"), c("m.tag")) & ~has(c("o.near"), c("m.node_id")))
+    q = q.select("*", F.explode("b.firsts").alias("n")).where(~has(c("a.tags"), c("n.tag")) & ~has(c("o.near"), c("n.node_id")) & ~has(c("m.near"), c("n.node_id")))
+    toward = F.degrees(F.atan2(c("m.c_x") - c("o.c_x"), c("m.c_y") - c("o.c_y")))
+    dx, dy = g.turned(c("n.c_x") - c("o.c_x"), c("n.c_y") - c("o.c_y"), toward)
+    q = q.select("scene_id", "a_view_idx", "b_view_idx", "anchor", c("m.node_id").alias("node_a"), c("n.node_id").alias("node_b"), F.round(dx, 9).alias("dx"), F.round(dy, 9).alias("dy"))
+    return q.withColumn("answer", g.compass(c("dx"), c("dy"), delta))
 
 
 def correspondence_questions(matches: DataFrame, keys: list[str], mcq: bool, size: tuple[int, int] = (64, 48), margin: int = 10, apart: float = 8.0, seed: int = 0) -> DataFrame:
