@@ -127,3 +127,16 @@ def test_far_footprints_are_left_out_before_the_kernel(spark):
     for slack in (0.0, 0.5, 4.0):
         want = {(a, b) for a in flat for b in flat if a < b and kernels.footprints_overlap(flat[a], flat[b], slack)}
         assert want and {(r.a_node_id, r.b_node_id) for r in kernels.footprint_overlaps(o, slack).collect()} == want
+
+
+def test_tiled_pairs_are_whole_and_written_small(spark, tmp_path):
+    rows = spark.range(6000).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"), (F.xxhash64("id") % 100_000 / 1e4).alias("d"))
+    few = rows.where("at < 700")
+    got = {tuple(r) for r in graph.tiled_pairs(few, "k", "at", "d", tile=50, spread=3).collect()}
+    one = [tuple(r) for r in few.collect()]
+    assert got == {(a[0], a[1], a[2], b[1], b[2]) for a in one for b in one if a[0] == b[0] and a[1] < b[1]} and len(got) == 2 * 350 * 349 // 2
+    p = graph.tiled_pairs(rows, "k", "at", "d")
+    p.write.parquet(f"{tmp_path}/pairs")
+    n = 2 * 3000 * 2999 // 2
+    assert spark.read.parquet(f"{tmp_path}/pairs").count() == n
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.6 * n  # a plain join writes over 3 bytes a pair
