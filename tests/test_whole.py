@@ -140,3 +140,23 @@ def test_tiled_pairs_are_whole_and_written_small(spark, tmp_path):
     n = 2 * 3000 * 2999 // 2
     assert spark.read.parquet(f"{tmp_path}/pairs").count() == n
     assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.6 * n  # a plain join writes over 3 bytes a pair
+
+
+def rows_made(df, kind):
+    """Rows that plan nodes of a kind made in the last stage of df's last action."""
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        name = p.getClass().getSimpleName()
+        n += p.longMetric("numOutputRows").value() if name == kind else 0
+        below = p.children()
+        todo += [p.executedPlan()] if name == "AdaptiveSparkPlanExec" else [p.plan()] if name == "ResultQueryStageExec" else [below.apply(i) for i in range(below.size())]
+    return n
+
+
+def test_pairs_are_passed_on_a_tile_at_a_time(spark):
+    """Generated code holds what a streamed row yields: pairs of a tile with all its rows a fill the memory of large inputs."""
+    rows = spark.range(6000).select((F.col("id") % 2).alias("k"), F.col("id").alias("at"), F.rand(1).alias("d"))
+    p = graph.tiled_pairs(rows, "k", "at", "d").limit(1)
+    assert len(p.collect()) == 1
+    assert 0 < rows_made(p, "GenerateExec") <= 4 * 512  # some tasks are asked at once; all pairs are 9 million
